@@ -62,3 +62,20 @@ def single_thread() -> None:
     for name in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS", "MKL_NUM_THREADS"):
         os.environ.setdefault(name, "1")
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
+FILTER_WORDS = 131_072
+
+
+def may_have_key(df: DataFrame, keys: DataFrame, on: str, words: int = FILTER_WORDS) -> DataFrame:
+    """Rows of ``df`` whose ``on`` may be in ``keys``: all that are, and few others.
+
+    ``keys`` become a bit map of a fixed size (``words`` rows of 64 bits), so that it can be
+    broadcast whatever the number of keys, and rows that no later join needs leave
+    before they are shuffled.
+    """
+    word = lambda: F.pmod(F.xxhash64(on, F.lit(11)), F.lit(words))
+    bit = lambda: F.expr(f"shiftleft(1L, cast(pmod(xxhash64({on}, 13), 64) as int))")
+    bits = keys.select(word().alias("_word"), bit().alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    columns = [df[c] for c in df.columns]
+    return df.withColumn("_word", word()).join(F.broadcast(bits), "_word").where(F.col("_bits").bitwiseAND(bit()) != 0).select(*columns)

@@ -12,6 +12,12 @@ def op1_token_counts(spark, sf_dir):
     return token_counts(documents(spark, sf_dir)).withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op3_order_minhash(spark, sf_dir):
+    from .order_minhash import near_groups
+
+    return near_groups(documents(spark, sf_dir))
+
+
 def op4_exact_dedup(spark, sf_dir):
     from .exact_dedup import exact_groups
 
@@ -24,6 +30,12 @@ def op7_best_fit_packing(spark, sf_dir):
     return pack_documents(documents(spark, sf_dir))
 
 
+def op8_minhash_fingerprints(spark, sf_dir):
+    from .fingerprint import fingerprints
+
+    return fingerprints(documents(spark, sf_dir))
+
+
 def op9_sharding(spark, sf_dir):
     from .sharding import shard_documents
 
@@ -31,7 +43,7 @@ def op9_sharding(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts, op4_exact_dedup, op7_best_fit_packing, op9_sharding)}
+    return {f.__name__: f for f in (op1_token_counts, op3_order_minhash, op4_exact_dedup, op7_best_fit_packing, op8_minhash_fingerprints, op9_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
