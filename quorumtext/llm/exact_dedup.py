@@ -43,10 +43,11 @@ def misra_gries(values, counters: int) -> dict:
 
 def _summary(batches, counters: int):
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     held: dict = {}
     for batch in batches:
-        counts = pa.compute.value_counts(batch.column(0)).to_pylist()
+        counts = pc.value_counts(batch.column(0)).to_pylist()
         # the largest first: most others then meet full counters once, not one by one
         held = misra_gries([*held.items(), *sorted(((x["values"], x["counts"]) for x in counts), key=lambda x: -x[1])], counters)
     yield pa.RecordBatch.from_pydict({"digest": list(held), "n": list(held.values())}, schema=pa.schema([("digest", pa.string()), ("n", pa.int64())]))

@@ -141,14 +141,15 @@ def fingerprints(docs: DataFrame, permutations: int = PERMUTATIONS, size: int =
 
     def work(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for batch in _pair_rows(batches, pair_arrow):
-            whole = batch.filter(pa.compute.is_null(batch.column("end")))
+            whole = batch.filter(pc.is_null(batch.column("end")))
             if whole.num_rows:
                 for done in _fingerprints([whole], permutations, size, arrow):
                     n = done.num_rows
                     yield pa.RecordBatch.from_arrays([*done.columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())], schema=out_arrow)
-            ends = batch.filter(pa.compute.is_valid(batch.column("end")))
+            ends = batch.filter(pc.is_valid(batch.column("end")))
             if n := ends.num_rows:
                 yield pa.RecordBatch.from_arrays([ends.column("doc_id"), *[pa.nulls(n, f.type) for f in arrow][1:], ends.column("part"), ends.column("end"), ends.column("text")], schema=out_arrow)
 
