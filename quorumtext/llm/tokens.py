@@ -4,15 +4,25 @@ A run of white space is a boundary that no token of a ``tokenizers`` file with a
 word-level split and white space dropped can cross, in whichever text it stands.
 So the ids of a text are the ids of its white-space-separated words in order, and
 words repeat: each worker asks the library once for a word and remembers the answer.
+
+A new word of Latin letters with ASCII punctuation after it (most are) is two pieces to
+the tokenizer, the lower-case letters and the punctuation; many such pieces are given
+to the library in one text and its answer is cut where pieces end (``</w>``).  Any
+other word is given to the library by itself.
 """
 
 from __future__ import annotations
 
+import string
+import unicodedata
+
 from .common import single_thread
 
 #: Python's split() also cuts at these four, which are not white space to the library.
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
-MEMO_WORDS = 400_000
+_PUNCTUATION = string.punctuation
+_LATIN_END = "\u0250"
+MEMO_WORDS = 250_000
 MEMO_WORD_CHARS = 40
 
 
@@ -24,17 +34,40 @@ def tokenizer_path(name_or_path: str) -> str:
     return public_tokenizers.path(name_or_path)
 
 
+class Memo:
+    """A bounded dict in two generations: when the young one is full it becomes the old
+    one, and what is asked for again moves to the young one."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """The keys without an answer; the others are in ``young`` afterwards."""
+        if len(self.young) + len(keys) > self.most:
+            self.old, self.young = self.young, {}
+        fresh = keys.difference(self.young)
+        if self.old:
+            held = fresh.intersection(self.old)
+            self.young.update((k, self.old[k]) for k in held)
+            fresh -= held
+        return list(fresh)
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, name_or_path: str):
         single_thread()
+        import numpy as np
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name_or_path))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[str, bytes] = {}
+        self.words, self.pieces = Memo(MEMO_WORDS), Memo(MEMO_WORDS)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def _library(self, texts: list[str]) -> list[bytes]:
         import numpy as np
@@ -42,21 +75,49 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _piece_ids(self, pieces: list[str]) -> list[bytes]:
+        """Of pieces that the tokenizer does not divide: one text for all."""
+        import numpy as np
+
+        ids = np.asarray(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, dtype="<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        assert len(cuts) == len(pieces), "a piece was divided"
+        data, at = ids.tobytes(), [0, *(cuts * 4).tolist()]
+        return [data[a:b] for a, b in zip(at, at[1:])]
+
+    def _new_words(self, words: list[str]) -> list[bytes]:
+        parts: list[tuple[str, str] | None] = []
+        pieces: set[str] = set()
+        for w in words:
+            core = w.rstrip(_PUNCTUATION)
+            low = core.lower()
+            if low.isalpha() and max(low) < _LATIN_END and unicodedata.is_normalized("NFC", core):
+                tail = w[len(core) :]
+                parts.append((low, tail))
+                pieces.add(low)
+                pieces.add(tail)
+            else:
+                parts.append(None)
+        pieces.discard("")
+        if fresh := self.pieces.missing(pieces):
+            self.pieces.young.update(zip(fresh, self._piece_ids(fresh)))
+        table = self.pieces.young
+        other = iter(self._library([w for w, p in zip(words, parts) if p is None]))
+        return [next(other) if p is None else table[p[0]] + table[p[1]] if p[1] else table[p[0]] for p in parts]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, four bytes an id."""
         split = [t.split() if not any(c in t for c in _NOT_SPACE) else [t] for t in texts]
         wanted: set[str] = set()
         for words in split:
             wanted.update(words)
-        if len(self.memo) + len(wanted) > MEMO_WORDS:
-            self.memo = {}
-        fresh = [w for w in wanted if w not in self.memo]
-        table = self.memo
+        long = {w for w in wanted if len(w) > MEMO_WORD_CHARS}
+        fresh = self.words.missing(wanted - long if long else wanted)
         if fresh:
-            answers = dict(zip(fresh, self._library(fresh)))
-            self.memo.update((w, b) for w, b in answers.items() if len(w) <= MEMO_WORD_CHARS)
-            if len(self.memo) < len(wanted) or any(len(w) > MEMO_WORD_CHARS for w in fresh):
-                table = {**{w: self.memo[w] for w in wanted if w in self.memo}, **answers}
+            self.words.young.update(zip(fresh, self._new_words(fresh)))
+        table = self.words.young
+        if long:
+            table = {w: table[w] for w in wanted - long} | dict(zip(long, self._library(list(long))))
         return [b"".join(map(table.__getitem__, words)) for words in split]
 
     def with_offsets(self, texts: list[str]) -> list[list[int]]:
