@@ -16,7 +16,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from .common import staged, text_or_empty
@@ -65,103 +65,94 @@ def _edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _fingerprints(frames, permutations: int, size: int, schema):
-    """Rows (doc_id, text, next_text) to fingerprints."""
+def _fingerprints(pairs, permutations: int, size: int, schema):
+    """(doc_id, text, next text) to fingerprints."""
     import hashlib
 
     import pyarrow as pa
 
     from .tokens import slices
 
-    for batch in frames:
-        ids, texts, following = (batch.column(c).to_pylist() for c in ("doc_id", "text", "next_text"))
-        for first, part in slices(texts):
-            after = following[first : first + len(part)]
-            edited = [_edited(t, n) for t, n in zip(part, after)]
-            own, other = signatures(part, permutations, size), signatures(edited, permutations, size)
-            coming = np.roll(own, -1, axis=0)  # most rows stand before the row that follows them
-            apart = [i for i, n in enumerate(after) if i + 1 == len(part) or n != part[i + 1]]
-            coming[apart] = signatures([after[i] for i in apart], permutations, size)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids[first : first + len(part)], schema.field(0).type), pa.array([len(t) for t in part], pa.int64()),
-                pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in edited]),
-                pa.array([x.astype(">u2").tobytes().hex() for x in own]), pa.array([x.astype(">u2").tobytes().hex() for x in other]),
-                pa.array(likeness(own, other)), pa.array(likeness(own, coming)),
-            ], schema=schema)
-
-
-def _pair_rows(batches, schema):
-    """Rows sorted inside a partition: each with the text after it; the first and the
-    last of the partition also go out as ends that wait for the neighbouring partition."""
+    texts = [t for _, t, _ in pairs]
+    for first, part in slices(texts):
+        rows = pairs[first : first + len(part)]
+        after = [n for _, _, n in rows]
+        edited = [_edited(t, n) for t, n in zip(part, after)]
+        own, other = signatures(part, permutations, size), signatures(edited, permutations, size)
+        coming = np.roll(own, -1, axis=0)  # most rows stand before the row that follows them
+        apart = [i for i, n in enumerate(after) if i + 1 == len(part) or n != part[i + 1]]
+        coming[apart] = signatures([after[i] for i in apart], permutations, size)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([i for i, _, _ in rows], schema.field(0).type), pa.array([len(t) for t in part], pa.int64()),
+            pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in edited]),
+            pa.array([x.astype(">u2").tobytes().hex() for x in own]), pa.array([x.astype(">u2").tobytes().hex() for x in other]),
+            pa.array(likeness(own, other)), pa.array(likeness(own, coming)),
+        ], schema=schema)
+
+
+def _ids_with_part(batches, bounds):
     import pyarrow as pa
-    from pyspark import TaskContext
 
-    part = TaskContext.get().partitionId()
-    held, first = None, True
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.searchsorted(bounds, ids, side="right").astype(np.int32))], ["doc_id", "part"])
+
 
-    def rows(out):
-        return pa.RecordBatch.from_pylist(out, schema=schema)
+def _with_part(batches, bounds, head_of: dict):
+    """Rows with the range of ids they are in; the first of a range also goes to the range before, as its tail."""
+    import pyarrow as pa
 
     for batch in batches:
-        out, size = [], 0
-        for row in batch.to_pylist():
-            if first:
-                out.append({"doc_id": None, "text": row["text"], "next_text": None, "part": part, "end": 0})
-                first = False
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        part = np.searchsorted(bounds, ids, side="right").astype(np.int32)
+        names = ["part", "tail", "doc_id", "text"]
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.zeros(len(ids), bool)), batch.column("doc_id"), batch.column("text")], names)
+        heads = [i for i in np.flatnonzero(np.isin(ids, list(head_of))).tolist()]
+        if heads:
+            more = batch.take(pa.array(heads))
+            yield pa.RecordBatch.from_arrays([pa.array([head_of[ids[i].item()] for i in heads], pa.int32()), pa.array([True] * len(heads)), more.column("doc_id"), more.column("text")], names)
+
+
+def _pairs(batches, most_chars: int = 4_000_000):
+    """Lists of (doc_id, text, next text) from rows in the order of part, tail, doc_id."""
+    held, done, out, size = None, None, [], 0
+    for batch in batches:
+        for part, tail, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("part", "tail", "doc_id", "text"))):
+            if part == done:
+                continue  # the tail, repeated
             if held is not None:
-                out.append({"doc_id": held["doc_id"], "text": held["text"], "next_text": row["text"], "part": part, "end": None})
-                size += len(held["text"])
-                if size > 4_000_000:
-                    yield rows(out)
-                    out, size = [], 0
-            held = row
-        yield rows(out)
-    if held is not None:
-        yield rows([{"doc_id": held["doc_id"], "text": held["text"], "next_text": None, "part": part, "end": 1}])
+                out.append((held[0], held[1], text))
+                size += len(held[1])
+            held, done = (None, part) if tail else ((doc_id, text), None)
+            if size > most_chars:
+                yield out
+                out, size = [], 0
+    if out:
+        yield out
 
 
 def fingerprints(docs: DataFrame, permutations: int = PERMUTATIONS, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    One exchange by ranges of doc_id brings neighbours together; only the two ends of
-    every partition meet in a join of a row each, on the partition's number.
+    Neighbours in the order of doc_id meet through one exchange of the texts: ids are
+    divided into ranges, and the first document of each goes to the range before as well.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = StructType.fromDDL(f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
     arrow = to_arrow_schema(schema)
-    spec = StructType.fromDDL(f"doc_id {kind}, text string, next_text string, part int, end int")
-    pair_arrow = to_arrow_schema(spec)
+    ranges = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = docs.select("doc_id")
+    bounds = np.unique(ids.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 20 * ranges).alias("b")).first()["b"] or [])
+    # the first id of each range: a number a range
+    firsts = ids.mapInArrow(lambda it: _ids_with_part(it, bounds), f"doc_id {kind}, part int").groupBy("part").agg(F.min("doc_id").alias("first"))
+    firsts = sorted((r["part"], r["first"]) for r in firsts.toLocalIterator())
+    head_of = {first: firsts[k - 1][0] for k, (_, first) in enumerate(firsts)}
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-
-    out_schema = StructType([*schema.fields, *StructType.fromDDL("part int, end int, text string").fields])
-    out_arrow = to_arrow_schema(out_schema)
-
-    def work(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        for batch in _pair_rows(batches, pair_arrow):
-            whole = batch.filter(pc.is_null(batch.column("end")))
-            if whole.num_rows:
-                for done in _fingerprints([whole], permutations, size, arrow):
-                    n = done.num_rows
-                    yield pa.RecordBatch.from_arrays([*done.columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())], schema=out_arrow)
-            ends = batch.filter(pc.is_valid(batch.column("end")))
-            if n := ends.num_rows:
-                yield pa.RecordBatch.from_arrays([ends.column("doc_id"), *[pa.nulls(n, f.type) for f in arrow][1:], ends.column("part"), ends.column("end"), ends.column("text")], schema=out_arrow)
-
-    # staged, as both kinds of rows are read: the texts of two rows a partition, and the finished fingerprints
-    found = staged(ordered.mapInArrow(work, out_schema), "op8-fingerprints")
-    ends = found.where("end IS NOT NULL")
-    around = Window.orderBy("part")  # one short row for each partition
-    parts = ends.where("end = 0").select("part").withColumn("after", F.lead("part").over(around)).withColumn("after", F.coalesce("after", F.min("part").over(Window.partitionBy())))
-    last = ends.where("end = 1").select("doc_id", "text", "part").join(parts, "part")
-    heads = ends.where("end = 0").select(F.col("part").alias("after"), F.col("text").alias("next_text"))
-    seams = last.join(heads, "after").select("doc_id", "text", "next_text").mapInArrow(lambda it: _fingerprints(it, permutations, size, arrow), schema)
-    return found.where("end IS NULL").select(*schema.names).unionByName(seams)
+    placed = rows.mapInArrow(lambda it: _with_part(it, bounds, head_of), f"part int, tail boolean, doc_id {kind}, text string")
+    ordered = placed.repartition("part").sortWithinPartitions("part", "tail", "doc_id", "text")
+    return ordered.mapInArrow(lambda it: (done for pairs in _pairs(it) for done in _fingerprints(pairs, permutations, size, arrow)), schema)
 
 
 def _bands(batches, permutations: int, size: int, bands: int):
