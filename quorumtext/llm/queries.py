@@ -24,6 +24,12 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_groups(documents(spark, sf_dir)).drop("heavy")
 
 
+def op5_quality_crf(spark, sf_dir):
+    from .quality_crf import score_held_out
+
+    return score_held_out(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_best_fit_packing(spark, sf_dir):
     from .packing import pack_documents
 
@@ -42,8 +48,14 @@ def op9_sharding(spark, sf_dir):
     return shard_documents(documents(spark, sf_dir))
 
 
+def op10_language_ppm(spark, sf_dir):
+    from .language_id import identify_held_out
+
+    return identify_held_out(documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts, op3_order_minhash, op4_exact_dedup, op7_best_fit_packing, op8_minhash_fingerprints, op9_sharding)}
+    return {f.__name__: f for f in (op1_token_counts, op3_order_minhash, op4_exact_dedup, op5_quality_crf, op7_best_fit_packing, op8_minhash_fingerprints, op9_sharding, op10_language_ppm)}
 
 
 def oracle_sql() -> dict[str, str]:
