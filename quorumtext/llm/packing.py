@@ -57,18 +57,20 @@ def to_pieces(batches, name: str, capacity: int, schema):
 
     import pyarrow as pa
 
-    from .tokens import encoder, slices
+    from .tokens import array_slices, encoder
 
     step = 4 * capacity
     for batch in batches:
         ids, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
         out: list[list] = [[] for _ in range(6)]
-        for first, texts in slices(batch.column("text").to_pylist()):
-            for k, data in enumerate(encoder(name).encode(texts), first):
-                data += b"\0\0\0\0"
-                for n, at in enumerate(range(0, len(data), step)):
+        for first, texts in array_slices(batch.column("text")):
+            tokens, counts = encoder(name).encode(texts)
+            every, low = tokens.tobytes(), 0
+            for k, n in enumerate(counts.tolist(), first):
+                data, low = every[low : low + 4 * n] + b"\0\0\0\0", low + 4 * n
+                for piece_no, at in enumerate(range(0, len(data), step)):
                     piece = data[at : at + step]
-                    for column, value in zip(out, (rows[k], ids[k], n, at // 4, len(piece) // 4, zlib.crc32(piece))):
+                    for column, value in zip(out, (rows[k], ids[k], piece_no, at // 4, len(piece) // 4, zlib.crc32(piece))):
                         column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 

@@ -41,13 +41,12 @@ def is_stable(text: str, at: int) -> bool:
 def count_small(batches, name: str):
     import pyarrow as pa
 
-    from .tokens import encoder, slices
+    from .tokens import array_slices, encoder
 
     for batch in batches:
-        texts = batch.column("text").to_pylist()
         counts: list[int] = []
-        for _, part in slices(texts):
-            counts += [len(x) // 4 for x in encoder(name).encode(part)]
+        for _, part in array_slices(batch.column("text")):
+            counts += encoder(name).encode(part)[1].tolist()
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64()), pa.array([1] * len(counts), pa.int32())], ["doc_id", "n_bytes", "n_tokens", "n_chunks"])
 
 

@@ -18,11 +18,9 @@ import unicodedata
 
 from .common import single_thread
 
-#: Python's split() also cuts at these four, which are not white space to the library.
-_NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 _PUNCTUATION = string.punctuation
 _LATIN_END = "\u0250"
-MEMO_WORDS = 250_000
+MEMO_WORDS = 500_000
 MEMO_WORD_CHARS = 40
 
 
@@ -91,7 +89,7 @@ class Encoder:
         for w in words:
             core = w.rstrip(_PUNCTUATION)
             low = core.lower()
-            if low.isalpha() and max(low) < _LATIN_END and unicodedata.is_normalized("NFC", core):
+            if low.isalpha() and len(w) <= MEMO_WORD_CHARS and (low.isascii() or max(low) < _LATIN_END and unicodedata.is_normalized("NFC", core)):
                 tail = w[len(core) :]
                 parts.append((low, tail))
                 pieces.add(low)
@@ -105,20 +103,38 @@ class Encoder:
         other = iter(self._library([w for w, p in zip(words, parts) if p is None]))
         return [next(other) if p is None else table[p[0]] + table[p[1]] if p[1] else table[p[0]] for p in parts]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, four bytes an id."""
-        split = [t.split() if not any(c in t for c in _NOT_SPACE) else [t] for t in texts]
-        wanted: set[str] = set()
-        for words in split:
-            wanted.update(words)
-        long = {w for w in wanted if len(w) > MEMO_WORD_CHARS}
-        fresh = self.words.missing(wanted - long if long else wanted)
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words."""
+        long = [w for w in words if len(w) > MEMO_WORD_CHARS]
+        fresh = self.words.missing(set(words).difference(long))
+        young = self.words.young
         if fresh:
-            self.words.young.update(zip(fresh, self._new_words(fresh)))
-        table = self.words.young
-        if long:
-            table = {w: table[w] for w in wanted - long} | dict(zip(long, self._library(list(long))))
-        return [b"".join(map(table.__getitem__, words)) for words in split]
+            young.update(zip(fresh, self._new_words(fresh)))
+        if not long:
+            return list(map(young.__getitem__, words))
+        answers = dict(zip(long, self._library(long)))
+        return [answers[w] if w in answers else young[w] for w in words]
+
+    def encode(self, texts):
+        """(ids of all texts in a row as uint32, how many each text has) of an Arrow string array without nulls.
+
+        Words are found and made distinct in Arrow, so that Python sees each once.
+        """
+        import numpy as np
+        import pyarrow.compute as pc
+
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.values.dictionary_encode()
+        blobs = self._word_ids(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4
+        joined = np.frombuffer(b"".join(blobs), dtype="<u4")
+        word = coded.indices.to_numpy()
+        size = sizes[word]
+        ends = np.cumsum(size)
+        shift = (np.cumsum(sizes) - sizes)[word] - (ends - size)
+        ids = joined[np.repeat(shift, size) + np.arange(len(shift) and ends[-1])]
+        at = np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        return ids, np.diff(at)
 
     def with_offsets(self, texts: list[str]) -> list[list[int]]:
         """The code point at which each token of each text starts."""
@@ -145,3 +161,17 @@ def slices(items: list[str], most_chars: int = 4_000_000):
         size += len(x)
     if start < len(items):
         yield start, items[start:]
+
+
+def array_slices(texts, most_bytes: int = 8_000_000):
+    """Consecutive (start, part) of an Arrow string array, of bounded total length."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = total[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(total, before + most_bytes, side="right")))
+        yield start, texts.slice(start, stop - start)
+        start = stop
