@@ -12,6 +12,12 @@ def op1_token_counts(spark, sf_dir):
     return token_counts(documents(spark, sf_dir)).withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op2_line_dedup(spark, sf_dir):
+    from .line_dedup import dedup_lines
+
+    return dedup_lines(documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_deleted")
+
+
 def op3_order_minhash(spark, sf_dir):
     from .order_minhash import near_groups
 
@@ -30,6 +36,12 @@ def op5_quality_crf(spark, sf_dir):
     return score_held_out(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op6_mixing(spark, sf_dir):
+    from .mixing import mix
+
+    return mix(documents(spark, sf_dir))
+
+
 def op7_best_fit_packing(spark, sf_dir):
     from .packing import pack_documents
 
@@ -55,11 +67,13 @@ def op10_language_ppm(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts, op3_order_minhash, op4_exact_dedup, op5_quality_crf, op7_best_fit_packing, op8_minhash_fingerprints, op9_sharding, op10_language_ppm)}
+    return {f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_order_minhash, op4_exact_dedup, op5_quality_crf, op6_mixing, op7_best_fit_packing, op8_minhash_fingerprints, op9_sharding, op10_language_ppm)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4}
+    from .mixing import mixing_sql
+
+    return {"op4_exact_dedup": OP4, "op6_mixing": mixing_sql()}
 
 
 OP4 = r"""
