@@ -66,8 +66,14 @@ def op10_language_ppm(spark, sf_dir):
     return identify_held_out(documents(spark, sf_dir))
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_order_minhash, op4_exact_dedup, op5_quality_crf, op6_mixing, op7_best_fit_packing, op8_minhash_fingerprints, op9_sharding, op10_language_ppm)}
+    return {f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_order_minhash, op4_exact_dedup, op5_quality_crf, op6_mixing, op7_best_fit_packing, op8_minhash_fingerprints, op9_sharding, op10_language_ppm, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
