@@ -113,20 +113,22 @@ def _with_part(batches, bounds, head_of: dict):
             yield pa.RecordBatch.from_arrays([pa.array([head_of[ids[i].item()] for i in heads], pa.int32()), pa.array([True] * len(heads)), more.column("doc_id"), more.column("text")], names)
 
 
-def _pairs(batches, most_chars: int = 4_000_000):
+def _pairs(batches, most_chars: int = 1_000_000, rows: int = 256):
     """Lists of (doc_id, text, next text) from rows in the order of part, tail, doc_id."""
     held, done, out, size = None, None, [], 0
     for batch in batches:
-        for part, tail, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("part", "tail", "doc_id", "text"))):
-            if part == done:
-                continue  # the tail, repeated
-            if held is not None:
-                out.append((held[0], held[1], text))
-                size += len(held[1])
-            held, done = (None, part) if tail else ((doc_id, text), None)
-            if size > most_chars:
-                yield out
-                out, size = [], 0
+        for low in range(0, batch.num_rows, rows):
+            few = batch.slice(low, rows)
+            for part, tail, doc_id, text in zip(*(few.column(c).to_pylist() for c in ("part", "tail", "doc_id", "text"))):
+                if part == done:
+                    continue  # the tail, repeated
+                if held is not None:
+                    out.append((held[0], held[1], text))
+                    size += len(held[1])
+                held, done = (None, part) if tail else ((doc_id, text), None)
+                if size > most_chars:
+                    yield out
+                    out, size = [], 0
     if out:
         yield out
 
