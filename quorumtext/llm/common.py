@@ -53,6 +53,29 @@ def _drop_folders() -> None:
             pass
 
 
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20, "spark.sql.execution.arrow.maxRecordsPerBatch": 2000}
+
+
+def _number(value: str | None) -> int:
+    digits = "".join(c for c in value or "" if c.isdigit())
+    return int(digits or 0) if (value or "").endswith("b") or (value or "").isdigit() else 0
+
+
+def map_arrow(df: DataFrame, work, schema) -> DataFrame:
+    """``mapInArrow`` with batches of a few MB.
+
+    Spark's own bound is 64 MB a batch, of which each running task holds several, in the
+    JVM's direct memory and again in Python; texts of any length are better served by
+    few at a time.  The session keeps a lower bound if it has one.
+    """
+    conf = df.sparkSession.conf
+    for key, most in BATCH.items():
+        now = _number(conf.get(key, None))
+        if not 0 < now <= most:
+            conf.set(key, str(most))
+    return df.mapInArrow(work, schema)
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 

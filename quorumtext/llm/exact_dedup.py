@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import staged, text_or_empty
+from .common import map_arrow, staged, text_or_empty
 
 COUNTERS = 1024
 
@@ -63,7 +63,7 @@ def heavy_digests(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """
     total = digests.count()
     least = -(-total // counters)
-    summaries = digests.select("digest").mapInArrow(lambda it: _summary(it, counters), "digest string, n long")
+    summaries = map_arrow(digests.select("digest"), lambda it: _summary(it, counters), "digest string, n long")
     # a digest of share 1/counters can lose up to 1/(counters+1) of the rows: any positive sum may win
     merged = summaries.groupBy("digest").agg(F.sum("n").alias("n")).where(F.col("n") + F.lit(total // (counters + 1)) >= least)
     bound = merged.orderBy(F.desc("n"), "digest").limit(4 * counters)

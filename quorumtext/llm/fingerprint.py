@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from .common import staged, text_or_empty
+from .common import map_arrow, staged, text_or_empty
 
 PERMUTATIONS = 128
 SHINGLE = 5
@@ -148,13 +148,13 @@ def fingerprints(docs: DataFrame, permutations: int = PERMUTATIONS, size: int =
     ids = docs.select("doc_id")
     bounds = np.unique(ids.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 20 * ranges).alias("b")).first()["b"] or [])
     # the first id of each range: a number a range
-    firsts = ids.mapInArrow(lambda it: _ids_with_part(it, bounds), f"doc_id {kind}, part int").groupBy("part").agg(F.min("doc_id").alias("first"))
+    firsts = map_arrow(ids, lambda it: _ids_with_part(it, bounds), f"doc_id {kind}, part int").groupBy("part").agg(F.min("doc_id").alias("first"))
     firsts = sorted((r["part"], r["first"]) for r in firsts.toLocalIterator())
     head_of = {first: firsts[k - 1][0] for k, (_, first) in enumerate(firsts)}
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    placed = rows.mapInArrow(lambda it: _with_part(it, bounds, head_of), f"part int, tail boolean, doc_id {kind}, text string")
+    placed = map_arrow(rows, lambda it: _with_part(it, bounds, head_of), f"part int, tail boolean, doc_id {kind}, text string")
     ordered = placed.repartition("part").sortWithinPartitions("part", "tail", "doc_id", "text")
-    return ordered.mapInArrow(lambda it: (done for pairs in _pairs(it) for done in _fingerprints(pairs, permutations, size, arrow)), schema)
+    return map_arrow(ordered, lambda it: (done for pairs in _pairs(it) for done in _fingerprints(pairs, permutations, size, arrow)), schema)
 
 
 def _bands(batches, permutations: int, size: int, bands: int):
@@ -191,10 +191,10 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, permutations: int
     document of every band bucket it stands in.  Groups of any size cost a link a member."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    keys = rows.mapInArrow(lambda it: _bands(it, permutations, size, bands), f"doc_id {kind}, bands array<binary>").select("doc_id", F.explode("bands").alias("band"))
+    keys = map_arrow(rows, lambda it: _bands(it, permutations, size, bands), f"doc_id {kind}, bands array<binary>").select("doc_id", F.explode("bands").alias("band"))
     keys = staged(keys, "op8-bands")
     heads = keys.groupBy("band").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
     pairs = keys.join(heads, "band").where("doc_id <> head").select("doc_id", "head").distinct()
     texts = pairs.join(rows, "doc_id").join(rows.select(F.col("doc_id").alias("head"), F.col("text").alias("head_text")), "head")
-    found = texts.mapInArrow(lambda it: _jaccard(it, size), f"doc_id {kind}, head {kind}, jaccard double")
+    found = map_arrow(texts, lambda it: _jaccard(it, size), f"doc_id {kind}, head {kind}, jaccard double")
     return found.where(F.col("jaccard") >= threshold)

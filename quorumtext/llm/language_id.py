@@ -27,6 +27,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .common import map_arrow
+
 ORDER = 3
 SAMPLE_CHARS = 600_000
 CONTEXTS = 24_000
@@ -248,7 +250,7 @@ def identify(docs: DataFrame, trees: ByteTrees) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return text.mapInArrow(lambda it: _score_rows(it, shared), f"doc_id {kind}, lang_pred string, score double, bits_per_byte double")
+    return map_arrow(text, lambda it: _score_rows(it, shared), f"doc_id {kind}, lang_pred string, score double, bits_per_byte double")
 
 
 def held_out(modulus: int, remainder: int):

@@ -28,7 +28,7 @@ from bisect import bisect_left
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import staged, text_or_empty
+from .common import map_arrow, staged, text_or_empty
 
 RARE = 64
 BLOCK_WORDS = 5
@@ -160,7 +160,7 @@ def deleted_lines(docs: DataFrame, rare: int = RARE, block_words: int = BLOCK_WO
     units = staged(shared.groupBy("doc_id", "unit").agg(F.array_sort(F.collect_set(F.struct("place", "line", "hash", "words"))).alias("lines")), "op2-units")
     later = pairs.join(units.withColumnRenamed("lines", "later_lines"), ["doc_id", "unit"])
     both = later.join(units.select(F.col("doc_id").alias("earlier"), F.col("unit").alias("earlier_unit"), F.col("lines").alias("earlier_lines")), ["earlier", "earlier_unit"])
-    found = both.select("doc_id", "later_lines", "earlier_lines").mapInArrow(lambda it: _align_rows(it, block_words), f"doc_id {kind}, gone array<int>")
+    found = map_arrow(both.select("doc_id", "later_lines", "earlier_lines"), lambda it: _align_rows(it, block_words), f"doc_id {kind}, gone array<int>")
     return found.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
 
 
@@ -195,4 +195,4 @@ def dedup_lines(docs: DataFrame, **how) -> DataFrame:
     schema = StructType([*docs.schema.fields, *StructType.fromDDL("n_lines int, n_deleted int").fields])
     arrow = to_arrow_schema(schema)
     text_at, gone_at = names.index("text"), len(names)
-    return joined.mapInArrow(lambda it: _cut_rows(it, arrow, text_at, gone_at), schema)
+    return map_arrow(joined, lambda it: _cut_rows(it, arrow, text_at, gone_at), schema)

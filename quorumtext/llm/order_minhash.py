@@ -31,7 +31,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import may_have_key, staged, text_or_empty
+from .common import map_arrow, may_have_key, staged, text_or_empty
 
 SKETCHES = 24
 PICKS = 3
@@ -150,12 +150,15 @@ def aligned_kmers(x: np.ndarray, y: np.ndarray, least: float) -> int:
 
 def _banded_lcs(x, x_at, y, y_at, lone_x: int, lone_y: int) -> int:
     """Longest common subsequence of matches (i, j) with -lone_x <= j - i <= lone_y, by
-    patience over the matches in the band: log time a match, and as much memory as matches."""
+    patience over the matches in the band: log time a match, memory for one match a place.
+    Texts that repeat themselves have too many matches and take the way over bits."""
     from bisect import bisect_left
 
     where: dict[int, list[int]] = {}
     for value, j in zip(y.tolist(), y_at.tolist()):
         where.setdefault(value, []).append(j)
+    if sum(min(len(where[v]), lone_x + lone_y + 1) for v in x.tolist()) > 32 * len(x):
+        return _lcs_by_bits(x.tolist(), y.tolist())
     ends: list[int] = []
     for value, i in zip(x.tolist(), x_at.tolist()):
         places = where.get(value, ())
@@ -169,6 +172,19 @@ def _banded_lcs(x, x_at, y, y_at, lone_x: int, lone_y: int) -> int:
     return len(ends)
 
 
+def _lcs_by_bits(x: list[int], y: list[int]) -> int:
+    """Longest common subsequence, a whole row of the table in a few operations on long integers."""
+    places: dict[int, int] = {}
+    for i, value in enumerate(x):
+        places[value] = places.get(value, 0) | 1 << i
+    full = (1 << len(x)) - 1
+    row = full
+    for value in y:
+        hit = row & places.get(value, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(x) - row.bit_count()
+
+
 def similarity(a: str, b: str, threshold: float = THRESHOLD, size: int = KMER) -> float:
     """Aligned k-mers / (k-mers of both - aligned); 0 where that is under the threshold."""
     from .shingles import shingle_hashes
@@ -203,7 +219,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, threshold: float, size: int, na
     head_texts = may_have_key(rows, heads, "doc_id").select(F.col("doc_id").alias("head"), F.col("text").alias("head_text"))
     # the member's text goes to its pairs first: the head of a large group is split by Spark's skewed join
     texts = pairs.select("doc_id", "head").join(members, "doc_id").join(head_texts, "head")
-    found = texts.mapInArrow(lambda it: _verify_rows(it, threshold, size), f"doc_id {kind}, head {kind}, similarity double")
+    found = map_arrow(texts, lambda it: _verify_rows(it, threshold, size), f"doc_id {kind}, head {kind}, similarity double")
     return staged(found, name)
 
 
@@ -227,7 +243,7 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, sketches: int = S
     """doc_id, class_id (least id of the group), n_links (verified links of its words' class), kept, of every row."""
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = staged(rows.mapInArrow(lambda it: _sketch_rows(it, sketches, picks, size), f"doc_id {kind}, same binary, n_words long, keys array<long>"), "op3-sketches")
+    found = staged(map_arrow(rows, lambda it: _sketch_rows(it, sketches, picks, size), f"doc_id {kind}, same binary, n_words long, keys array<long>"), "op3-sketches")
     same = found.where("same IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
     copies = staged(found.select("doc_id", "same").join(same, "same", "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep")), "op3-copies")
     reps = found.where("same IS NOT NULL").join(same.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import staged, text_or_empty
+from .common import map_arrow, staged, text_or_empty
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -119,7 +119,7 @@ def pieces_of(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPAC
     schema = StructType.fromDDL(f"row long, doc_id {kind}, piece int, start long, length long, ids_crc32 long")
     arrow = to_arrow_schema(schema)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_or_empty().alias("text"))
-    return rows.mapInArrow(lambda it: to_pieces(it, tokenizer, capacity, arrow), schema)
+    return map_arrow(rows, lambda it: to_pieces(it, tokenizer, capacity, arrow), schema)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, leaf_pieces: int = LEAF_PIECES, fan_in: int = FAN_IN, carry: int = CARRY, nearly_full: int = NEARLY_FULL) -> DataFrame:

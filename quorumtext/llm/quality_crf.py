@@ -26,6 +26,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from .common import map_arrow
 from .language_id import held_out
 
 TRAIN_DOCS = 2_000
@@ -233,7 +234,7 @@ def score_documents(docs: DataFrame, field: LineField) -> DataFrame:
     """doc_id, score, predicted of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return text.mapInArrow(lambda it: _score_rows(it, field), f"doc_id {kind}, score double, predicted int")
+    return map_arrow(text, lambda it: _score_rows(it, field), f"doc_id {kind}, score double, predicted int")
 
 
 def score_held_out(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:

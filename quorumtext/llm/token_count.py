@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-from .common import staged, text_or_empty
+from .common import map_arrow, staged, text_or_empty
 
 TOKENIZER = "word_bpe_49k.json"
 #: White space as the tokenizer sees it.
@@ -102,8 +102,8 @@ def _huge(rows: DataFrame, name: str, size: int, overlap: int) -> DataFrame:
     cut_schema = StructType.fromDDL(_CHUNK.format(id=kind))
     enc_schema = StructType.fromDDL(f"row long, doc_id {kind}, n_bytes long, chunk int, low long, core long, head array<long>, tail array<long>, head_stable array<long>, tail_stable array<long>")
     cut_arrow, enc_arrow = to_arrow_schema(cut_schema), to_arrow_schema(enc_schema)
-    chunks = rows.mapInArrow(lambda it: cut(it, cut_arrow, size, overlap), cut_schema).repartition("row", "chunk")
-    found = chunks.mapInArrow(lambda it: encode_chunks(it, name, enc_arrow, overlap), enc_schema)
+    chunks = map_arrow(rows, lambda it: cut(it, cut_arrow, size, overlap), cut_schema).repartition("row", "chunk")
+    found = map_arrow(chunks, lambda it: encode_chunks(it, name, enc_arrow, overlap), enc_schema)
     w = Window.partitionBy("row").orderBy("chunk")
     seams = found.withColumn("next_stable", F.lead("head_stable").over(w)).withColumn("last", F.lead("chunk").over(w).isNull())
     seams = seams.withColumn("splice", F.array_min(F.array_intersect("tail_stable", "next_stable"))).withColumn("before", F.lag("splice").over(w))
@@ -116,7 +116,7 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, huge_chars: int =
     kind = _id_type(docs)
     text = text_or_empty()
     base = docs.select("doc_id", text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
-    small = base.where(F.length("text") <= huge_chars).mapInArrow(lambda it: count_small(it, tokenizer), f"doc_id {kind}, n_bytes long, n_tokens long, n_chunks int")
+    small = map_arrow(base.where(F.length("text") <= huge_chars), lambda it: count_small(it, tokenizer), f"doc_id {kind}, n_bytes long, n_tokens long, n_chunks int")
     # the few rows that are cut get a key of their own, which repeated ids do not disturb; their texts stay staged for wider tries
     rows = staged(base.where(F.length("text") > huge_chars).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "n_bytes"), "op1-huge")
     result, size = small, chunk_chars
