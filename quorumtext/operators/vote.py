@@ -28,31 +28,39 @@ def tier(top: Column, tie: Column, panel: int | Column) -> Column:
     return F.when(tie, "contested").when(top == size, "unanimous").when(top == size - 1, "one-dissent").when(top == size - 2, "two-dissent").otherwise("contested")
 
 
+def bind(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns whose values are computed once, here.
+
+    Spark would copy their expressions into every later use, and filters on them below
+    this place; expressions that build on one another would grow with each step.  A generator stops both.
+    """
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return rows.select("*", F.explode(F.array(made)).alias("_bound")).select(*rows.columns, "_bound.*")
+
+
 def vote(places: DataFrame, panel: int, readings: str = "readings") -> DataFrame:
     """Adds winner, top, tie, stratum, tier; places at which nobody read anything (all null) go.
 
     Of readings with as many votes the first in panel order wins.  A panel is a fixed few
     engines, so each one's votes are a sum of comparisons, which Spark compiles.
     """
-    held = places.where(F.exists(F.slice(readings, 1, panel), lambda r: r.isNotNull()))
-    own = [F.get(readings, F.lit(k)) for k in range(panel)]
-    held = held.withColumns({f"_r{k}": r for k, r in enumerate(own)})
     r = [F.col(f"_r{k}") for k in range(panel)]
-    counts = [sum((F.coalesce((r[k] == x).cast("int"), F.lit(0)) for x in r), F.lit(0)) for k in range(panel)]
-    held = held.withColumns({f"_n{k}": n for k, n in enumerate(counts)})
     n = [F.col(f"_n{k}") for k in range(panel)]
-    held = held.withColumn("top", F.greatest(*n) if panel > 1 else n[0])
+    held = bind(places, **{f"_r{k}": F.get(readings, F.lit(k)) for k in range(panel)})
+    held = held.where(F.coalesce(*r).isNotNull())
+    same = lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))
+    held = bind(held, **{f"_n{k}": sum((same(r[k], x) for x in r), F.lit(0)) for k in range(panel)})
+    held = bind(held, top=F.greatest(*n) if panel > 1 else n[0])
     first = F.when(n[0] == F.col("top"), r[0])
     for k in range(1, panel):
         first = first.when(n[k] == F.col("top"), r[k])
-    held = held.withColumn("winner", first)
+    held = bind(held, winner=first)
     other = F.lit(False)
     for k in range(panel):
         other = other | F.coalesce((n[k] == F.col("top")) & (r[k] != F.col("winner")), F.lit(False))
-    held = held.withColumn("tie", other)
+    held = bind(held, tie=other).drop(*[f"_r{k}" for k in range(panel)], *[f"_n{k}" for k in range(panel)])
     stratum = F.when(F.col("tie"), "tie").otherwise(F.concat(F.col("top").cast("string"), F.lit(f"of{panel}")))
-    held = held.withColumn("stratum", stratum).withColumn("tier", tier(F.col("top"), F.col("tie"), panel))
-    return held.drop(*[f"_r{k}" for k in range(panel)], *[f"_n{k}" for k in range(panel)])
+    return held.withColumns({"stratum": stratum, "tier": tier(F.col("top"), F.col("tie"), panel)})
 
 
 def sub_panel(places: DataFrame, engines: list[int]) -> DataFrame:

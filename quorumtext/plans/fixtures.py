@@ -60,18 +60,33 @@ f1 AS (SELECT doc_id, pos, (pos // 10)::INTEGER AS line, k::INTEGER AS k, tok AS
   FROM (SELECT *, (doc_id * 31 + pos * 17 + k * 7919) % 397 AS h FROM words, range(6) r(k)))"""
 )
 
+#: F1 with words that half of the engines read in two places and others not at all.
+F1_HOLES = F1.replace(
+    "WHEN doc_id % 13 = 0 AND k = 5 THEN NULL",
+    "WHEN pos % 19 = 0 THEN CASE WHEN k < 3 THEN '' ELSE substr(tok, 1, 3) END WHEN pos % 19 = 1 THEN CASE WHEN k < 2 THEN '' WHEN k = 2 THEN tok ELSE substr(tok, 3) END WHEN doc_id % 13 = 0 AND k = 5 THEN NULL",
+)
+
+
+def f1_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blank, tok = F.lit(""), F.col("truth")
+    first, second = F.substring(tok, 1, 3), F.substring(tok, 3, 1_000_000)
+    readings = F.when(F.col("pos") % 19 == 0, F.array(blank, blank, blank, first, first, first)).when(F.col("pos") % 19 == 1, F.array(blank, blank, tok, second, second, second)).otherwise(F.col("readings"))
+    return f1(spark, sf_dir).withColumn("readings", readings)
+
+
 #: Every place's vote: winner, highest count, how many readings have it.
 VOTE = (
     F1
-    + """,
+    + (_VOTED := """,
 n1 AS (SELECT doc_id, pos, line, truth, reading, count(*) AS n, min(k) AS o FROM f1 WHERE reading IS NOT NULL GROUP BY ALL),
 vote AS (SELECT doc_id, pos, line, truth, arg_max(reading, n * 10 - o) AS winner, max(n) AS top FROM n1 GROUP BY ALL),
 ties AS (SELECT doc_id, pos, count(*) AS m FROM n1 JOIN vote USING (doc_id, pos) WHERE n = top GROUP BY ALL),
 voted AS (SELECT doc_id, pos, line, truth, winner, top, m >= 2 AS tie,
   CASE WHEN m >= 2 THEN 'tie' ELSE top || 'of6' END AS stratum,
   CASE WHEN m >= 2 THEN 'contested' WHEN top = 6 THEN 'unanimous' WHEN top = 5 THEN 'one-dissent' WHEN top = 4 THEN 'two-dissent' ELSE 'contested' END AS tier
-  FROM vote JOIN ties USING (doc_id, pos))"""
+  FROM vote JOIN ties USING (doc_id, pos))""")
 )
+VOTE_HOLES = F1_HOLES + _VOTED
 
 
 def f3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,15 +94,15 @@ def f3(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     column = F.substring("o_orderpriority", 1, 1).cast("int") % 3
     return o.select(
-        (F.col("o_orderkey") % 50).cast("int").alias("page"), F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 5).cast("int").alias("engine"),
-        ((column * 330 + 20 + F.col("o_orderkey") % 7) / 1000.0).alias("x0"), (F.col("o_orderkey") * 37 % 1000 / 1000.0).alias("y0"),
-        ((column * 330 + 20 + F.col("o_orderkey") % 7 + 280) / 1000.0).alias("x1"), ((F.col("o_orderkey") * 37 % 1000 + 12) / 1000.0).alias("y1"), column.alias("col"),
+        (F.col("o_orderkey") % 50).cast("int").alias("page"), F.col("o_orderkey").alias("id"), (F.expr("o_orderkey div 50") % 5).cast("int").alias("engine"),
+        ((column * 330 + 20 + F.col("o_orderkey") % 7) / 1000.0).alias("x0"), (F.expr("(o_orderkey div 11 * 37 + o_orderkey div 50 % 5 * 3) % 1000") / 1000.0).alias("y0"),
+        ((column * 330 + 20 + F.col("o_orderkey") % 7 + 280) / 1000.0).alias("x1"), ((F.expr("(o_orderkey div 11 * 37 + o_orderkey div 50 % 5 * 3) % 1000") + 12) / 1000.0).alias("y1"), column.alias("col"),
     )
 
 
-F3 = """f3 AS (SELECT (o_orderkey % 50)::INTEGER AS page, o_orderkey AS id, (o_orderkey % 5)::INTEGER AS engine,
-  (c * 330 + 20 + o_orderkey % 7) / 1000.0::DOUBLE AS x0, (o_orderkey * 37 % 1000) / 1000.0::DOUBLE AS y0,
-  (c * 330 + 20 + o_orderkey % 7 + 280) / 1000.0::DOUBLE AS x1, (o_orderkey * 37 % 1000 + 12) / 1000.0::DOUBLE AS y1, c AS col
+F3 = """f3 AS (SELECT (o_orderkey % 50)::INTEGER AS page, o_orderkey AS id, (o_orderkey // 50 % 5)::INTEGER AS engine,
+  (c * 330 + 20 + o_orderkey % 7) / 1000.0::DOUBLE AS x0, ((o_orderkey // 11 * 37 + o_orderkey // 50 % 5 * 3) % 1000) / 1000.0::DOUBLE AS y0,
+  (c * 330 + 20 + o_orderkey % 7 + 280) / 1000.0::DOUBLE AS x1, ((o_orderkey // 11 * 37 + o_orderkey // 50 % 5 * 3) % 1000 + 12) / 1000.0::DOUBLE AS y1, c AS col
   FROM (SELECT *, substr(o_orderpriority, 1, 1)::INTEGER % 3 AS c FROM orders))"""
 
 

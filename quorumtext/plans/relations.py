@@ -1 +1,235 @@
-"""Queries."""
+"""Queries on joins, aggregates, top-k and set operations."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window, functions as F
+
+from ..functions import text as T
+from ..operators import joins as J, sets as S
+from . import fixtures as X
+from .registry import query, with_
+
+
+@query(with_(X.F5, """SELECT entry, nth, number, note FROM (SELECT entry, nth, number, n.text AS note, row_number() OVER (PARTITION BY entry, page, col, number ORDER BY nth) AS r
+ FROM calls JOIN (SELECT page, col, number, text FROM notes QUALIFY row_number() OVER (PARTITION BY page, col, number ORDER BY okey, seq) = 1) n USING (page, col, number)) WHERE r = 1"""))
+def note_attach(spark, sf_dir):
+    """J-09"""
+    calls = X.f5_calls(spark, sf_dir).drop("text")
+    notes = X.f5_notes(spark, sf_dir).withColumnRenamed("text", "note")
+    return J.first_match(calls, notes, ["page", "col", "number"], ["nth"], "entry", ["okey", "seq"]).select("entry", "nth", "number", "note")
+
+
+_BOUNDS = "SELECT l_orderkey % 200 AS grp, l_partkey * 10 + l_linenumber AS start, l_suppkey AS leaf, l_orderkey AS col FROM lineitem WHERE l_orderkey % 3 = 0"
+
+
+@query(f"""WITH b AS (SELECT grp, start, max(leaf * 1000000 + col) AS lc FROM ({_BOUNDS}) GROUP BY ALL), a AS (SELECT o_orderkey AS id, o_orderkey % 200 AS grp, o_custkey * 13 AS at FROM orders)
+SELECT id, lc // 1000000 AS leaf, lc % 1000000 AS col FROM a ASOF LEFT JOIN b ON a.grp = b.grp AND a.at >= b.start""")
+def asof_leaf(spark, sf_dir):
+    """J-10"""
+    item = X.table(spark, sf_dir, "lineitem").where("l_orderkey % 3 = 0")
+    bounds = item.select((F.col("l_orderkey") % 200).alias("grp"), (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("start"), F.col("l_suppkey").alias("leaf"), F.col("l_orderkey").alias("col"))
+    bounds = bounds.groupBy("grp", "start").agg(F.max(F.struct("leaf", "col")).alias("m")).select("grp", "start", "m.leaf", "m.col")
+    asks = X.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 200).alias("grp"), (F.col("o_custkey") * 13).alias("at"))
+    return J.as_of(asks, bounds, ["grp"], "at", "start", ["leaf", "col"]).select("id", "leaf", "col")
+
+
+@query(with_(X.F3, """SELECT a.id AS line, b.id AS engine_line FROM f3 a JOIN f3 b ON a.page = b.page AND a.engine = 0 AND b.engine = 1
+ AND (a.y0 + a.y1) / 2 >= b.y0 + 0.002 AND (a.y0 + a.y1) / 2 <= b.y1 + 0.002 AND a.x0 < b.x1 AND a.x1 > b.x0"""))
+def range_lines(spark, sf_dir):
+    """J-11: lines of one engine whose centre is inside a line of the other, shifted, and that overlap it across."""
+    f = X.f3(spark, sf_dir)
+    a = f.where("engine = 0").select("page", F.col("id").alias("line"), F.col("x0").alias("ax0"), F.col("x1").alias("ax1"), ((F.col("y0") + F.col("y1")) / 2).alias("mid"))
+    b = f.where("engine = 1").select("page", F.col("id").alias("engine_line"), "x0", "x1", (F.col("y0") + 0.002).alias("low"), (F.col("y1") + 0.002).alias("high"))
+    met = J.between_rows(a, b, ["page"], F.col("mid"), F.col("low"), F.col("high"), 0.05)
+    return met.where("ax0 < x1 AND ax1 > x0").select("line", "engine_line")
+
+
+@query(with_(X.F3, """SELECT line, partner FROM (SELECT a.id AS line, b.id AS partner, row_number() OVER (PARTITION BY a.id ORDER BY round(least(a.y1, b.y1) - greatest(a.y0, b.y0), 6) DESC, b.id) AS r
+ FROM f3 a JOIN f3 b ON a.page = b.page AND a.col = b.col AND b.x0 < a.x0 AND a.engine = 2 AND b.engine = 2 AND round(least(a.y1, b.y1) - greatest(a.y0, b.y0), 6) >= 0.0072) WHERE r = 1"""))
+def overlap_partner(spark, sf_dir):
+    """J-12: in the same column the line further left that overlaps most in height, by 0.6 of the lower one at least; the first of equals."""
+    f = X.f3(spark, sf_dir).where("engine = 2")
+    a = f.select("page", "col", F.col("id").alias("line"), F.col("x0").alias("ax0"), F.col("y0").alias("ay0"), F.col("y1").alias("ay1"))
+    # lines are 0.012 high: what overlaps starts less than a cell away, on either side
+    a = a.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("ay0") / 0.02) - 1, F.floor(F.col("ay1") / 0.02) + 1)))
+    b = f.select("page", "col", F.col("id").alias("partner"), "x0", "y0", "y1", F.floor(F.col("y0") / 0.02).alias("_cell"))
+    over = F.round(F.least("ay1", "y1") - F.greatest("ay0", "y0"), 6)
+    met = a.join(b, ["page", "col", "_cell"]).where("x0 < ax0").withColumn("over", over).where("over >= 0.0072")
+    return met.groupBy("line").agg(F.max_by("partner", F.struct("over", -F.col("partner"))).alias("partner"))
+
+
+@query(with_(X.F5, """SELECT okey, seq FROM notes n WHERE NOT EXISTS (SELECT 1 FROM calls c JOIN notes m ON m.page = c.page AND m.col = c.col AND m.number = c.number
+ WHERE m.page = n.page AND m.number = n.number AND substr(m.text, 1, 40) = substr(n.text, 1, 40))"""))
+def anti_notes(spark, sf_dir):
+    """J-05: notes that no entry claims, by page, number and the first forty characters."""
+    notes = X.f5_notes(spark, sf_dir)
+    claimed = notes.join(X.f5_calls(spark, sf_dir).select("page", "col", "number").distinct(), ["page", "col", "number"], "left_semi")
+    same = lambda c: (F.col(c), F.col(c))
+    short = F.substring("text", 1, 40)
+    return J.anti_with_key(notes, claimed.select("page", "number", "text"), {"page": same("page"), "number": same("number"), "_short": (short, short)}).select("okey", "seq")
+
+
+@query(with_(X.F5, "SELECT DISTINCT number, text, page FROM notes WHERE number > 12 AND page IN (SELECT o_orderkey // 40 FROM orders WHERE year(o_orderdate) = 1998)"))
+def semi_notes(spark, sf_dir):
+    """J-02"""
+    pages = X.table(spark, sf_dir, "orders").where(F.year("o_orderdate") == 1998).select(F.expr("o_orderkey div 40").cast("int").alias("page"))
+    return X.f5_notes(spark, sf_dir).where("number > 12").join(pages, "page", "left_semi").select("number", "text", "page").distinct()
+
+
+@query(with_(X.F4 + ", " + X.F5 + """, nn AS (SELECT c.entry AS id, count(*) AS n FROM calls c SEMI JOIN notes USING (page, col, number) GROUP BY 1)""", """SELECT year, count(*) AS entries, sum(coalesce(n, 0))::BIGINT AS notes, min(text) AS first_text FROM f4 LEFT JOIN nn USING (id) GROUP BY year"""))
+def year_page(spark, sf_dir):
+    """J-01, SNK-09: a page of each year from one job keyed by the year: entries with their notes."""
+    calls = X.f5_calls(spark, sf_dir).join(X.f5_notes(spark, sf_dir).select("page", "col", "number").distinct(), ["page", "col", "number"], "left_semi")
+    per = calls.groupBy(F.col("entry").alias("id")).agg(F.count("*").alias("n"))
+    return X.f4(spark, sf_dir).join(per, "id", "left").groupBy("year").agg(F.count("*").alias("entries"), F.sum(F.coalesce("n", F.lit(0))).alias("notes"), F.min("text").alias("first_text"))
+
+
+@query("SELECT x AS key FROM (SELECT unnest(range(min(o_orderkey), max(o_orderkey) + 1)) AS x FROM orders) WHERE x NOT IN (SELECT o_orderkey FROM orders WHERE o_custkey % 5 <> 0)")
+def plates_gap(spark, sf_dir):
+    """J-04, SO-03: numbers in a range that no row has."""
+    o = X.table(spark, sf_dir, "orders")
+    axis = J.dense_axis(o.select(F.col("o_orderkey").alias("key")), "key")
+    return axis.join(o.where("o_custkey % 5 <> 0").select(F.col("o_orderkey").alias("key")), "key", "left_anti")
+
+
+@query("""WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda x: x <> '') AS w FROM documents),
+n AS (SELECT DISTINCT array_to_string(list_slice(w, 1, 3), ' ') AS needle FROM (SELECT list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda x: x <> '') AS w FROM benchmark) WHERE len(w) >= 3)
+SELECT DISTINCT doc_id, needle FROM (SELECT doc_id, unnest([array_to_string(list_slice(w, i, i + 2), ' ') for i in range(1, len(w) - 1)]) AS needle FROM w WHERE len(w) >= 3) SEMI JOIN n USING (needle)""")
+def contain_join(spark, sf_dir):
+    """J-16: documents that hold the first three words of a benchmark item."""
+    start = F.slice(F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda x: x != ""), 1, 3)
+    needles = X.table(spark, sf_dir, "benchmark").select(start.alias("w")).where(F.size("w") == 3).select(F.array_join("w", " ").alias("needle"))
+    docs = X.spread(X.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return J.contains_any(docs, "text", needles, "needle", 3).select("doc_id", "needle")
+
+
+_LOWER = """lw AS (SELECT doc_id, unnest(range(len(w)))::INTEGER AS pos, unnest(w) AS w FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda x: x <> '') AS w FROM documents))"""
+
+
+@query(f"""WITH {_LOWER}, lex AS (SELECT w, count(*) AS n FROM lw GROUP BY w), p AS (SELECT w AS a, lead(w) OVER (PARTITION BY doc_id ORDER BY pos) AS b FROM lw)
+SELECT a, b, count(*) AS seen FROM p JOIN lex j ON j.w = a || b JOIN lex x ON x.w = a JOIN lex y ON y.w = b WHERE b IS NOT NULL AND j.n >= 2 AND (x.n < j.n OR y.n < j.n) GROUP BY a, b""")
+def bigram_vocab(spark, sf_dir):
+    """J-20: neighbours that are one attested word together, when a half of them is the rarer."""
+    w = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda x: x != "")
+    docs = X.spread(X.table(spark, sf_dir, "documents").select("doc_id", "text")).select(w.alias("w"))
+    lex = docs.select(F.explode("w").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    pairs = docs.where(F.size("w") >= 2).select(F.explode(F.arrays_zip(F.slice("w", F.lit(1), F.size("w") - 1).alias("a"), F.slice("w", F.lit(2), F.size("w") - 1).alias("b"))).alias("p")).groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.count("*").alias("seen"))
+    joined = pairs.withColumn("w", F.concat("a", "b")).join(lex.where("n >= 2").withColumnRenamed("n", "jn"), "w").drop("w")
+    halves = joined.join(lex.select(F.col("w").alias("a"), F.col("n").alias("an")), "a").join(lex.select(F.col("w").alias("b"), F.col("n").alias("bn")), "b")
+    return halves.where("an < jn OR bn < jn").select("a", "b", "seen")
+
+
+@query(with_(X.F4, "SELECT (year // 10 * 10)::INTEGER AS decade, source, count(*) AS n FROM (SELECT year, unnest(sources) AS source FROM f4) GROUP BY ALL"))
+def decade_sources(spark, sf_dir):
+    """AG-03, FN-26"""
+    return X.f4(spark, sf_dir).select(T.decade(F.col("year")).alias("decade"), F.explode("sources").alias("source")).groupBy("decade", "source").agg(F.count("*").alias("n"))
+
+
+@query(with_(X.F4, """SELECT decade, CASE WHEN r <= 2 THEN source ELSE 'other' END AS source, sum(n)::BIGINT AS n, round(sum(n) / sum(sum(n)) OVER (PARTITION BY decade), 6) AS share FROM
+ (SELECT *, dense_rank() OVER (ORDER BY total DESC, source) AS r FROM (SELECT decade, source, n, sum(n) OVER (PARTITION BY source) AS total FROM
+  (SELECT (year // 10 * 10)::INTEGER AS decade, source, count(*) AS n FROM (SELECT year, unnest(sources) AS source FROM f4) GROUP BY ALL))) GROUP BY 1, 2"""))
+def stacked_share(spark, sf_dir):
+    """PR-29: shares of the leading sources in each decade, the rest pooled."""
+    per = decade_sources(spark, sf_dir)
+    leading = per.groupBy("source").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "source").limit(2).select("source", F.lit(True).alias("lead"))
+    pooled = per.join(F.broadcast(leading), "source", "left").withColumn("source", F.when(F.col("lead"), F.col("source")).otherwise("other")).groupBy("decade", "source").agg(F.sum("n").alias("n"))
+    return pooled.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("decade")), 6))
+
+
+@query("""WITH c AS (SELECT year(o_orderdate)::INTEGER AS year, count(*) AS n FROM orders WHERE o_orderkey % 400 = 0 GROUP BY 1), ax AS (SELECT unnest(range(min(year), max(year) + 1))::INTEGER AS year FROM c)
+SELECT year, coalesce(n, 0) AS n, CASE WHEN coalesce(n, 0) > 0 THEN round(sqrt(n::DOUBLE / max(n) OVER ()) * 100, 2) ELSE 2.0 END AS height FROM ax LEFT JOIN c USING (year)""")
+def density(spark, sf_dir):
+    """AG-02, FN-25, SO-03: counts on an axis without holes and the heights of their bars."""
+    c = X.table(spark, sf_dir, "orders").where("o_orderkey % 400 = 0").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n"))
+    peak = c.agg(F.max("n").alias("peak"))
+    return J.dense_axis(c, "year").join(c, "year", "left").withColumn("n", F.coalesce("n", F.lit(0))).crossJoin(F.broadcast(peak)).select("year", "n", T.density_height(F.col("n"), F.col("peak")).alias("height"))
+
+
+@query("SELECT year(o_orderdate)::INTEGER AS year, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, year LIMIT 6")
+def topk_years(spark, sf_dir):
+    """TK-02"""
+    return X.table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "year").limit(6)
+
+
+@query("""SELECT (SELECT count(*) FROM orders) AS orders, (SELECT count(*) FROM documents) AS documents, (SELECT count(DISTINCT year(o_orderdate)) FROM orders) AS years, (SELECT count(*) FROM lineitem) AS items""")
+def site_counts(spark, sf_dir):
+    """AG-01: several counts in one row; each is a scan of row counts."""
+    o = X.table(spark, sf_dir, "orders").agg(F.count("*").alias("orders"), F.countDistinct(F.year("o_orderdate")).alias("years"))
+    d = X.table(spark, sf_dir, "documents").agg(F.count("*").alias("documents"))
+    i = X.table(spark, sf_dir, "lineitem").agg(F.count("*").alias("items"))
+    return o.crossJoin(d).crossJoin(i).select("orders", "documents", "years", "items")
+
+
+@query("""SELECT o_orderpriority AS century, count(*) AS n, min(year(o_orderdate))::INTEGER AS first, max(year(o_orderdate))::INTEGER AS last, count(DISTINCT year(o_orderdate)) AS years FROM orders GROUP BY 1""")
+def century_span(spark, sf_dir):
+    """AG-04"""
+    y = F.year("o_orderdate")
+    return X.table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("century")).agg(F.count("*").alias("n"), F.min(y).alias("first"), F.max(y).alias("last"), F.countDistinct(y).alias("years"))
+
+
+@query("SELECT o_orderkey AS id, o_custkey AS cust FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_custkey BETWEEN 10 AND 400 AND o_totalprice > 0 AND o_orderdate IS NOT NULL")
+def filters(spark, sf_dir):
+    """PF-01, PF-02, PF-03, PF-06: all reach the scan."""
+    o = X.table(spark, sf_dir, "orders")
+    return o.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & F.col("o_custkey").between(10, 400) & (F.col("o_totalprice") > 0) & F.col("o_orderdate").isNotNull()).select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust"))
+
+
+@query(with_(X.F4, "SELECT id, year FROM f4 WHERE list_contains(sources, 'P1')"))
+def source_member(spark, sf_dir):
+    """PF-04: a null element does not make membership unknown."""
+    return X.f4(spark, sf_dir).where(F.coalesce(F.array_contains("sources", "P1"), F.lit(False))).select("id", "year")
+
+
+@query(with_(X.F4, """SELECT source, count(*) AS n, CASE WHEN source LIKE 'P_%' THEN 'Priority ' || substr(source, 2) ELSE source END AS expansion FROM (SELECT unnest(sources) AS source FROM f4) GROUP BY source"""))
+def sigla_expand(spark, sf_dir):
+    """J-06, J-07: sources with their expansion where the glossary has one, themselves otherwise."""
+    glossary = spark.createDataFrame([(f"P{k}", f"Priority {k}") for k in range(1, 6)], "source string, expansion string")
+    used = X.f4(spark, sf_dir).select(F.explode("sources").alias("source")).groupBy("source").agg(F.count("*").alias("n"))
+    return used.join(F.broadcast(glossary), "source", "left").select("source", "n", F.coalesce("expansion", "source").alias("expansion"))
+
+
+@query(with_(X.F3 + """, a AS (SELECT page FROM f3 WHERE engine = 0 GROUP BY page HAVING count(DISTINCT col) = 3), b AS (SELECT page FROM f3 GROUP BY page HAVING min(y0) < 0.01),
+i AS (SELECT page FROM a INTERSECT SELECT page FROM b)""", "SELECT unnest(range(min(page), max(page) + 1))::INTEGER AS page FROM i"))
+def close_range(spark, sf_dir):
+    """SO-02: both signals fire, then the range is closed."""
+    f = X.f3(spark, sf_dir)
+    a = f.where("engine = 0").groupBy("page").agg(F.countDistinct("col").alias("n")).where("n = 3")
+    b = f.groupBy("page").agg(F.min("y0").alias("top")).where("top < 0.01")
+    return S.close_range(a, b, "page")
+
+
+@query("SELECT user_id, arg_max(value, event_id) AS value, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY user_id")
+def last_decision(spark, sf_dir):
+    """ST-01 in batch, SNK-03: the last row of a key wins."""
+    e = X.table(spark, sf_dir, "events").select("user_id", "value", "event_type", "event_id")
+    return S.last_wins(e.withColumn("o", F.col("event_id")), ["user_id"], "o").drop("o")
+
+
+@query(with_(X.F4 + """, ed(id, op) AS (SELECT o_orderkey, ['drop', 'date', 'split'][1 + (o_orderkey // 50) % 3] FROM orders WHERE o_orderkey % 50 = 0 UNION ALL VALUES (-1, 'drop'), (-2, 'date')),
+r AS (SELECT f4.*, op FROM f4 LEFT JOIN ed USING (id))""", """SELECT id, year, CASE WHEN op = 'date' THEN 1 ELSE month END::INTEGER AS month, CASE WHEN op = 'date' THEN 1 ELSE day END::INTEGER AS day, part::INTEGER AS part, 'kept' AS result
+ FROM r, range(2) p(part) WHERE op IS DISTINCT FROM 'drop' AND (part = 0 OR op = 'split') UNION ALL SELECT id, NULL, NULL, NULL, NULL, 'orphan' FROM ed ANTI JOIN f4 USING (id)"""))
+def edits_apply(spark, sf_dir):
+    """UD-04: entries dropped, dated or split by hand; edits that meet no entry are reported."""
+    from ..operators.edits import apply_edits
+
+    keys = X.table(spark, sf_dir, "orders").where("o_orderkey % 50 = 0").select(F.col("o_orderkey").alias("id"))
+    ops = keys.withColumn("op", F.element_at(F.array(*map(F.lit, ("drop", "date", "split"))), (F.expr("id div 50") % 3 + 1).cast("int")))
+    edits = ops.unionByName(spark.createDataFrame([(-1, "drop"), (-2, "date")], "id long, op string")).withColumns({"to_month": F.lit(1), "to_day": F.lit(1), "cuts": F.lit(1)})
+    return apply_edits(X.f4(spark, sf_dir).select("id", "year", "month", "day"), edits)
+
+
+@query("SELECT 'orders' AS name, count(*) AS n, true AS equal FROM orders UNION ALL SELECT 'nation', count(*), true FROM nation")
+def export_roundtrip(spark, sf_dir):
+    """SNK-01, SRC-06: tables written as zstd parquet and read back hold the same rows."""
+    from ..sources import sinks
+
+    out = None
+    for name in ("orders", "nation"):
+        before = X.table(spark, sf_dir, name)
+        path = f"{sinks.scratch(spark)}/{name}"
+        sinks.export_table(before, path)
+        after = spark.read.schema(before.schema).parquet(path)
+        lost = before.exceptAll(after).unionAll(after.exceptAll(before)).isEmpty()
+        row = after.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n", F.lit(lost).alias("equal"))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -1 +1,166 @@
-"""Queries."""
+"""Queries on ordered rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window, functions as F
+
+from ..functions import text as T
+from ..operators import sequence as Q, spans as P, vote as V
+from . import fixtures as X
+from .ballots import voted
+from .registry import query, with_
+
+
+@query(with_(X.WORDS, "SELECT doc_id, pos, string_agg(tok, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS context FROM words"))
+def context_window(spark, sf_dir):
+    """WN-03: from the document's own array, so no shuffle brings its words together."""
+    w = T.tokens(F.col("text"))
+    docs = X.spread(X.table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", w.alias("w")).where(F.size("w") > 0)
+    low = lambda i: F.greatest(i - 2, F.lit(1))  # noqa: E731  1-based
+    around = F.transform("w", lambda _, i: F.array_join(F.slice("w", low(i), F.least(i + 4, F.size("w")) - low(i) + 1), " "))
+    return docs.select("doc_id", F.posexplode(around).alias("pos", "context"))
+
+
+_RUNS = X.VOTE + (_AS_RUNS := """,
+c AS (SELECT * FROM voted WHERE tier <> 'unanimous'),
+g AS (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY doc_id, line ORDER BY pos) = 1 THEN 0 ELSE 1 END AS gap FROM c),
+runs AS (SELECT *, (sum(gap) OVER (PARTITION BY doc_id, line ORDER BY pos) - 1)::BIGINT AS run FROM g)""")
+
+
+@query(with_(_RUNS, "SELECT doc_id, line, run, min(pos) AS from_pos, max(pos) AS to_pos FROM runs GROUP BY ALL"))
+def spans_islands(spark, sf_dir):
+    """WN-04"""
+    runs = Q.islands(voted(spark, sf_dir), ["doc_id", "line"], "pos", F.col("tier") != "unanimous")
+    return runs.groupBy("doc_id", "line", "run").agg(F.min("pos").alias("from_pos"), F.max("pos").alias("to_pos"))
+
+
+_FOLD = r"lower(regexp_replace(regexp_replace({}, '[ \t\n\r\f]+', '', 'g'), '[‐‑‒–—―-]', '—', 'g'))"
+
+
+@query(with_(X.VOTE_HOLES + _AS_RUNS + f""",
+s AS (SELECT doc_id, line, run, k, coalesce(string_agg(reading, ' ' ORDER BY pos) FILTER (WHERE coalesce(reading, '') <> ''), '') AS raw,
+  coalesce(list(winner ORDER BY pos) FILTER (WHERE winner <> ''), []) AS standing FROM runs JOIN f1 USING (doc_id, pos, line) GROUP BY doc_id, line, run, k HAVING bool_or(winner = '')),
+fo AS (SELECT *, {_FOLD.format('raw')} AS fold FROM s),
+fn AS (SELECT doc_id, line, run, fold, count(*) AS n, arg_min(raw, k) AS text, any_value(standing) AS standing FROM fo GROUP BY ALL),
+bl AS (SELECT doc_id, line, run, sum(CASE WHEN fold = '' THEN n ELSE 0 END) AS blank FROM fn GROUP BY ALL),
+b AS (SELECT * FROM fn WHERE fold <> '' QUALIFY row_number() OVER (PARTITION BY doc_id, line, run ORDER BY n DESC, length(fold) DESC, fold DESC) = 1)""",
+    f"""SELECT doc_id, line, run, text, CASE WHEN n >= 5 THEN 'one-dissent' WHEN n = 4 THEN 'two-dissent' ELSE 'contested' END AS grade FROM b JOIN bl USING (doc_id, line, run)
+WHERE n >= 2 AND n > blank AND length(fold) > length({_FOLD.format("array_to_string(standing, '')")}) AND len(list_filter(standing, lambda w: NOT contains(fold, {_FOLD.format('w')}))) = 0"""))
+def span_revote(spark, sf_dir):
+    """D4"""
+    return P.span_revote(V.vote(X.f1_holes(spark, sf_dir), X.ENGINES), X.ENGINES, ["doc_id", "line"], "pos")
+
+
+@query("""SELECT user_id, run, count(*) AS n FROM (SELECT user_id, (sum(far) OVER (PARTITION BY user_id ORDER BY ts, event_id))::BIGINT AS run FROM
+ (SELECT user_id, ts, event_id, CASE WHEN epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) > 21600 THEN 1 ELSE 0 END AS far FROM events)) GROUP BY ALL""")
+def gap_split(spark, sf_dir):
+    """WN-05: sessions of a user, split where six hours pass."""
+    e = X.table(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").cast("double").alias("s"))
+    return Q.split_at_gap(e, ["user_id"], ["s", "event_id"], F.col("s"), F.col("s"), 21600).groupBy("user_id", "run").agg(F.count("*").alias("n"))
+
+
+@query(with_(X.F4, """SELECT id, year, max(month) OVER (PARTITION BY page, g)::INTEGER AS month, day FROM
+ (SELECT *, count(month) OVER (PARTITION BY page ORDER BY id) AS g FROM f4)"""))
+def month_carry(spark, sf_dir):
+    """WN-09: a page's months hold until restated."""
+    return X.f4(spark, sf_dir).select("id", "year", Q.carry(F.col("month"), ["page"], ["id"]).alias("month"), "day")
+
+
+@query("""SELECT grp, run, min(page) AS first, max(page) AS last FROM (SELECT grp, page, (sum(b) OVER (PARTITION BY grp ORDER BY page))::BIGINT AS run FROM
+ (SELECT grp, page, CASE WHEN page = lag(page) OVER (PARTITION BY grp ORDER BY page) + 1 THEN 0 ELSE 1 END AS b FROM
+  (SELECT DISTINCT o_custkey % 50 AS grp, o_orderkey // 20 AS page FROM orders))) GROUP BY ALL""")
+def page_flush(spark, sf_dir):
+    """WN-10: runs of pages that follow one another."""
+    pages = X.table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("grp"), F.expr("o_orderkey div 20").alias("page")).distinct()
+    after = F.coalesce(F.col("page") == F.lag("page").over(Q.over(["grp"], ["page"])) + 1, F.lit(False))
+    return pages.withColumn("b", ~after).withColumn("run", Q.run_id(F.col("b"), ["grp"], ["page"])).groupBy("grp", "run").agg(F.min("page").alias("first"), F.max("page").alias("last"))
+
+
+@query("""SELECT grp, page, max(year) OVER (PARTITION BY grp ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)::INTEGER AS reached FROM
+ (SELECT o_custkey % 20 AS grp, o_orderkey // 40 AS page, max(year(o_orderdate)) AS year FROM orders WHERE o_orderkey % 7 = 0 GROUP BY ALL)""")
+def reached_max(spark, sf_dir):
+    """WN-11"""
+    per = X.table(spark, sf_dir, "orders").where("o_orderkey % 7 = 0").groupBy((F.col("o_custkey") % 20).alias("grp"), F.expr("o_orderkey div 40").alias("page")).agg(F.max(F.year("o_orderdate")).alias("year"))
+    return per.select("grp", "page", Q.reached(F.col("year"), ["grp"], ["page"]).alias("reached"))
+
+
+@query("""SELECT day, hour, flag OR (coalesce(lag(flag) OVER w, false) AND coalesce(lead(flag) OVER w, false)) AS flag FROM
+ (SELECT day(ts)::INTEGER AS day, hour(ts)::INTEGER AS hour, sum(value) > 700 AS flag FROM events GROUP BY ALL) WINDOW w AS (PARTITION BY day ORDER BY hour)""")
+def hole_fill(spark, sf_dir):
+    """WN-14"""
+    per = X.table(spark, sf_dir, "events").groupBy(F.dayofmonth("ts").alias("day"), F.hour("ts").alias("hour")).agg((F.sum("value") > 700).alias("flag"))
+    return Q.fill_holes(per, ["day"], "hour", "flag")
+
+
+@query(with_(X.F4, "SELECT year, id FROM (SELECT year, id, month, page, lag(month) OVER w AS pm, lag(page) OVER w AS pp FROM f4 WINDOW w AS (PARTITION BY year ORDER BY id)) WHERE page < pp OR month < pm"))
+def backwards(spark, sf_dir):
+    """WN-15: entries whose page or month goes back."""
+    w = Q.over(["year"], ["id"])
+    f = X.f4(spark, sf_dir).withColumns({"pm": F.lag("month").over(w), "pp": F.lag("page").over(w)})
+    return f.where("page < pp OR month < pm").select("year", "id")
+
+
+_WORDS_L = """w AS (SELECT doc_id, [translate(lower(x), 'àáâäçèéêëìíîïñòóôöùúûü', 'aaaaceeeeiiiinoooouuuu') for x in list_filter(string_split_regex(text, '[ \\t\\n\\r\\f]+'), lambda x: x <> '')] AS w FROM documents)"""
+
+
+@query(f"""WITH {_WORDS_L} SELECT doc_id, pos, word FROM (SELECT doc_id, unnest(range(len(w)))::INTEGER AS pos, unnest(w) AS word, unnest(list_append(list_slice(w, 2, len(w)), NULL)) AS after FROM w) WHERE word = after AND length(word) > 2""")
+def adjacent_dupes(spark, sf_dir):
+    """WN-16: a word beside itself, without case and accents; inside the document's own array."""
+    w = T.tokens(F.translate(F.lower("text"), "àáâäçèéêëìíîïñòóôöùúûü", "aaaaceeeeiiiinoooouuuu"))
+    docs = X.spread(X.table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", w.alias("w"))
+    pairs = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("pos"), x.alias("word"), F.get("w", i + 1).alias("after"))), lambda p: (p["word"] == p["after"]) & (F.length(p["word"]) > 2))
+    return docs.select("doc_id", F.explode(pairs).alias("p")).select("doc_id", "p.pos", "p.word")
+
+
+@query("""SELECT o_orderkey AS key, (row_number() OVER w = 1 OR month(o_orderdate) IS DISTINCT FROM lag(month(o_orderdate)) OVER w) AS is_header FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)""")
+def headers_on_change(spark, sf_dir):
+    """WN-18"""
+    o = X.table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("key"), F.month("o_orderdate").alias("m"))
+    return o.select("key", Q.changed(F.col("m"), ["o_custkey"], ["key"]).alias("is_header"))
+
+
+@query(r"""SELECT conv_id, replace(string_agg(CASE WHEN turn % 2 = 0 THEN text || '-' ELSE text END, ' ' ORDER BY turn) || ' ', '- ', '') AS text FROM
+ (SELECT conv_id, turn, replace(replace(text, '-', ''), '  ', ' ') AS text FROM conversations) GROUP BY conv_id""".replace("replace(string_agg(", "rtrim(replace(string_agg(").replace("'- ', '') AS text FROM", "'- ', ''), ' ') AS text FROM"))
+def stitch(spark, sf_dir):
+    """WN-19: every other turn ends in a hyphen and is glued to the next."""
+    clean = F.replace(F.replace("text", F.lit("-"), F.lit("")), F.lit("  "), F.lit(" "))
+    line = F.when(F.col("turn") % 2 == 0, F.concat(clean, F.lit("-"))).otherwise(clean)
+    per = X.table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("l")))), lambda x: x["l"]).alias("lines"))
+    text = Q.stitch(F.col("lines"))
+    return per.select("conv_id", F.rtrim(F.when(text.endswith("-"), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)).alias("text"))
+
+
+@query("SELECT year, lag(year) OVER w AS prev, lead(year) OVER w AS next FROM (SELECT DISTINCT year(o_orderdate)::INTEGER AS year FROM orders) WINDOW w AS (ORDER BY year)")
+def prev_next(spark, sf_dir):
+    """WN-17: the window has a row a year, after the distinct."""
+    years = X.table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year")).distinct()
+    w = Window.orderBy("year")
+    return years.select("year", F.lag("year").over(w).alias("prev"), F.lead("year").over(w).alias("next"))
+
+
+@query(with_(X.F4, "SELECT page, id, (sum(length(text) + 1) OVER (PARTITION BY page ORDER BY id) - length(text) - 1)::BIGINT AS offset FROM f4"))
+def line_offsets(spark, sf_dir):
+    """WN-25: where each line starts in its page's joined text."""
+    own = F.length("text") + 1
+    return X.f4(spark, sf_dir).select("page", "id", (F.sum(own).over(Q.over(["page"], ["id"], Q.UP_TO_HERE)) - own).alias("offset"))
+
+
+@query(with_(X.F4, "SELECT row_number() OVER (ORDER BY id) AS rn, id FROM (SELECT id FROM f4 WHERE id % 100 = 0)"))
+def surrogate_ids(spark, sf_dir):
+    """WN-02: numbers in the order of the key, in two steps: counts of ranges, then places inside them."""
+    from ..operators.numbering import number_rows
+
+    return number_rows(X.f4(spark, sf_dir).where("id % 100 = 0").select("id"), "id", "rn")
+
+
+@query()
+def rising_ids(spark, sf_dir):
+    """WN-12: the entries of each page on its longest way of years that never falls (tested against the quadratic definition)."""
+    return Q.keep_rising(X.f4(spark, sf_dir).select("page", "id", "year"), ["page"], "id", "year").select("id")
+
+
+@query(with_("RECURSIVE " + X.F4 + """, p AS (SELECT page, id, year, row_number() OVER (PARTITION BY page ORDER BY id) AS i FROM f4 WHERE page < 12),
+s(page, i, year, len) AS (SELECT page, i, year, 1 FROM p UNION SELECT b.page, b.i, b.year, s.len + 1 FROM s JOIN p b ON b.page = s.page AND b.i > s.i AND b.year >= s.year)""", "SELECT page, max(len)::BIGINT AS n FROM s GROUP BY page"))
+def rising_length(spark, sf_dir):
+    """WN-12's length on the first pages, where a recursive query can check it."""
+    return Q.keep_rising(X.f4(spark, sf_dir).where("page < 12").select("page", "id", "year"), ["page"], "id", "year").groupBy("page").agg(F.count("*").alias("n"))
