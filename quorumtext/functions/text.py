@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 #: Letters with marks and their plain forms, pair by pair.
@@ -37,8 +38,6 @@ def strip_accents(text: Column) -> Column:
 
 def nfc(text: Column) -> Column:
     """FN-01: canonical composition, trimmed.  Spark has no such function, so texts go to Python in Arrow batches."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def compose(s: pd.Series) -> pd.Series:
         return s.str.normalize("NFC").str.strip()
