@@ -150,7 +150,8 @@ def deleted_lines(docs: DataFrame, rare: int = RARE, block_words: int = BLOCK_WO
     lines = staged(lines_of(docs, unit_lines), "op2-lines")
     first = F.min(F.struct("doc_id", "unit"))
     in_two = lines.groupBy("hash").agg(first.alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("first.doc_id < last").drop("last")
-    shared = staged(lines.join(in_two, "hash"), "op2-shared")
+    # a stored table, so that the join deals both sides by itself and Spark can split a line that very many have
+    shared = staged(lines.join(staged(in_two, "op2-lines-of-two"), "hash"), "op2-shared")
     to_first = shared.where("doc_id > first.doc_id").select("doc_id", "unit", F.col("first.doc_id").alias("earlier"), F.col("first.unit").alias("earlier_unit"))
     # rare lines only, so that a window's group is bounded
     w = Window.partitionBy("hash").orderBy("doc_id", "unit", "place")

@@ -205,10 +205,14 @@ def _verify_rows(batches, threshold: float, size: int):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("head"), pa.array(found, pa.float64())], ["doc_id", "head", "similarity"])
 
 
-def _heads(keys: DataFrame) -> DataFrame:
-    """Each key's members (doc_id) beside its least one (head)."""
+def _bucketed(keys: DataFrame, name: str) -> DataFrame:
+    """Rows of the keys that several representatives have, each with the least one (head).
+
+    The heads are a stored table, so that the join deals both sides by itself and Spark can split a
+    key that very many have.
+    """
     heads = keys.groupBy("key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("most")).where("head < most").drop("most")
-    return keys.join(heads, "key").where("doc_id <> head")
+    return keys.join(staged(heads, name), "key")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, threshold: float, size: int, name: str) -> DataFrame:
@@ -245,20 +249,20 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, sketches: int = S
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = staged(map_arrow(rows, lambda it: _sketch_rows(it, sketches, picks, size), f"doc_id {kind}, same binary, n_words long, keys array<long>"), "op3-sketches")
     same = found.where("same IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
-    copies = staged(found.select("doc_id", "same").join(same, "same", "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep")), "op3-copies")
+    same = staged(same, "op3-same")
+    copies = found.select("doc_id", "same").join(same, "same", "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
     reps = found.where("same IS NOT NULL").join(same.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    keys = reps.select("doc_id", F.posexplode("keys").alias("sketch", "key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    keys = staged(keys.join(shared, "key", "left_semi"), "op3-shared")
-    members = staged(_heads(keys), "op3-members")
+    keys = staged(_bucketed(reps.select("doc_id", F.posexplode("keys").alias("sketch", "key")), "op3-heads"), "op3-shared")
+    members = keys.where("doc_id <> head")
     checked = _verified(members.select("doc_id", "head").distinct(), rows, threshold, size, "op3-checked")
     links = checked.where("similarity > 0")
     # finer buckets, for all that stand in a bucket in which a member is unlike the head
     mixed = members.join(checked.where("similarity = 0").select("doc_id", "head"), ["doc_id", "head"], "left_semi").select("key").distinct()
-    again = keys.join(mixed, "key", "left_semi")
+    again = keys.join(staged(mixed, "op3-mixed"), "key", "left_semi").select("doc_id", "sketch", "key")
     other = keys.select("doc_id", F.col("sketch").alias("sketch2"), F.col("key").alias("key2"))
     finer = again.join(other, "doc_id").where(F.pmod(F.col("sketch2") - F.col("sketch"), F.lit(sketches)).between(1, NEXT))
-    finer = _heads(finer.select("doc_id", F.xxhash64("key", "key2").alias("key"))).select("doc_id", "head").distinct().join(checked.select("doc_id", "head"), ["doc_id", "head"], "left_anti")
+    finer = _bucketed(finer.select("doc_id", F.xxhash64("key", "key2").alias("key")), "op3-finer-heads").where("doc_id <> head")
+    finer = finer.select("doc_id", "head").distinct().join(checked.select("doc_id", "head"), ["doc_id", "head"], "left_anti")
     links = links.unionByName(_verified(staged(finer, "op3-finer"), rows, threshold, size, "op3-checked-finer").where("similarity > 0"))
     links = staged(links.select("doc_id", "head").distinct(), "op3-links")
     classes = components(links, "op3")
