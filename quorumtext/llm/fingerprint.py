@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from .common import map_arrow, staged, text_or_empty
+from .common import map_arrow, may_have_key, staged, text_or_empty
 
 PERMUTATIONS = 128
 SHINGLE = 5
@@ -187,14 +187,24 @@ def _jaccard(batches, size: int):
 
 
 def similar_documents(docs: DataFrame, threshold: float = 0.8, permutations: int = PERMUTATIONS, size: int = SHINGLE, bands: int = BANDS) -> DataFrame:
-    """doc_id, head, jaccard: links (verified, >= threshold) of each document to the least
-    document of every band bucket it stands in.  Groups of any size cost a link a member."""
+    """doc_id, head, jaccard: verified links (>= threshold) of each document to the least document
+    of every band bucket it stands in.  Groups of any size cost a link a member, and equal texts one for
+    all: their least id stands for them and is their only link."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    keys = map_arrow(rows, lambda it: _bands(it, permutations, size, bands), f"doc_id {kind}, bands array<binary>").select("doc_id", F.explode("bands").alias("band"))
-    keys = staged(keys, "op8-bands")
-    heads = keys.groupBy("band").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = keys.join(heads, "band").where("doc_id <> head").select("doc_id", "head").distinct()
-    texts = pairs.join(rows, "doc_id").join(rows.select(F.col("doc_id").alias("head"), F.col("text").alias("head_text")), "head")
+    keys = map_arrow(rows, lambda it: _bands(it, permutations, size, bands), f"doc_id {kind}, bands array<binary>")
+    # the hash of all bands stands for the fingerprint: documents with equal ones are linked to the least of them first
+    whole = staged(keys.select("doc_id", "bands", F.xxhash64("bands").alias("print")), "op8-bands")
+    reps = staged(whole.groupBy("print").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")), "op8-prints")
+    copies = whole.select("doc_id", "print").join(reps.where("n > 1"), "print").where("doc_id <> head").select("doc_id", "head")
+    single = whole.join(reps.select(F.col("head").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    band = single.select("doc_id", F.explode("bands").alias("band"))
+    heads = staged(band.groupBy("band").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).where("head < last").drop("last"), "op8-heads")
+    near = band.join(heads, "band").where("doc_id <> head").select("doc_id", "head").distinct()
+    pairs = staged(copies.unionByName(near).distinct(), "op8-pairs")
+    head_ids = pairs.select(F.col("head").alias("doc_id")).distinct()
+    members = may_have_key(rows, pairs, "doc_id")
+    head_texts = may_have_key(rows, head_ids, "doc_id").select(F.col("doc_id").alias("head"), F.col("text").alias("head_text"))
+    texts = pairs.join(members, "doc_id").join(head_texts, "head")
     found = map_arrow(texts, lambda it: _jaccard(it, size), f"doc_id {kind}, head {kind}, jaccard double")
     return found.where(F.col("jaccard") >= threshold)
