@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ballots, layouts, relations, sequences, texts  # noqa: F401  (they register)
+from . import ballots, layouts, relations, reports, sequences, texts  # noqa: F401  (they register)
 from .registry import ORACLES, QUERIES
 
 
