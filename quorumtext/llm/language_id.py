@@ -201,7 +201,7 @@ def training_sample(docs: DataFrame, sample_chars: int) -> dict[str, list[bytes]
     # a cut by hash that holds enough of each language, before anything is sorted
     totals = sized.groupBy("lang").agg(F.sum("n").alias("total"))
     share = F.least(F.lit(1.0), F.lit(4.0 * sample_chars) / F.col("total"))
-    few = sized.join(F.broadcast(totals), "lang").where((F.col("order") / F.lit(2.0**64) + 0.5 <= share))
+    few = sized.join(totals, "lang").where((F.col("order") / F.lit(2.0**64) + 0.5 <= share))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     chosen = few.withColumn("before", before).where(F.col("before") < sample_chars).select("doc_id", F.col("lang").alias("language"))
     from .common import may_have_key
