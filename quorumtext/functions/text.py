@@ -194,3 +194,26 @@ def century(year: Column) -> Column:
 def decade(year: Column) -> Column:
     return (F.floor(year / 10) * 10).cast("int")
 
+
+def small_caps(paragraph: Column) -> Column:
+    """FN-28: a month that heads a paragraph in upper case, and a tight dash after it."""
+    name = F.regexp_extract(paragraph, "(?i)^(" + "|".join(MONTHS) + ")", 1)
+    rest = F.regexp_replace(F.substring(paragraph, F.length(name) + 1, F.lit(2_147_483_647)), r"^\s*—\s*", "—")
+    return F.when(name != "", F.concat(F.upper(name), rest)).otherwise(paragraph)
+
+
+def sentences(text: Column) -> Column:
+    """FN-32: cut after a closing mark that an upper-case letter follows."""
+    return F.split(text, r"(?<=[.!?])\s+(?=[A-ZÁÉÍÓÚÑ¿¡])")
+
+
+def mark_doubt(text: Column, doubtful: Column) -> Column:
+    """FN-33: words whose bare form is in a map of doubtful ones, with the variants in brackets."""
+    bare = lambda w: F.regexp_replace(w, "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", "")
+    return F.array_join(F.transform(F.split(text, " "), lambda w: F.coalesce(F.concat(w, F.lit(" ["), F.try_element_at(doubtful, bare(w)), F.lit("]")), w)), " ")
+
+
+def page_normalise(text: Column) -> Column:
+    """FN-08: no-break spaces as spaces, no header lines (=== ... ===), hyphens at line ends stitched, blank lines closed up."""
+    clean = F.regexp_replace(F.translate(text, "\u00a0", " "), r"(?m)^===.*===$\n?", "")
+    return F.trim(F.regexp_replace(F.regexp_replace(clean, r"[-‐]\n", ""), r"\n{2,}", "\n"))

@@ -1,0 +1,89 @@
+"""D7: pages of published words from voted places, line by line, page by page.
+
+Repairs inside a page follow one another, and a later one sees what an earlier one did, so a page
+is the group of a grouped function.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from ..functions import text as T
+
+BREAK = ("-", "‐", "¬")
+
+
+def published(word: dict, decision: str | None = None, repair: str | None = None) -> dict:
+    """J-15, UD-05: a decision stands over a repair, a repair over the winner; ``printed`` and ``variants`` are kept where they tell something."""
+    text = decision if decision is not None else repair if repair is not None else word["winner"]
+    out = {"text": text, "tier": "adjudicated" if decision is not None else word["tier"]}
+    if text != word["winner"]:
+        out["printed"] = word["winner"]
+    if out["tier"] not in ("unanimous", "adjudicated"):
+        rivals = [r for r in dict.fromkeys(word.get("readings") or ()) if r not in (None, "", text)]
+        if rivals:
+            out["variants"] = rivals
+    return out
+
+
+def dedupe(words: list[dict]) -> list[dict]:
+    """A word that repeats its neighbour goes, if half of the engines or more read one of the two places blank."""
+    out: list[dict] = []
+    for w in words:
+        if out and w["text"] and key(out[-1]["text"]) == key(w["text"]) and len(key(w["text"])) >= 3:
+            blanks = sum(r == "" for r in w.get("readings") or ())
+            if blanks * 2 >= len(w.get("readings") or ()) > 0:
+                continue
+        out.append(w)
+    return out
+
+
+def key(text: str) -> str:
+    plain = text.lower().translate(str.maketrans(T.MARKED, T.PLAIN))
+    return "".join(c for c in plain if c.isascii() and c.isalnum())
+
+
+def page_text(lines: list[list[str]]) -> str:
+    """WN-19: lines of words as text; a break hyphen glues a line to the next."""
+    out = ""
+    for words in lines:
+        line = " ".join(w for w in words if w)
+        if not line:
+            continue
+        if out.endswith(BREAK):
+            out = out[:-1] + line
+        else:
+            out += ("\n" if out else "") + line
+    return out
+
+
+def unwedge(rows: list[dict]) -> list[dict]:
+    """WN-22: a numeral between two lines that belong together moves before them; later rows see the move."""
+    rows = list(rows)
+    for i in range(1, len(rows) - 1):
+        if rows[i]["text"].strip(".").isdigit() and not rows[i - 1]["text"].endswith((".", ":")) and rows[i + 1]["text"][:1].islower():
+            rows[i - 1], rows[i] = rows[i], rows[i - 1]
+    return rows
+
+
+def assemble(places: DataFrame, page: str) -> DataFrame:
+    """(page, text, words, contested) from places (page, line, pos, winner, tier, readings, decision)."""
+    kind = places.schema[page].dataType.simpleString()
+
+    def work(pdf):
+        import unicodedata
+
+        import pandas as pd
+
+        pdf = pdf.sort_values(["line", "pos"])
+        lines, contested, n = [], 0, 0
+        for _, rows in pdf.groupby("line", sort=False):
+            records = [w | {"readings": list(w["readings"])} for w in rows.to_dict("records")]
+            words = [published(w, w["decision"] if isinstance(w.get("decision"), str) else None) | {"readings": w["readings"]} for w in records]
+            words = [w for w in dedupe(words) if w["text"]]
+            contested += sum(w["tier"] == "contested" for w in words)
+            n += len(words)
+            lines.append([w["text"] for w in words])
+        return pd.DataFrame({page: [pdf[page].iloc[0]], "text": [unicodedata.normalize("NFC", page_text(lines))], "words": [n], "contested": [contested]})
+
+    return places.groupBy(page).applyInPandas(work, f"{page} {kind}, text string, words long, contested long")

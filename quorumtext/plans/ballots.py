@@ -231,3 +231,12 @@ def lexicon_rule(spark, sf_dir):
     candidates = places.select(F.explode(V.present(F.col("readings"))).alias("r")).select(F.lower("r").alias("word")).distinct()
     lexicon = {r["word"]: r["n"] for r in lexicon_counts(spark, sf_dir).join(candidates, "word", "left_semi").toLocalIterator()}
     return V.arbitrate(places, "lexicon", lexicon).select("doc_id", "pos", "winner", "invented")
+
+
+@query()
+def assembled_pages(spark, sf_dir):
+    """D7 over the documents of numbers that end in 1 (fixture): published words, joined to lines and pages."""
+    from ..operators import assembly
+
+    places = voted(spark, sf_dir).where("doc_id % 10 = 1").select("doc_id", "line", "pos", "winner", "tier", "readings", F.lit(None).cast("string").alias("decision"))
+    return assembly.assemble(places, "doc_id")

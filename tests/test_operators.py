@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quorumtext.functions import text as T
-from quorumtext.operators import align, audit, edits, entries, joins, layout, parsing, search, sequence, sets, vote
+from quorumtext.operators import align, assembly, audit, edits, entries, evidence, joins, layout, parsing, search, sequence, sets, vote
 
 
 def one(spark, expression):
@@ -184,3 +184,38 @@ def test_search_and_notes(spark):
 def test_vote_plan_has_no_shuffle(spark):
     plan = vote.vote(places(spark, ["a", "b", "c"]), 3).where("tier = 'contested'")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_assembly(spark):
+    word = {"winner": "cafa", "tier": "contested", "readings": ["cafa", "casa", None, ""]}
+    assert assembly.published(word, "casa") == {"text": "casa", "tier": "adjudicated", "printed": "cafa"}
+    assert assembly.published(word, None, "casa") == {"text": "casa", "tier": "contested", "printed": "cafa", "variants": ["cafa"]}
+    assert assembly.published(word) == {"text": "cafa", "tier": "contested", "variants": ["casa"]}
+    assert assembly.page_text([["uno", "dos-"], [""], ["tres"], ["cuatro"]]) == "uno dostres\ncuatro"
+    assert [w["text"] for w in assembly.dedupe([{"text": "casa", "readings": ["casa"]}, {"text": "Casá,", "readings": ["", "Casá,"]}])] == ["casa"]
+    assert [r["text"] for r in assembly.unwedge([{"text": "the one"}, {"text": "12."}, {"text": "and more"}])] == ["12.", "the one", "and more"]
+    rows = spark.createDataFrame([(1, 0, 0, "uno", "unanimous", ["uno"], None), (1, 0, 1, "", "contested", ["", "x"], None), (1, 1, 2, "x", "contested", ["x", "y"], "dos")], "p int, line int, pos int, winner string, tier string, readings array<string>, decision string")
+    assert tuple(assembly.assemble(rows, "p").first()) == (1, "uno\ndos", 2, 0)
+
+
+def test_evidence(spark):
+    words = spark.createDataFrame([(1, 0, "El", ["El", "El", "El"]), (1, 1, "mzyo", ["mayo", "mayo", "mavo"]), (1, 2, "3", ["3", None, "3"])], "l int, n int, winner string, readings array<string>")
+    assert [tuple(r) for r in evidence.month_votes(words.withColumn("winner", F.when(F.col("n") == 1, "zzzz").otherwise(F.col("winner"))), ["l"], "n").collect()] == [(1, 1, 5, 3, 3)]
+    rows = spark.createDataFrame([(1, "XIV."), (1, "XIV"), (1, "XIV."), (2, "Mayo"), (2, "mayor"), (2, "mayor")], "l int, r string")
+    assert {r["l"]: r["text"] for r in evidence.best_string(rows, ["l"], "r", F.col("r").rlike("^[XIV]+$")).collect()}[1] == "XIV"
+    assert {r["l"]: r["text"] for r in evidence.best_reading(rows, ["l"], "r").collect()}[2] == "Mayo"
+    assert one(spark, evidence.roman_candidates(F.array(F.lit("XIV. De"), F.lit("XIII De"), F.lit("no")))) == [13, 14]
+    assert one(spark, evidence.glued_entry(F.array(F.array(F.lit("1300")), F.array(F.lit("x")), F.array(F.lit("mayo"))))) is True
+    assert one(spark, evidence.alike(F.lit("mayo"), F.lit("Mavo"))) is True
+    pages = spark.createDataFrame([(1,), (2,)], "p int")
+    with pytest.raises(ValueError):
+        evidence.refuse_if_shared(pages, pages.where("p = 1"), "p")
+    rounds = [spark.createDataFrame([(1, "a")], "id int, t string"), spark.createDataFrame([(1, "b"), (2, "c")], "id int, t string")]
+    assert sorted(map(tuple, evidence.join_rounds(rounds).collect())) == [(1, "a"), (2, "c")]
+
+
+def test_more_scalars(spark):
+    assert one(spark, T.small_caps(F.lit("mayo  — 3"))) == "MAYO—3"
+    assert one(spark, T.sentences(F.lit("Uno. Dos! tres. Cuatro"))) == ["Uno.", "Dos! tres.", "Cuatro"]
+    assert one(spark, T.mark_doubt(F.lit("la cafa, es"), F.create_map(F.lit("cafa"), F.lit("casa")))) == "la cafa, [casa] es"
+    assert one(spark, T.page_normalise(F.lit("=== 3 ===\nuno-\ndos\n\n\ntres\u00a0x"))) == "unodos\ntres x"
