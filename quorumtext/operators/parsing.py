@@ -221,3 +221,23 @@ def long_s(winner: str, readings: list[str], lexicon: dict[str, int]) -> str:
     if not fits or lexicon.get(winner.lower(), 0) >= 3:
         return winner
     return max(dict.fromkeys(fits), key=fits.count)
+
+
+def series_starts(lines: DataFrame, page: str, order: str, title: str, first: int = 6) -> DataFrame:
+    """PR-18: pages that have a series' title among their first lines."""
+    ranked = lines.withColumn("_n", F.row_number().over(over([page], [order])))
+    return ranked.where((F.col("_n") <= first) & F.col("text").rlike(title)).groupBy(page).agg(F.min_by("text", "_n").alias("title"))
+
+
+def century_openings(lines: DataFrame, openers: DataFrame, page: str, order: str) -> DataFrame:
+    """PR-16: the block that opens a century: from the top of its page the lines that span the page or are
+    centred, up to the first that is neither; if a page is such lines alone, the next page's go on.
+
+    ``lines``: page, order, text, across (spans or is centred); ``openers``: page, numeral.
+    """
+    ends = lines.groupBy(page).agg(F.min(F.when(~F.col("across"), F.col(order))).alias("_stop"))
+    own = openers.join(ends, page).select(F.col(page).alias("_open"), "numeral", F.col("_stop").isNull().alias("_spills"))
+    block = own.select("_open", "numeral", F.explode(F.when(F.col("_spills"), F.array(F.col("_open"), F.col("_open") + 1)).otherwise(F.array("_open"))).alias(page))
+    inside = block.join(lines, page).join(ends, page).where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop")))
+    text = F.transform(F.array_sort(F.collect_list(F.struct(page, order, "text"))), lambda x: x["text"])
+    return inside.groupBy(F.col("_open").alias(page), "numeral").agg(F.array_join(text, " ").alias("banner"))

@@ -219,3 +219,30 @@ def test_more_scalars(spark):
     assert one(spark, T.sentences(F.lit("Uno. Dos! tres. Cuatro"))) == ["Uno.", "Dos! tres.", "Cuatro"]
     assert one(spark, T.mark_doubt(F.lit("la cafa, es"), F.create_map(F.lit("cafa"), F.lit("casa")))) == "la cafa, [casa] es"
     assert one(spark, T.page_normalise(F.lit("=== 3 ===\nuno-\ndos\n\n\ntres\u00a0x"))) == "unodos\ntres x"
+
+
+def test_line_parsers(spark):
+    box = "p int, n int, text string, col int, x0 double, x1 double, y0 double, y1 double, centred boolean, banded boolean"
+    lines = spark.createDataFrame([
+        (1, 1, "SERIES OF NAMES", 0, 0.3, 0.7, 0.10, 0.12, True, False), (1, 2, "full line here", 0, 0.1, 0.9, 0.13, 0.15, False, False), (1, 3, "short", 0, 0.1, 0.4, 0.16, 0.18, False, False),
+        (1, 4, "Indented after short", 0, 0.115, 0.9, 0.19, 0.21, False, False), (1, 5, "(1) small", 0, 0.1, 0.9, 0.30, 0.31, False, True), (2, 1, "1300", 0, 0.1, 0.2, 0.1, 0.12, False, False), (2, 2, "1301.", 0, 0.1, 0.2, 0.2, 0.22, False, False),
+    ], box)
+    opens = {r["n"]: r["opens"] for r in parsing.paragraph_openers(lines.where("p = 1"), ["p"], "n").collect()}
+    assert opens == {1: True, 2: True, 3: False, 4: True, 5: False}
+    assert round({r["p"]: r["cut"] for r in parsing.small_type_cut(lines, ["p"], "n").collect()}[1], 4) == 0.015
+    assert {r["p"]: r["table"] for r in parsing.is_table_leaf(lines, ["p"]).collect()} == {1: False, 2: True}
+    assert [tuple(r) for r in parsing.series_starts(lines, "p", "n", "^SERIES").collect()] == [(1, "SERIES OF NAMES")]
+    words = spark.createDataFrame([(1, "intro"), (2, "ABBREVIATIONS"), (3, "AB — first book"), (4, "AB — second"), (5, "not one"), (6, "C= other")], "n int, text string")
+    assert sorted(map(tuple, parsing.glossary(words, "n", "^ABBREV").collect())) == [("AB", "first book"), ("C", "other")]
+    leaves = spark.createDataFrame([(1, "Front"), (2, "CHAPTER"), (3, "x"), (4, "INDEX")], "pdf_page int, text string")
+    assert [r["section"] for r in parsing.fill_sections(leaves, {"body": "^CHAPTER", "index": "^INDEX"}).orderBy("pdf_page").collect()] == [None, "body", "body", "index"]
+    for anchors in ({"body": "^NONE"}, {"body": "^[A-Z]"}, {"index": "^INDEX", "body": "^CHAPTER"}):
+        with pytest.raises(ValueError):
+            parsing.fill_sections(leaves, anchors)
+    across = spark.createDataFrame([(1, 1, "SIGLO", True), (1, 2, "XIV", True), (2, 1, "(A, B)", True), (2, 2, "text", False), (2, 3, "FAR", True), (5, 1, "XV", True), (5, 2, "body", False)], "p int, n int, text string, across boolean")
+    openers = spark.createDataFrame([(1, "XIV"), (5, "XV")], "p int, numeral string")
+    assert {r["p"]: r["banner"] for r in parsing.century_openings(across, openers, "p", "n").collect()} == {1: "SIGLO XIV (A, B)", 5: "XV"}
+    gaps = parsing.missing_years(spark.createDataFrame([(1300, 3), (1303, 9)], "year int, pdf_page int"))
+    assert sorted(map(tuple, gaps.collect())) == [(1301, 3, 9), (1302, 3, 9)]
+    left = parsing.furniture(spark.createDataFrame([("12", 0.2, 0.5, 0.52), ("12", 0.8, 0.5, 0.52), ("text", 0.2, 0.01, 0.02), ("text", 0.2, 0.5, 0.52)], "text string, x0 double, y0 double, y1 double"))
+    assert [r["furniture"] for r in left.collect()] == [True, False, True, False]
