@@ -25,6 +25,7 @@ PERMUTATIONS = 128
 SHINGLE = 5
 BLOCK = 16_384
 BANDS = 16
+MOST_RANGES = 20_000
 
 
 @lru_cache(maxsize=4)
@@ -144,12 +145,12 @@ def fingerprints(docs: DataFrame, permutations: int = PERMUTATIONS, size: int =
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = StructType.fromDDL(f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
     arrow = to_arrow_schema(schema)
-    ranges = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(MOST_RANGES, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ids = docs.select("doc_id")
     bounds = np.unique(ids.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 20 * ranges).alias("b")).first()["b"] or [])
     # the first id of each range: a number a range
     firsts = map_arrow(ids, lambda it: _ids_with_part(it, bounds), f"doc_id {kind}, part int").groupBy("part").agg(F.min("doc_id").alias("first"))
-    firsts = sorted((r["part"], r["first"]) for r in firsts.toLocalIterator())
+    firsts = sorted((r["part"], r["first"]) for r in firsts.collect())
     head_of = {first: firsts[k - 1][0] for k, (_, first) in enumerate(firsts)}
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     placed = map_arrow(rows, lambda it: _with_part(it, bounds, head_of), f"part int, tail boolean, doc_id {kind}, text string")

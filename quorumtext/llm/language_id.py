@@ -27,7 +27,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import map_arrow
+from .common import map_arrow, may_have_key
 
 ORDER = 3
 SAMPLE_CHARS = 600_000
@@ -204,12 +204,10 @@ def training_sample(docs: DataFrame, sample_chars: int) -> dict[str, list[bytes]
     few = sized.join(totals, "lang").where((F.col("order") / F.lit(2.0**64) + 0.5 <= share))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     chosen = few.withColumn("before", before).where(F.col("before") < sample_chars).select("doc_id", F.col("lang").alias("language"))
-    from .common import may_have_key
-
     # a text longer than the bound gives its first part: the sample, not the scoring, is bounded
     texts = may_have_key(docs.select("doc_id", F.substring("text", 1, sample_chars).alias("text")), chosen, "doc_id").join(chosen, "doc_id")
     found: dict[str, list[bytes]] = {}
-    for row in texts.select("language", "doc_id", "text").sort("language", "doc_id").toLocalIterator():
+    for row in texts.select("language", "doc_id", "text").sort("language", "doc_id").collect():
         found.setdefault(row["language"], []).append(normal(row["text"]))
     return found
 

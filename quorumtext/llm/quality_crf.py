@@ -26,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_arrow
+from .common import map_arrow, may_have_key
 from .language_id import held_out
 
 TRAIN_DOCS = 2_000
@@ -208,14 +208,12 @@ class LineField:
 
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_lines: int = TRAIN_LINES) -> LineField:
     """Fits on the rows of ``docs`` that ``labels`` (doc_id, quality) covers."""
-    from .common import may_have_key
-
     labelled = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit(5))
     chosen = labelled.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(train_docs)
     lines = F.substring_index(F.coalesce("text", F.lit("")), "\n", train_lines)
     rows = may_have_key(docs.select("doc_id", lines.alias("text")), chosen, "doc_id").join(chosen, "doc_id").dropDuplicates(["doc_id"])
-    found = sorted(((r["doc_id"], r["text"], r["quality"]) for r in rows.toLocalIterator()), key=lambda r: r[0])
+    found = sorted(((r["doc_id"], r["text"], r["quality"]) for r in rows.collect()), key=lambda r: r[0])
     return LineField.fit([r[1] for r in found], np.array([r[2] for r in found], dtype=np.float64))
 
 

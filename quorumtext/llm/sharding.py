@@ -125,8 +125,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, grain: int = GRAIN, s
     groups = base.groupBy("digest").agg(F.sum("size").alias("size"))
     large_item = F.col("size") > F.lit(max(1, total // grain))
     groups = staged(groups.withColumn("large", large_item), "op9-groups")
-    items = [(r["size"], 0, bytes(r["digest"])) for r in groups.where("large").toLocalIterator()]
-    items += [(r["size"], 1, r["bundle"]) for r in groups.where("not large").groupBy(bundle.alias("bundle")).agg(F.sum("size").alias("size")).toLocalIterator()]
+    items = [(r["size"], 0, bytes(r["digest"])) for r in groups.where("large").collect()]
+    items += [(r["size"], 1, r["bundle"]) for r in groups.where("not large").groupBy(bundle.alias("bundle")).agg(F.sum("size").alias("size")).collect()]
     items.sort(key=lambda x: (-x[0], x[1], x[2]))
     placed = shards_for([x[0] for x in items], shards)
     large = spark.createDataFrame([(bytearray(x[2]), s) for x, s in zip(items, placed) if x[1] == 0], "digest binary, large_shard int")
