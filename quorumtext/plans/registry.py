@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
+
+from ..session import ship
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -12,7 +15,12 @@ def query(sql: str | None = None):
     """Registers a function of (spark, sf_dir) under its name, with its SQL if it has one."""
 
     def keep(f):
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def run(spark, sf_dir):
+            ship(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = run
         if sql:
             ORACLES[f.__name__] = sql
         return f

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -23,3 +26,24 @@ def get_session(cores: int | None = None, **conf) -> SparkSession:
     spark = builder.config(map=settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the workers, once an application.
+
+    Functions that run in Python workers are known there by their module's name; the
+    driver may have found the package in a way that workers do not share.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="quorumtext-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(application)
