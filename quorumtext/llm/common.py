@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import ship
+
 _OWN_FOLDERS: dict[str, SparkSession] = {}
 
 
@@ -68,6 +70,7 @@ def map_arrow(df: DataFrame, work, schema) -> DataFrame:
     JVM's direct memory and again in Python; texts of any length are better served by
     few at a time.  The session keeps a lower bound if it has one.
     """
+    ship(df.sparkSession)
     conf = df.sparkSession.conf
     for key, most in BATCH.items():
         now = _number(conf.get(key, None))
