@@ -57,10 +57,10 @@ def to_pieces(batches, name: str, capacity: int, schema):
 
     import pyarrow as pa
 
-    from .tokens import array_slices, encoder
+    from .tokens import array_slices, encoder, gathered
 
     step = 4 * capacity
-    for batch in batches:
+    for batch in gathered(batches):
         ids, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
         out: list[list] = [[] for _ in range(6)]
         for first, texts in array_slices(batch.column("text")):

@@ -41,9 +41,9 @@ def is_stable(text: str, at: int) -> bool:
 def count_small(batches, name: str):
     import pyarrow as pa
 
-    from .tokens import array_slices, encoder
+    from .tokens import array_slices, encoder, gathered
 
-    for batch in batches:
+    for batch in gathered(batches):
         counts: list[int] = []
         for _, part in array_slices(batch.column("text")):
             counts += encoder(name).encode(part)[1].tolist()

@@ -175,3 +175,18 @@ def array_slices(texts, most_bytes: int = 8_000_000):
         stop = max(start + 1, int(np.searchsorted(total, before + most_bytes, side="right")))
         yield start, texts.slice(start, stop - start)
         start = stop
+
+
+def gathered(batches, most_bytes: int = 8_000_000):
+    """Arrow batches joined to about ``most_bytes``: in more text at once more words are repeated."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most_bytes:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
