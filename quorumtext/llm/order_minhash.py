@@ -103,7 +103,7 @@ def _sketch_rows(batches, sketches: int, picks: int, size: int):
     kind = pa.list_(pa.int64())
     for batch in batches:
         ids = batch.column("doc_id")
-        for first, part in slices(batch.column("text").to_pylist()):
+        for first, part in slices(batch.column("text").to_pylist(), 1_000_000):
             hashes, counts = shingle_hashes(part, size)
             labelled = label_occurrences(hashes, counts)
             words, n_words = word_hashes(part)
