@@ -37,7 +37,7 @@ SKETCHES = 24
 PICKS = 3
 KMER = 5
 THRESHOLD = 0.8
-BLOCK = 65_536
+BLOCK = 8_192
 NEXT = 3
 
 
