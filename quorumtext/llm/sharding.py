@@ -7,14 +7,17 @@ more than a ``1/grain`` share of all bytes), so sorting them and walking the bal
 tree on the driver costs the same for any input, and the two answers that are
 broadcast have at most ``grain`` rows each.
 
-``best_fit_decreasing`` opens as few bins of a fixed capacity as it can;
-``shards_for`` finds the least capacity at which the asked number of bins is enough,
-which makes sizes as equal as the largest group allows.
+``best_fit_decreasing`` opens as few bins of a fixed capacity as it can.
+``shards_for`` gives each item larger than the fair share of what remains a shard of
+its own, and finds for the others the least capacity at which the remaining shards are
+enough.  While one item moved from the fullest to the emptiest of these would still level
+them, the fullest is settled and the rest packed again.
 
 Defined results: a null text has size 16, CRC 0 and belongs to the group of empty
 texts; repeated rows are placed each (their slots differ); an empty table gives an empty
-result; other columns are ignored.  A group larger than a shard's fair share makes
-its shard larger than the others, as it is not divided.
+result; other columns are ignored.  A group larger than a shard's fair share has
+a shard to itself, which is larger than the others, as a group is not divided; only where
+there are fewer items than shards do shards stay empty.
 """
 
 from __future__ import annotations
@@ -91,10 +94,8 @@ def best_fit_decreasing(sizes: list[int], capacity: int, most: int | None = None
     return placed
 
 
-def shards_for(sizes: list[int], shards: int) -> list[int]:
+def _least_capacity(sizes: list[int], shards: int) -> list[int]:
     """Bins 0..shards-1 of the sorted sizes, at the least capacity at which so many are enough."""
-    if not sizes:
-        return []
     low = max(sizes[0], -(-sum(sizes) // shards))
     high = low
     while (best := best_fit_decreasing(sizes, high, shards)) is None:
@@ -109,6 +110,35 @@ def shards_for(sizes: list[int], shards: int) -> list[int]:
     return best
 
 
+def shards_for(sizes: list[int], shards: int) -> list[int]:
+    """Bins 0..shards-1 of the sorted sizes: as level as the items allow."""
+    out, used, left, total = [0] * len(sizes), 0, list(range(len(sizes))), sum(sizes)
+    while left:
+        alone = 0
+        while alone < len(left) and sizes[left[alone]] * (shards - used) > total:
+            out[left[alone]], used, total = used, used + 1, total - sizes[left[alone]]
+            alone += 1
+        left = left[alone:]
+        if not left:
+            break
+        placed = _least_capacity([sizes[i] for i in left], shards - used)
+        sums = [0] * (shards - used)
+        for i, bin_ in zip(left, placed):
+            sums[bin_] += sizes[i]
+        fullest = sums.index(max(sums))
+        smallest = min(sizes[i] for i, bin_ in zip(left, placed) if bin_ == fullest)
+        if sums[fullest] - min(sums) <= smallest:
+            for i, bin_ in zip(left, placed):
+                out[i] = used + bin_
+            break
+        for i, bin_ in zip(left, placed):
+            if bin_ == fullest:
+                out[i] = used
+        left = [i for i, bin_ in zip(left, placed) if bin_ != fullest]
+        used, total = used + 1, total - sums[fullest]
+    return out
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS, grain: int = GRAIN, slot_block: int = SLOT_BLOCK) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row."""
     spark = docs.sparkSession

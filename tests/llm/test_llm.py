@@ -391,6 +391,29 @@ def test_shards(docs, texts):
     assert max(sizes.values()) - min(sizes.values()) < 0.05 * sum(sizes.values())
 
 
+def test_large_groups_leave_no_shard_empty(spark):
+    def loads(sizes, shards):
+        out = [0] * shards
+        for size, bin_ in zip(sizes, sharding.shards_for(sizes, shards)):
+            out[bin_] += size
+        return out
+
+    third = loads([10_000, *[20] * 1_000], 40)
+    assert third[0] == 10_000 and set(third[1:]) <= {500, 520}
+    assert sorted(loads([500, *[10] * 950], 40))[-2] - min(loads([500, *[10] * 950], 40)) <= 10
+    assert sorted(loads([7] * 41, 40)) == [7] * 39 + [14]
+    assert loads([3, 2], 4) == [3, 2, 0, 0] and sharding.shards_for([], 4) == []
+    # a group of equal texts with a third of the bytes
+    many = ["x" * 84] * 100 + [f"text {i:05d} " + "y" * 72 for i in range(200)]
+    rows = sharding.shard_documents(table(spark, many), shards=10).collect()
+    sizes = collections.Counter()
+    for r in rows:
+        sizes[r["shard"]] += r["size"]
+    assert len(sizes) == 10 and len({r["shard"] for r in rows if r["doc_id"] < 100}) == 1
+    rest = sorted(sizes.values())[:-1]
+    assert rest[-1] - rest[0] <= 100
+
+
 def test_best_fit_decreasing_is_the_plain_one():
     rng = random.Random(1)
     for _ in range(100):
