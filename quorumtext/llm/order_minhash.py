@@ -7,13 +7,15 @@ stand in the text.  So texts meet only if they share the same k-mers in the same
 as texts at a small edit distance do.
 
 Texts with the same words are one class from the start (its least id represents
-it).  Within a bucket every representative is compared with the least one (the head),
-which costs one pair a member for groups of any size; the members of a bucket in which
-one failed against the head meet again in finer buckets (that key with one of the next
-``NEXT`` sketches), so that two close texts that an unlike head overshadowed still meet.  A pair is verified by banded
+it).  Within a bucket every representative is first compared with the least one (the head),
+which is all for a group of any size whose members are like it.  Where members are left
+in several groups, those outside the bucket's largest group become heads in turn (1, 2, 4, ...
+a round) and are compared with all members that are not of their group yet, until the
+members that were no head are one group: so every two texts of a bucket are in one group or
+were compared.  A pair is verified by banded
 alignment of its k-mer sequences: aligned k-mers / (k-mers of both - aligned) >=
 ``threshold``; the band is as wide as an alignment that good can stray, so the
-verification is exact.  Groups are the connected components of verified pairs.
+verification is exact; pairs whose lengths alone rule it out are not aligned.  Groups are the connected components of verified pairs.
 
 Sketches: a pair at similarity 0.8 shares one key with probability about 0.8^3, so it
 misses all 24 keys once in 10^7 times.
@@ -29,7 +31,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import map_arrow, may_have_key, staged, text_or_empty
 
@@ -38,7 +40,6 @@ PICKS = 3
 KMER = 5
 THRESHOLD = 0.8
 BLOCK = 8_192
-NEXT = 3
 
 
 @lru_cache(maxsize=4)
@@ -243,6 +244,44 @@ def components(links: DataFrame, name: str) -> DataFrame:
         labels = after.select("doc_id", "class_id")
 
 
+def _settled(keys: DataFrame, checked: DataFrame, rows: DataFrame, threshold: float, size: int) -> tuple[DataFrame, DataFrame]:
+    """(links, their components), when every two members of a bucket are in one class or were compared.
+
+    ``keys``: doc_id, n (k-mers), key, head; ``checked``: the pairs of the heads.
+    """
+    links = staged(checked.where("similarity > 0").select("doc_id", "head"), "op3-links")
+    checked = checked.select("doc_id", "head")
+    classes = components(links, "op3")
+    failed = checked.join(links, ["doc_id", "head"], "left_anti")
+    mixed = keys.join(failed, ["doc_id", "head"], "left_semi").select("key").distinct()
+    open_ = staged(keys.join(staged(mixed, "op3-mixed"), "key", "left_semi").select("key", "doc_id", "n", (F.col("doc_id") == F.col("head")).alias("was_head")), "op3-open")
+    heads = 1
+    while True:
+        labelled = open_.join(classes, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
+        labelled = staged(labelled, "op3-labelled")
+        sizes = labelled.where("not was_head").groupBy("key", "class_id").agg(F.count("*").alias("many"))
+        largest = sizes.groupBy("key").agg(F.max_by("class_id", F.struct("many", "class_id")).alias("largest"), F.count("*").alias("classes")).where("classes > 1").drop("classes")
+        labelled = labelled.join(staged(largest, "op3-largest"), "key")
+        turn = F.row_number().over(Window.partitionBy("key").orderBy("doc_id"))
+        chosen = labelled.where("not was_head and class_id <> largest").withColumn("turn", turn).where(F.col("turn") <= heads)
+        chosen = staged(chosen.select("key", F.col("doc_id").alias("head"), F.col("n").alias("head_n"), F.col("class_id").alias("head_class")), "op3-turn")
+        if chosen.isEmpty():
+            return links, classes
+        pairs = labelled.drop("largest").join(chosen, "key").where("class_id <> head_class")
+        pairs = pairs.where(F.least("n", "head_n") >= F.greatest("n", "head_n") * F.lit(threshold) - F.lit(1e-9))
+        pairs = pairs.select(F.greatest("doc_id", "head").alias("doc_id"), F.least("doc_id", "head").alias("head")).distinct()
+        pairs = staged(pairs.join(checked, ["doc_id", "head"], "left_anti"), "op3-pairs")
+        found = _verified(pairs, rows, threshold, size, "op3-checked")
+        checked = checked.unionByName(pairs)
+        fresh = found.where("similarity > 0").select("doc_id", "head")
+        if not fresh.isEmpty():
+            links = staged(links.unionByName(fresh), "op3-links")
+            classes = components(links, "op3")
+        had = chosen.select("key", F.col("head").alias("doc_id"), F.lit(True).alias("now"))
+        open_ = labelled.select("key", "doc_id", "n", "was_head").join(had, ["key", "doc_id"], "left").select("key", "doc_id", "n", (F.col("was_head") | F.col("now").isNotNull()).alias("was_head"))
+        heads *= 2
+
+
 def near_groups(docs: DataFrame, threshold: float = THRESHOLD, sketches: int = SKETCHES, picks: int = PICKS, size: int = KMER) -> DataFrame:
     """doc_id, class_id (least id of the group), n_links (verified links of its words' class), kept, of every row."""
     rows = docs.select("doc_id", text_or_empty().alias("text"))
@@ -252,20 +291,9 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, sketches: int = S
     same = staged(same, "op3-same")
     copies = found.select("doc_id", "same").join(same, "same", "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
     reps = found.where("same IS NOT NULL").join(same.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    keys = staged(_bucketed(reps.select("doc_id", F.posexplode("keys").alias("sketch", "key")), "op3-heads"), "op3-shared")
-    members = keys.where("doc_id <> head")
-    checked = _verified(members.select("doc_id", "head").distinct(), rows, threshold, size, "op3-checked")
-    links = checked.where("similarity > 0")
-    # finer buckets, for all that stand in a bucket in which a member is unlike the head
-    mixed = members.join(checked.where("similarity = 0").select("doc_id", "head"), ["doc_id", "head"], "left_semi").select("key").distinct()
-    again = keys.join(staged(mixed, "op3-mixed"), "key", "left_semi").select("doc_id", "sketch", "key")
-    other = keys.select("doc_id", F.col("sketch").alias("sketch2"), F.col("key").alias("key2"))
-    finer = again.join(other, "doc_id").where(F.pmod(F.col("sketch2") - F.col("sketch"), F.lit(sketches)).between(1, NEXT))
-    finer = _bucketed(finer.select("doc_id", F.xxhash64("key", "key2").alias("key")), "op3-finer-heads").where("doc_id <> head")
-    finer = finer.select("doc_id", "head").distinct().join(checked.select("doc_id", "head"), ["doc_id", "head"], "left_anti")
-    links = links.unionByName(_verified(staged(finer, "op3-finer"), rows, threshold, size, "op3-checked-finer").where("similarity > 0"))
-    links = staged(links.select("doc_id", "head").distinct(), "op3-links")
-    classes = components(links, "op3")
+    keys = staged(_bucketed(reps.select("doc_id", F.greatest(F.col("n_words") - (size - 1), F.lit(1)).alias("n"), F.explode("keys").alias("key")), "op3-heads"), "op3-shared")
+    checked = _verified(keys.where("doc_id <> head").select("doc_id", "head").distinct(), rows, threshold, size, "op3-checked")
+    links, classes = _settled(keys, checked, rows, threshold, size)
     degree = links.select("doc_id").union(links.select("head")).groupBy("doc_id").agg(F.count("*").alias("n_links"))
     of_rep = classes.join(degree, "doc_id", "left").select(F.col("doc_id").alias("rep"), "class_id", "n_links")
     joined = copies.join(of_rep, "rep", "left")

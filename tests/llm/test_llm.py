@@ -213,6 +213,27 @@ def test_near_groups_are_brute_force(spark, texts):
     assert all(r["kept"] == (i == r["class_id"]) for i, r in got.items())
 
 
+def test_unlike_heads_hide_no_pair(spark):
+    rng = random.Random(12)
+    own = lambda n: [f"o{rng.randrange(10**7)}" for _ in range(n)]
+    base = [f"x{i}" for i in range(200)]
+
+    def edited(places):
+        words = list(base)
+        for at in places:
+            words[at] = own(1)[0]
+        return " ".join(words)
+
+    made = [" ".join(base + own(56 + i % 4)) for i in range(60)]  # the shared text and a tail each: under the threshold
+    made += [edited([3]), edited([196])]  # like one another, unlike all before
+    made += [" ".join(base[:40] + own(1) + base[41:] + own(30)), " ".join(base[:100])]  # like the two before
+    made += ["z " * 3 + edited([90]) + " " + " ".join(own(18))]
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_groups(table(spark, made)).collect()}
+    want = brute_near(dict(enumerate(made)))
+    assert want[60] == want[61] == 60 and len(set(want.values())) > 60
+    assert got == want
+
+
 def test_order_matters():
     rng = random.Random(1)
     words = [f"w{i}" for i in range(200)]
