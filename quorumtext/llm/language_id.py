@@ -198,10 +198,12 @@ def training_sample(docs: DataFrame, sample_chars: int) -> dict[str, list[bytes]
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit(10))
     sized = rows.select("doc_id", "lang", F.length("text").alias("n"), order.alias("order"))
-    # a cut by hash that holds enough of each language, before anything is sorted
-    totals = sized.groupBy("lang").agg(F.sum("n").alias("total"))
-    share = F.least(F.lit(1.0), F.lit(4.0 * sample_chars) / F.col("total"))
-    few = sized.join(totals, "lang").where((F.col("order") / F.lit(2.0**64) + 0.5 <= share))
+    # the ranges of the hash that hold the sample, from the lengths of all rows, before rows are sorted: at most 65,536 sums a language
+    ranged = sized.withColumn("range", F.shiftright("order", 48))
+    sums = ranged.groupBy("lang", "range").agg(F.sum("n").alias("range_n"))
+    so_far = F.sum("range_n").over(Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    needed = sums.withColumn("so_far", F.coalesce(so_far, F.lit(0))).where(F.col("so_far") < sample_chars).select("lang", "range")
+    few = ranged.join(needed, ["lang", "range"])
     before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     chosen = few.withColumn("before", before).where(F.col("before") < sample_chars).select("doc_id", F.col("lang").alias("language"))
     # a text longer than the bound gives its first part: the sample, not the scoring, is bounded

@@ -492,6 +492,23 @@ def test_language_on_held_out_rows(spark):
     assert np.mean([r["lang_pred"] == r["lang"] for r in got]) > 0.97 and all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_sample_is_the_first_by_hash(spark):
+    rng = random.Random(13)
+    texts = ["word " * 2_000 for _ in range(3)] + ["mot " * 9_000] + ["w " * rng.randint(1, 60) for _ in range(400)]
+    lang = ["few"] * 3 + ["one"] + [("many", "more")[i % 2] for i in range(400)]
+    made = table(spark, texts, lang=lang)
+    order = {r["doc_id"]: r["o"] for r in made.select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), F.lit(10)).alias("o")).collect()}
+    want = {}
+    for name in sorted(set(lang)):
+        total, chosen = 0, []
+        for i in sorted((i for i in order if lang[i] == name), key=order.get):
+            if total < 500:
+                chosen.append(i)
+            total += len(texts[i])
+        want[name] = [language_id.normal(texts[i][:500]) for i in sorted(chosen)]
+    assert language_id.training_sample(made, 500) == want and all(want.values())
+
+
 def test_language_edges(spark, texts):
     docs = table(spark, texts, lang=["en" if i % 3 else None for i in range(len(texts))])
     got = {r["doc_id"]: r for r in language_id.identify_held_out(docs).collect()}
