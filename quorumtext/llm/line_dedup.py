@@ -3,8 +3,9 @@
 Lines are compared without the blanks around them, by a 64-bit hash.  Documents are
 candidates for one another when they share a line: each is linked to the earliest
 document (least id) that has it, and, if the line is rare (in at most ``rare`` documents),
-to the one before it in order as well.  So a line links each of its documents at most
-twice, in groups of any size.  A pair is aligned by patience diff: lines that are
+to the one before it in order as well.  A run of short neighbouring lines that just reaches
+``block_words`` words links its documents to the earliest one that has the whole run.  So a line
+or run links each of its documents at most twice, in groups of any size.  A pair is aligned by patience diff: lines that are
 unique in both anchor the alignment (their longest rising sequence), equal neighbours
 extend it, and the gaps between anchors are aligned again.  Aligned blocks of at least
 ``block_words`` words go from the later document; several earlier documents may each take
@@ -144,6 +145,30 @@ def _align_rows(batches, block_words: int):
         yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field("doc_id").type), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "gone"])
 
 
+def _run_rows(batches, block_words: int):
+    """The least runs of neighbouring lines that reach ``block_words`` words, one a line that has fewer itself."""
+    from hashlib import blake2b
+    from struct import pack
+
+    import pyarrow as pa
+
+    for batch in batches:
+        ids, units, keys = [], [], []
+        for row in batch.to_pylist():
+            lines = row["lines"]
+            for at, x in enumerate(lines):
+                end, words = at + 1, x["words"]
+                if words >= block_words:
+                    continue
+                while words < block_words and end < len(lines) and lines[end]["place"] == lines[end - 1]["place"] + 1:
+                    end, words = end + 1, words + lines[end]["words"]
+                if words >= block_words:
+                    ids.append(row["doc_id"])
+                    units.append(row["unit"])
+                    keys.append(blake2b(pack(f"<{end - at}q", *(y["hash"] for y in lines[at:end])), digest_size=16).digest())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field("doc_id").type), pa.array(units, pa.int32()), pa.array(keys, pa.binary())], ["doc_id", "unit", "run"])
+
+
 def deleted_lines(docs: DataFrame, rare: int = RARE, block_words: int = BLOCK_WORDS, unit_lines: int = UNIT_LINES) -> DataFrame:
     """doc_id, gone (line numbers from 0): of each document that loses lines."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -157,8 +182,12 @@ def deleted_lines(docs: DataFrame, rare: int = RARE, block_words: int = BLOCK_WO
     w = Window.partitionBy("hash").orderBy("doc_id", "unit", "place")
     before = shared.where(F.col("n") <= rare).withColumn("p", F.lag(F.struct("doc_id", "unit")).over(w)).where("p.doc_id < doc_id")
     to_before = before.select("doc_id", "unit", F.col("p.doc_id").alias("earlier"), F.col("p.unit").alias("earlier_unit"))
-    pairs = to_first.unionByName(to_before).distinct()
     units = staged(shared.groupBy("doc_id", "unit").agg(F.array_sort(F.collect_set(F.struct("place", "line", "hash", "words"))).alias("lines")), "op2-units")
+    runs = staged(map_arrow(units.select("doc_id", "unit", "lines"), lambda it: _run_rows(it, block_words), f"doc_id {kind}, unit int, run binary").distinct(), "op2-runs")
+    run_first = runs.groupBy("run").agg(first.alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last").drop("last")
+    in_run = runs.join(staged(run_first, "op2-runs-of-two"), "run").where("doc_id > first.doc_id")
+    to_run = in_run.select("doc_id", "unit", F.col("first.doc_id").alias("earlier"), F.col("first.unit").alias("earlier_unit"))
+    pairs = to_first.unionByName(to_before).unionByName(to_run).distinct()
     later = pairs.join(units.withColumnRenamed("lines", "later_lines"), ["doc_id", "unit"])
     both = later.join(units.select(F.col("doc_id").alias("earlier"), F.col("unit").alias("earlier_unit"), F.col("lines").alias("earlier_lines")), ["earlier", "earlier_unit"])
     found = map_arrow(both.select("doc_id", "later_lines", "earlier_lines"), lambda it: _align_rows(it, block_words), f"doc_id {kind}, gone array<int>")

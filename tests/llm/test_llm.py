@@ -148,6 +148,17 @@ def test_line_dedup_is_brute_force(spark, texts, docs):
     assert set(first) - {""} <= everything
 
 
+def test_a_run_of_short_lines_finds_its_first_holder(spark):
+    short = [f"line {x}" for x in "abcdef"]
+    alone = lambda name: [f"own {name} {k}\n{x}\nend {name} {k}" for k, x in enumerate(short)]
+    block = "\n".join(short)
+    made = [*alone("before"), f"start B\n{block}\nend B", *alone("between"), "\n".join(reversed(short)), f"start C\n{block}\nend C"]
+    for rare in (line_dedup.RARE, 2):
+        got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(table(spark, made), rare=rare).collect()}
+        assert got == dict(enumerate(brute_lines(made, line_dedup.BLOCK_WORDS)))
+        assert got[len(made) - 1] == "start C\nend C"
+
+
 def test_line_dedup_keeps_own_repeats_and_clean_texts(spark):
     made = ["a b c d e f\na b c d e f\nx", None, "p q r s t u\nonly here", "a b c d e f\nnew words stand here"]
     got = {r["doc_id"]: (r["text"], r["n_deleted"]) for r in line_dedup.dedup_lines(table(spark, made)).collect()}
