@@ -12,8 +12,10 @@ band is as wide as an alignment that good can stray, so the verification is exac
 counts of words rule it out (both exactly) are not aligned.  Groups are the connected
 components of verified pairs; texts with the same words are one class from the start.
 
-Within a bucket every text is compared with one head (the least by a hash of the id),
-which is all for a group of any size whose members are like it.  Members that are unlike their head
+Within a bucket every text is compared with one head (its least id), and with the least of
+its heads first: most members of a group of copies are then of one class, and only texts of
+another class than their head (and not unlike the same one) are compared further.  That is all for a group
+of any size whose members are like its head.  Members that are unlike their head
 get keys anew, which only those unlike the same head share: sketches of the k-mers that
 the head lacks (two texts that only share a common passage with the head do
 not meet again, two copies of one another do), and, for texts that the head nearly contains, sketches of
@@ -258,19 +260,24 @@ def _verify_rows(batches, threshold: float, size: int, sketches: int, picks: int
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("head"), batch.column("again"), pa.array(found, pa.float64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "head", "again", "similarity", "keys"])
 
 
-def _pairs(keys: DataFrame, threshold: float, name: str) -> DataFrame:
-    """(doc_id, head, again) of the keys (doc_id, n words, key) that several texts have: each with the bucket's head.
+def _pairs(keys: DataFrame, name: str, by_hash: bool) -> DataFrame:
+    """(doc_id, head, again) of the keys (doc_id, key) that several texts have: each with the bucket's head, its least id or the id of least hash.
 
-    ``again``: the bucket has others that may be unlike the head.  Pairs whose lengths rule
-    them out are kept where they need keys.  The heads are a stored table, so that the join
-    deals both sides by itself and Spark can split a key that very many have.
+    ``again``: the bucket has others that may be unlike the head.  The heads are a stored table,
+    so that the join deals both sides by itself and Spark can split a key that very many have.
     """
-    order = F.xxhash64("doc_id", F.lit(17))
-    heads = keys.groupBy("key").agg(F.min(F.struct(order.alias("o"), "doc_id", "n")).alias("h"), F.count("*").alias("many")).where("many > 1")
-    heads = staged(heads.select("key", F.col("h.doc_id").alias("head"), F.col("h.n").alias("head_n"), (F.col("many") > 2).alias("again")), f"{name}-heads")
-    met = keys.join(heads, "key").where("doc_id <> head")
-    possible = 2 * F.least("n", "head_n") >= (F.col("n") + F.col("head_n")) * F.lit(threshold) - F.lit(1e-9)
-    return staged(met.where(possible | F.col("again")).groupBy("doc_id", "head").agg(F.max("again").alias("again")), f"{name}-pairs")
+    least = F.min(F.struct(F.xxhash64("doc_id", F.lit(17)).alias("o"), "doc_id"))["doc_id"] if by_hash else F.min("doc_id")
+    heads = keys.groupBy("key").agg(least.alias("head"), F.count("*").alias("many")).where("many > 1")
+    heads = staged(heads.select("key", "head", (F.col("many") > 2).alias("again")), f"{name}-heads")
+    met = keys.join(heads, "key").select("doc_id", "head", "again").where("doc_id <> head")
+    return staged(met.groupBy("doc_id", "head").agg(F.max("again").alias("again")), f"{name}-pairs")
+
+
+def _possible(pairs: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+    """``pairs`` without those whose lengths rule them out and that need no keys."""
+    own, other = sizes.withColumnRenamed("n", "own_n"), sizes.select(F.col("doc_id").alias("head"), F.col("n").alias("head_n"))
+    like = 2 * F.least("own_n", "head_n") >= (F.col("own_n") + F.col("head_n")) * F.lit(threshold) - F.lit(1e-9)
+    return pairs.join(own, "doc_id").join(other, "head").where(F.col("again") | like).select("doc_id", "head", "again")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, threshold: float, size: int, sketches: int, picks: int, name: str) -> DataFrame:
@@ -310,38 +317,44 @@ def components(links: DataFrame, name: str) -> DataFrame:
         labels = after.select("doc_id", "class_id")
 
 
-def _links(keys: DataFrame, rows: DataFrame, sizes: DataFrame, threshold: float, size: int, picks: int) -> DataFrame:
-    """(doc_id, head) of all verified pairs, level after level."""
-    links = done = None
+def _links(keys: DataFrame, rows: DataFrame, sizes: DataFrame, threshold: float, size: int, picks: int) -> DataFrame | None:
+    """(doc_id, head) of all verified pairs, level after level; None if there are no pairs."""
+
+    def verified(pairs):
+        return _verified(_possible(pairs, sizes, threshold), rows, threshold, size, REST_SKETCHES, picks, "op3-checked")
+
+    pairs = _pairs(keys, "op3", by_hash=False)
+    if pairs.isEmpty():
+        return None
+    # of each text the pair with its least head first
+    first = pairs.join(pairs.groupBy("doc_id").agg(F.min("head").alias("head")), ["doc_id", "head"], "left_semi")
+    done = verified(first)
+    # texts of one class need no other pair, and two that are unlike one head meet again by what it lacks, if they are alike
+    classes = components(done.where("similarity > 0").select("doc_id", "head"), "op3")
+    unlike = done.where("similarity = 0 AND again").select("doc_id", F.col("head").alias("unlike"))
+    known = staged(classes.join(unlike, "doc_id", "full"), "op3-known")
+    others = pairs.join(first.select("doc_id", "head"), ["doc_id", "head"], "left_anti").join(known, "doc_id", "left")
+    others = _salted(others.select("doc_id", "head", "again", F.coalesce("class_id", "doc_id").alias("own_class"), F.col("unlike").alias("own_unlike")))
+    of_head = _each_salt(known.select(F.col("doc_id").alias("head"), F.col("class_id").alias("head_class"), F.col("unlike").alias("head_unlike")))
+    others = others.join(of_head, ["head", "_salt"], "left").where(F.col("own_class") != F.coalesce("head_class", "head"))
+    others = others.where("coalesce(own_unlike <> head_unlike, true)").select("doc_id", "head", "again")
+    done = level = done.unionByName(verified(staged(others, "op3-others")))
+    links = done.where("similarity > 0").select("doc_id", "head")
     while True:
-        pairs = _pairs(keys, threshold, "op3")
-        if done is not None:
-            # a pair that was compared at an earlier level only gives its keys again
-            had = done.select("doc_id", "head", F.col("again").alias("had"))
-            fresh = pairs.join(had.groupBy("doc_id", "head").agg(F.max("had").alias("had")), ["doc_id", "head"], "left").where("had IS NULL OR (again AND NOT had)").drop("had")
-            fresh = staged(fresh, "op3-fresh")
-        else:
-            fresh = pairs
-        if fresh.isEmpty():
-            found = None
-        else:
-            found = _verified(fresh, rows, threshold, size, REST_SKETCHES, picks, "op3-checked")
-            some = found.where("similarity > 0").select("doc_id", "head")
-            links = some if links is None else links.unionByName(some)
-        if done is not None:
-            before = done.join(pairs.where("again").select("doc_id", "head"), ["doc_id", "head"], "left_semi").where("again")
-            level = before if found is None else before.unionByName(found)
-        else:
-            level = found
-        if found is not None:
-            done = found if done is None else done.unionByName(found)
-        if level is None:
-            break
-        beside = level.where("size(keys) > 0").select("doc_id", F.explode("keys").alias("key")).distinct()
-        keys = staged(beside.join(sizes, "doc_id"), "op3-beside")
-        if keys.isEmpty():
-            break
-    return links
+        keys = staged(level.where("size(keys) > 0").select("doc_id", F.explode("keys").alias("key")).distinct(), "op3-beside")
+        pairs = _pairs(keys, "op3", by_hash=True)
+        # a pair that was compared at an earlier level only gives its keys again
+        had = done.groupBy("doc_id", "head").agg(F.max("again").alias("had"))
+        pairs = staged(pairs.join(had, ["doc_id", "head"], "left"), "op3-level")
+        fresh = pairs.where("had IS NULL OR (again AND NOT had)").drop("had")
+        if pairs.isEmpty():
+            return links
+        level = done.join(pairs.where("again AND had").select("doc_id", "head"), ["doc_id", "head"], "left_semi").where("again")
+        if not fresh.isEmpty():
+            found = verified(fresh)
+            links = links.unionByName(found.where("similarity > 0").select("doc_id", "head"))
+            level, done = level.unionByName(found), done.unionByName(found)
+        level = staged(level, "op3-met")
 
 
 def near_groups(docs: DataFrame, threshold: float = THRESHOLD, sketches: int = SKETCHES, picks: int = PICKS, size: int = KMER) -> DataFrame:
@@ -356,7 +369,7 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, sketches: int = S
     copies = _salted(found.select("doc_id", "same")).join(several, ["same", "_salt"], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
     reps = found.where("same IS NOT NULL").join(same.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     reps = reps.select("doc_id", F.col("n_words").alias("n"), "keys")
-    links = _links(reps.select("doc_id", "n", F.explode("keys").alias("key")), rows, reps.select("doc_id", "n"), threshold, size, picks)
+    links = _links(reps.select("doc_id", F.explode("keys").alias("key")), rows, reps.select("doc_id", "n"), threshold, size, picks)
     if links is None:
         return copies.select("doc_id", F.col("rep").alias("class_id"), F.lit(0).cast("long").alias("n_links"), (F.col("doc_id") == F.col("rep")).alias("kept"))
     links = staged(links.distinct(), "op3-links")
