@@ -14,16 +14,20 @@ are one row of a table that each worker makes once from the counts; whole texts
 scored in numpy without sampling.
 
 Training takes a bounded sample: per language, of the training rows, those of least
-hash until ``sample_chars`` code points; the bound is a parameter, as is the number of contexts kept
-(``contexts``, the most frequent ones).
+hash until ``sample_chars`` code points (of a longer text, as many blocks of it from all over, by a hash of
+their place); the bound is a parameter, as is the size of the frozen statistics: of the contexts of two
+and three bytes the ``contexts`` most frequent of each.
 
-Defined results: null texts and texts without a letter are ``und`` with score 0; ties
+Defined results: null texts and texts without a letter (Unicode's letter categories: no
+digits, fractions or Roman numeral signs) are ``und`` with score 0; ties
 go to the language that sorts first; with no training rows everything is ``und``;
 repeated rows are scored each; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -34,6 +38,7 @@ SAMPLE_CHARS = 600_000
 CONTEXTS = 24_000
 UNDETERMINED = "und"
 BLOCK = 262_144
+SAMPLE_BLOCK = 4_096
 
 
 def normal(text: str) -> bytes:
@@ -197,7 +202,7 @@ def training_sample(docs: DataFrame, sample_chars: int) -> dict[str, list[bytes]
     """Per language, texts in the order of a hash of the id until ``sample_chars`` code points."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit(10))
-    sized = rows.select("doc_id", "lang", F.length("text").alias("n"), order.alias("order"))
+    sized = rows.select("doc_id", "lang", F.length("text").alias("n"), order.alias("order")).where("n > 0")
     # the ranges of the hash that hold the sample, from the lengths of all rows, before rows are sorted: at most 65,536 sums a language
     ranged = sized.withColumn("range", F.shiftright("order", 48))
     sums = ranged.groupBy("lang", "range").agg(F.sum("n").alias("range_n"))
@@ -206,8 +211,11 @@ def training_sample(docs: DataFrame, sample_chars: int) -> dict[str, list[bytes]
     few = ranged.join(needed, ["lang", "range"])
     before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     chosen = few.withColumn("before", before).where(F.col("before") < sample_chars).select("doc_id", F.col("lang").alias("language"))
-    # a text longer than the bound gives its first part: the sample, not the scoring, is bounded
-    texts = may_have_key(docs.select("doc_id", F.substring("text", 1, sample_chars).alias("text")), chosen, "doc_id").join(chosen, "doc_id")
+    # a text longer than the bound gives blocks from all over it: the sample, not the scoring, is bounded
+    block, many = min(SAMPLE_BLOCK, sample_chars), sample_chars // min(SAMPLE_BLOCK, sample_chars)
+    places = f"sort_array(transform(slice(sort_array(transform(sequence(0L, (length(text) - 1L) div {block}), i -> struct(xxhash64(i, 10) AS h, i AS i))), 1, {many}), x -> x.i))"
+    sampled = F.expr(f"CASE WHEN length(text) <= {sample_chars} THEN text ELSE array_join(transform({places}, i -> substring(text, int(i * {block}) + 1, {block})), ' ') END")
+    texts = may_have_key(docs.select("doc_id", "text"), chosen, "doc_id").join(chosen, "doc_id").select("doc_id", "language", sampled.alias("text"))
     found: dict[str, list[bytes]] = {}
     for row in texts.select("language", "doc_id", "text").sort("language", "doc_id").collect():
         found.setdefault(row["language"], []).append(normal(row["text"]))
@@ -224,19 +232,24 @@ def posterior(bits: np.ndarray) -> np.ndarray:
     return odds / odds.sum(axis=1, keepdims=True)
 
 
-def _score_rows(batches, trees):
-    import re
+_WORDLIKE = re.compile(r"[^\W\d_]")
+
 
+def has_letter(text: str) -> bool:
+    """Whether a letter stands in the text; ``\\w`` alone also takes fractions, powers and Roman numeral signs."""
+    return any(x.group().isalpha() for x in _WORDLIKE.finditer(text))
+
+
+def _score_rows(batches, trees):
     import pyarrow as pa
 
     from .tokens import slices
 
-    letter = re.compile(r"[^\W\d_]")
     for batch in batches:
         for first, part in slices(batch.column("text").to_pylist() if batch.num_rows else []):
             model = trees.value
             named, score, rate = [UNDETERMINED] * len(part), [0.0] * len(part), [0.0] * len(part)
-            good = [i for i, t in enumerate(part) if t and letter.search(t)]
+            good = [i for i, t in enumerate(part) if t and has_letter(t)]
             if good and model.languages:
                 bits = model.bits([normal(part[i]) for i in good])
                 odds, best = posterior(bits), bits.argmin(axis=1)

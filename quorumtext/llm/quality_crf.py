@@ -11,9 +11,12 @@ The recursions are products of two-by-two matrices, taken for all lines of many
 texts at once by doubling, so that a text of a million lines costs 20 passes, not a
 million steps.
 
-Training: of the labelled rows, at most ``train_docs`` documents of least hash, of
-each the first ``train_lines`` lines (both bounds are parameters); every line has its
-document's label.  Scoring reads whole texts.
+Training: of the labelled rows, at most ``train_docs`` documents of least hash; features are
+made from whole texts, and a document of more than ``train_lines`` lines gives runs of ``RUN`` lines
+from all over it, by a hash of their place, up to that number (both bounds are parameters).  Every line
+first has its document's label.  After a first fit, lines that the field holds for the other kind with
+probability ``RELABEL`` or more change theirs (never so many that the document would), and the field is
+fitted again: so it sees how labels follow one another inside a document.  Scoring reads whole texts.
 
 Defined results: null and empty texts are one line of no bytes, and get the score of
 that; a text of blank lines alone has weight 1 on each; repeated rows are scored each; with
@@ -31,6 +34,8 @@ from .language_id import held_out
 
 TRAIN_DOCS = 2_000
 TRAIN_LINES = 120
+RUN = 40
+RELABEL = 0.9
 PASSES = 150
 
 _KIND = np.zeros(256, dtype=np.int8)  # 0 other symbol, 1 lower case or above ASCII, 2 upper case, 3 digit, 4 blank, 5 sentence mark, 6 rest of UTF-8
@@ -125,6 +130,28 @@ def marginals(emit: np.ndarray, trans: np.ndarray, n_lines: np.ndarray) -> tuple
     return one, pairs
 
 
+def gradient(x: np.ndarray, y: np.ndarray, n_lines: np.ndarray, weights: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the mean over the texts of log likelihood / lines: a document counts once, however many lines it has."""
+    each = np.repeat(1 / n_lines, n_lines)[:, None]
+    one, pairs = marginals(x @ weights, trans, n_lines)
+    inner = np.ones(len(y), dtype=bool)
+    inner[np.cumsum(n_lines) - n_lines] = False
+    seen = np.zeros((2, 2))
+    at = np.flatnonzero(inner)
+    np.add.at(seen, (y[at - 1], y[at]), each[at, 0])
+    return (x.T @ ((np.eye(2)[y] - one) * each)) / len(n_lines), (seen - (pairs * each[:, :, None]).sum(axis=0)) / len(n_lines)
+
+
+def relabelled(one: np.ndarray, y: np.ndarray, size: np.ndarray, n_lines: np.ndarray, least: float = RELABEL) -> np.ndarray:
+    """Labels of lines, changed where the marginals ``one`` speak for the other with ``least`` or more;
+    a text in which half of the bytes or more would change keeps its own."""
+    change = one[np.arange(len(y)), y] <= 1 - least
+    first = np.cumsum(n_lines) - n_lines
+    weight = size + 1.0
+    most = np.add.reduceat(weight * change, first) < 0.5 * np.add.reduceat(weight, first)
+    return np.where(change & np.repeat(most, n_lines), 1 - y, y)
+
+
 class LineField:
     """Weights of the field and of the curve from mean marginal to score."""
 
@@ -133,37 +160,26 @@ class LineField:
 
     @classmethod
     def fit(cls, texts: list[str], labels: np.ndarray, passes: int = PASSES, decay: float = 2e-3) -> "LineField":
-        if not len(texts) or len(set(labels.tolist())) < 2:
-            sure = 0.0 if not len(texts) else (4.0 if labels[0] else -4.0)
+        own, size, n_lines = line_features(texts) if len(texts) else (np.zeros((0, OWN)), np.zeros(0), np.zeros(0, np.int64))
+        return cls.fit_features(own, size, n_lines, labels, passes, decay)
+
+    @classmethod
+    def fit_features(cls, own: np.ndarray, size: np.ndarray, n_lines: np.ndarray, labels: np.ndarray, passes: int = PASSES, decay: float = 2e-3) -> "LineField":
+        """Of what ``line_features`` gives, and a label (0 or 1) a text."""
+        if not len(labels) or len(set(labels.tolist())) < 2:
+            sure = 0.0 if not len(labels) else (4.0 if labels[0] else -4.0)
             return cls(np.zeros((3 * OWN, 2)), np.zeros((2, 2)), np.zeros(OWN), np.ones(OWN), (0.0, sure))
-        own, size, n_lines = line_features(texts)
         mean, scale = own.mean(axis=0), own.std(axis=0)
         mean[0], scale[scale == 0] = 0, 1
         scale[0] = 1
         x = with_neighbours((own - mean) / scale, n_lines)
-        y = np.repeat(labels.astype(np.int64), n_lines)
-        first = np.cumsum(n_lines) - n_lines
-        hot = np.eye(2)[y]
-        seen_pairs = np.zeros((2, 2))
-        inner = np.ones(len(y), dtype=bool)
-        inner[first] = False
-        np.add.at(seen_pairs, (y[inner], y[inner]), 1)
-        # a document counts once, however many lines it has
-        each = np.repeat(1 / n_lines, n_lines)[:, None]
-        pair_each = each[:, :, None]
-        seen_pairs = np.array([[each[inner & (y == 0)].sum(), 0], [0, each[inner & (y == 1)].sum()]])
-        weights, trans = np.zeros((x.shape[1], 2)), np.zeros((2, 2))
-        state = [np.zeros_like(weights), np.zeros_like(weights), np.zeros_like(trans), np.zeros_like(trans)]
-        for step in range(1, passes + 1):
-            one, pairs = marginals(x @ weights, trans, n_lines)
-            grad_w = (x.T @ ((hot - one) * each)) / len(texts) - decay * weights
-            grad_t = (seen_pairs - (pairs * pair_each).sum(axis=0)) / len(texts) - 0.02 * trans
-            for value, grad, m, v in ((weights, grad_w, 0, 1), (trans, grad_t, 2, 3)):
-                state[m] = 0.9 * state[m] + 0.1 * grad
-                state[v] = 0.99 * state[v] + 0.01 * grad**2
-                value += 0.05 * (state[m] / (1 - 0.9**step)) / (np.sqrt(state[v] / (1 - 0.99**step)) + 1e-8)
+        document = np.repeat(labels.astype(np.int64), n_lines)
+        weights, trans = cls._ascend(x, document, n_lines, np.zeros((x.shape[1], 2)), np.zeros((2, 2)), passes, decay)
+        y = relabelled(marginals(x @ weights, trans, n_lines)[0], document, size, n_lines)
+        if (y != document).any():
+            weights, trans = cls._ascend(x, y, n_lines, weights, trans, passes // 3, decay)
         field = cls(weights, trans, mean, scale, (1.0, 0.0))
-        raw = field.quality(texts)
+        raw = field.quality_of(own, size, n_lines)
         a, b = 1.0, 0.0
         z = cls._logit(raw)
         for _ in range(60):  # Newton for the two numbers of the curve, a little drawn to (1, 0)
@@ -178,43 +194,76 @@ class LineField:
         field.curve = (float(a), float(b))
         return field
 
+    @staticmethod
+    def _ascend(x, y, n_lines, weights, trans, passes: int, decay: float) -> tuple[np.ndarray, np.ndarray]:
+        """Adam on the penalised likelihood of the labels ``y``."""
+        weights, trans = weights.copy(), trans.copy()
+        state = [np.zeros_like(weights), np.zeros_like(weights), np.zeros_like(trans), np.zeros_like(trans)]
+        for step in range(1, passes + 1):
+            grad_w, grad_t = gradient(x, y, n_lines, weights, trans)
+            for value, grad, m, v in ((weights, grad_w - decay * weights, 0, 1), (trans, grad_t - 0.02 * trans, 2, 3)):
+                state[m] = 0.9 * state[m] + 0.1 * grad
+                state[v] = 0.99 * state[v] + 0.01 * grad**2
+                value += 0.05 * (state[m] / (1 - 0.9**step)) / (np.sqrt(state[v] / (1 - 0.99**step)) + 1e-8)
+        return weights, trans
+
     @staticmethod
     def _logit(p):
         p = np.clip(p, 1e-4, 1 - 1e-4)
         return np.log(p / (1 - p))
 
-    def line_marginals(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probability of good of each line, its bytes, lines of each text."""
-        own, size, n_lines = line_features(texts)
+    def quality_of(self, own: np.ndarray, size: np.ndarray, n_lines: np.ndarray) -> np.ndarray:
+        """The length-weighted mean of the lines' probabilities of good, of each text."""
         x = with_neighbours((own - self.mean) / self.scale, n_lines)
-        one, _ = marginals(x @ self.weights, self.trans, n_lines)
-        return one[:, 1], size, n_lines
-
-    def quality(self, texts: list[str]) -> np.ndarray:
-        """The length-weighted mean of the lines' marginals."""
-        if not texts:
-            return np.zeros(0)
-        good, size, n_lines = self.line_marginals(texts)
+        good = marginals(x @ self.weights, self.trans, n_lines)[0][:, 1]
         first = np.cumsum(n_lines) - n_lines
         weight = size.astype(np.float64)
         blank = np.add.reduceat(weight, first) == 0
         weight = np.where(np.repeat(blank, n_lines), 1.0, weight)
         return np.add.reduceat(good * weight, first) / np.add.reduceat(weight, first)
 
+    def quality(self, texts: list[str]) -> np.ndarray:
+        return self.quality_of(*line_features(texts)) if texts else np.zeros(0)
+
     def score(self, texts: list[str]) -> np.ndarray:
         a, b = self.curve
         return 1 / (1 + np.exp(-(a * self._logit(self.quality(texts)) + b)))
 
 
+def _training_rows(batches, train_lines: int):
+    """(doc_id, run, features, sizes): a text's lines, or runs of them by a hash of their place."""
+    import zlib
+
+    import pyarrow as pa
+
+    for batch in batches:
+        out: list[tuple] = []
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            own, size, _ = line_features([text])
+            if len(own) <= train_lines:
+                runs = [(0, 0, len(own))]
+            else:
+                starts = sorted(range(0, len(own), RUN), key=lambda at: (zlib.crc32(f"{doc_id}:{at}".encode()), at))
+                runs = [(at, at, min(at + RUN, len(own))) for at in sorted(starts[: max(1, train_lines // RUN)])]
+            out += [(doc_id, run, own[a:b].astype("<f4").tobytes(), size[a:b].astype("<i8").tobytes()) for run, a, b in runs]
+        ids, runs, features, sizes = zip(*out) if out else ([], [], [], [])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field("doc_id").type), pa.array(runs, pa.int64()), pa.array(features, pa.binary()), pa.array(sizes, pa.binary())], ["doc_id", "run", "features", "sizes"])
+
+
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_lines: int = TRAIN_LINES) -> LineField:
     """Fits on the rows of ``docs`` that ``labels`` (doc_id, quality) covers."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
     labelled = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit(5))
     chosen = labelled.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(train_docs)
-    lines = F.substring_index(F.coalesce("text", F.lit("")), "\n", train_lines)
-    rows = may_have_key(docs.select("doc_id", lines.alias("text")), chosen, "doc_id").join(chosen, "doc_id").dropDuplicates(["doc_id"])
-    found = sorted(((r["doc_id"], r["text"], r["quality"]) for r in rows.collect()), key=lambda r: r[0])
-    return LineField.fit([r[1] for r in found], np.array([r[2] for r in found], dtype=np.float64))
+    rows = may_have_key(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), chosen, "doc_id").join(chosen.select("doc_id"), "doc_id", "left_semi")
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"))
+    made = map_arrow(rows, lambda it: _training_rows(it, train_lines), f"doc_id {kind}, run long, features binary, sizes binary")
+    # at most train_docs * train_lines lines of OWN numbers
+    found = sorted(((r["doc_id"], r["run"], r["features"], r["sizes"], r["quality"]) for r in made.join(chosen, "doc_id").collect()), key=lambda r: r[:2])
+    own = np.frombuffer(b"".join(r[2] for r in found), dtype="<f4").astype(np.float64).reshape(-1, OWN)
+    size = np.frombuffer(b"".join(r[3] for r in found), dtype="<i8")
+    return LineField.fit_features(own, size, np.array([len(r[3]) // 8 for r in found], dtype=np.int64), np.array([r[4] for r in found], dtype=np.float64))
 
 
 def _score_rows(batches, field):

@@ -342,6 +342,49 @@ def test_marginals_are_enumeration():
         at += n
 
 
+def test_gradient_is_that_of_the_enumerated_likelihood():
+    import itertools
+
+    rng = np.random.default_rng(3)
+    n_lines = np.array([1, 3, 5])
+    x, y = rng.normal(size=(9, 4)), rng.integers(0, 2, 9)
+    weights, trans = rng.normal(size=(4, 2)), rng.normal(size=(2, 2))
+
+    def likelihood(weights, trans):
+        total, at = 0.0, 0
+        for n in n_lines.tolist():
+            emit = x[at : at + n] @ weights
+            score = lambda way: sum(emit[i, way[i]] for i in range(n)) + sum(trans[way[i - 1], way[i]] for i in range(1, n))  # noqa: B023, E731
+            total += (score(y[at : at + n]) - math.log(sum(math.exp(score(way)) for way in itertools.product((0, 1), repeat=n)))) / n
+            at += n
+        return total / len(n_lines)
+
+    grad_w, grad_t = quality_crf.gradient(x, y, n_lines, weights, trans)
+    for value, grad in ((weights, grad_w), (trans, grad_t)):
+        for place in np.ndindex(value.shape):
+            step = np.zeros_like(value)
+            step[place] = 1e-5
+            up = likelihood(weights + step, trans) if value is weights else likelihood(weights, trans + step)
+            down = likelihood(weights - step, trans) if value is weights else likelihood(weights, trans - step)
+            assert abs((up - down) / 2e-5 - grad[place]) < 1e-7
+
+
+def test_lines_of_the_other_kind_change_their_label():
+    one = np.array([[0.95, 0.05], [0.02, 0.98], [0.02, 0.98], [0.99, 0.01], [0.5, 0.5]])
+    size, n_lines = np.array([10, 100, 5, 90, 10]), np.array([2, 3])
+    assert quality_crf.relabelled(one, np.array([1, 1, 0, 0, 0]), size, n_lines).tolist() == [0, 1, 1, 0, 0]
+    assert quality_crf.relabelled(one, np.array([1, 1, 1, 1, 1]), size, n_lines).tolist() == [0, 1, 1, 1, 1]  # too much of the second text
+
+
+def test_training_reads_whole_texts(spark):
+    """What tells the kinds apart stands after the first lines only."""
+    good, bad = "plain words stand here today.\n", "### $$$ %%% 12 34\n"
+    made = [good * 300 + (good if i % 2 else bad) * 600 for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    rows = quality_crf.score_documents(table(spark, made), quality_crf.train(table(spark, made), labels, train_lines=80)).collect()
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in rows)
+
+
 def test_quality_on_held_out_rows(spark):
     path = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{path}/documents.parquet"), spark.read.parquet(f"{path}/labels.parquet")
@@ -511,7 +554,7 @@ def test_best_fit_decreasing_is_the_plain_one():
 # 10
 
 
-def test_code_lengths_are_the_recursive_definition():
+def test_code_lengths_are_the_recursive_definition(monkeypatch):
     samples = {"a": [language_id.normal("abracadabra abra")], "b": [language_id.normal("banana bandana")]}
     trees = language_id.ByteTrees.learn(samples)
     counts = {x: collections.Counter() for x in samples}
@@ -534,7 +577,8 @@ def test_code_lengths_are_the_recursive_definition():
             return after[symbol] / whole
         return len(after) / whole * probability(x, shorter, symbol) / (1 - sum(probability(x, shorter, s) for s in after))
 
-    for text in ("abra banana", "zzz", "bandabra é"):
+    for text, block in (("abra banana", 262_144), ("zzz", 262_144), ("bandabra é", 262_144), ("abra banana bandabra", 3), ("banana", 1)):
+        monkeypatch.setattr(language_id, "BLOCK", block)
         t = language_id.normal(text)
         want = [-sum(math.log2(probability(x, t[i - 3 : i], t[i : i + 1])) for i in range(3, len(t))) for x in ("a", "b")]
         assert np.allclose(trees.bits([t])[0], want, rtol=1e-4)
@@ -559,8 +603,23 @@ def test_sample_is_the_first_by_hash(spark):
             if total < 500:
                 chosen.append(i)
             total += len(texts[i])
-        want[name] = [language_id.normal(texts[i][:500]) for i in sorted(chosen)]
-    assert language_id.training_sample(made, 500) == want and all(want.values())
+        want[name] = [len(language_id.normal(texts[i])) if len(texts[i]) <= 500 else 503 for i in sorted(chosen)]
+    found = language_id.training_sample(made, 500)
+    assert {k: [len(x) if len(x) < 500 else 503 for x in v] for k, v in found.items()} == want and all(want.values())
+
+
+def test_sample_of_a_long_text_is_from_all_over_it(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_BLOCK", 10)
+    text = "".join(f"{i:09d}." for i in range(1000))
+    (found,) = language_id.training_sample(table(spark, [text], lang=["x"]), 200)["x"]
+    parts = found.decode().split()
+    assert len(parts) == 20 and all(x in text for x in parts) and int(parts[-1][:9]) > 500
+
+
+def test_letters_are_letters(spark):
+    odd = ["½ ② ³", "Ⅷ ⅷ", "١٢٣", "__", "½ a", "ªº", "中", "12"]
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(table(spark, odd), language_id.ByteTrees.learn({"en": [language_id.normal("some words")]})).collect()}
+    assert [got[i] == "und" for i in range(len(odd))] == [not any(c.isalpha() for c in t) for t in odd] == [True] * 4 + [False] * 3 + [True]
 
 
 def test_language_edges(spark, texts):
