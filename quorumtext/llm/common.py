@@ -21,11 +21,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The application's folder below ``spark.checkpoint.dir``, which the cluster names.
 
-    Only where the setting is absent (local tests) is a folder made here, and then
-    the setting is made too.
+    Only where the setting is absent and the master is local (tests) is a folder made here, and
+    then the setting is made too; on a cluster a machine's own folder would not be shared.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='quorumtext-checkpoint-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     folder = f"{root.rstrip('/')}/quorumtext-{spark.sparkContext.applicationId}"
@@ -63,12 +65,13 @@ def _number(value: str | None) -> int:
     return int(digits or 0) if (value or "").endswith("b") or (value or "").isdigit() else 0
 
 
-def map_arrow(df: DataFrame, work, schema) -> DataFrame:
+def map_arrow(df: DataFrame, work, schema, encodes: bool = False) -> DataFrame:
     """``mapInArrow`` with batches of a few MB.
 
     Spark's own bound is 64 MB a batch, of which each running task holds several, in the
     JVM's direct memory and again in Python; texts of any length are better served by
-    few at a time.  The session keeps a lower bound if it has one.
+    few at a time.  The session keeps a lower bound if it has one.  Only work that ``encodes`` keeps the
+    worker's tokenizer and its memos for the next task.
     """
     ship(df.sparkSession)
     conf = df.sparkSession.conf
@@ -76,7 +79,42 @@ def map_arrow(df: DataFrame, work, schema) -> DataFrame:
         now = _number(conf.get(key, None))
         if not 0 < now <= most:
             conf.set(key, str(most))
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(lambda batches: _tidy(work, batches, encodes), schema)
+
+
+def _tidy(work, batches, encodes: bool):
+    """A worker process serves one stage after the other: what only this task or another kind of task needs goes back to the system."""
+    from . import shingles, tokens
+
+    if not encodes:
+        tokens.forget()
+    try:
+        yield from work(batches)
+    finally:
+        shingles.forget()
+        give_back()
+
+
+def give_back() -> None:
+    """Freed memory of Arrow and of the C library, to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def free_name(base: str, taken: list[str]) -> str:
+    """``base``, with underscores before it until no column of ``taken`` has that name (in any case)."""
+    names = {c.lower() for c in taken}
+    while base.lower() in names:
+        base = f"_{base}"
+    return base
 
 
 def text_or_empty(column: str = "text"):

@@ -14,13 +14,18 @@ they were deleted from it, since those stand in a still earlier one.
 
 Lines that one document alone has are left out of the sequences (their places still
 divide blocks).  Sequences are cut into units of ``unit_lines`` lines, so that rows are bounded for
-documents of any length; texts themselves move once, to take their deletions.
+documents of any length.  A unit also has the last and the next ``block_words`` lines of its neighbours, which
+a block that just suffices never exceeds: a block across a cut is found in the unit it starts in, and longer ones
+in parts that overlap.  Texts themselves move once, to take their deletions.
+
+A document is an id with a text: rows with equal ids and equal texts get the same answer, rows with equal
+ids and different texts are documents of their own (the one of lesser text hash is the earlier).
 
 Defined results: null counts as empty; blank lines are never deleted on their own, but
 go when no line with words is left, and the text is then empty; a document that
 repeats a line of its own keeps it; of documents of equal text the later ones lose
-all lines; of rows with equal ids each gets the same answer; an empty table gives an
-empty result; other columns are ignored.
+all lines; an empty table gives an empty result; other columns are ignored, and kept, but for columns
+of the names n_lines and n_deleted, which ``dedup_lines`` replaces.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ from bisect import bisect_left
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import map_arrow, staged, text_or_empty
+from .common import free_name, map_arrow, staged, text_or_empty
 
 RARE = 64
 BLOCK_WORDS = 5
@@ -123,11 +128,12 @@ def blocks_to_delete(later: list[tuple], earlier: list[tuple], block_words: int)
 
 
 def lines_of(docs: DataFrame, unit_lines: int = UNIT_LINES) -> DataFrame:
-    """doc_id, unit, place (without blank lines), line (with them), hash, words of every line that is not blank."""
+    """doc (doc_id, hash of the text), unit, place (without blank lines), line (with them), hash, words of every line that is not blank."""
     trimmed = "transform(split(text, '\\n'), (x, i) -> struct(i AS line, trim(BOTH ' \\t\\r\\u000b\\f' FROM x) AS own))"
-    rows = docs.select("doc_id", text_or_empty().alias("text")).select("doc_id", F.expr(f"posexplode(filter({trimmed}, x -> x.own <> ''))").alias("place", "x"))
+    rows = docs.select("doc_id", text_or_empty().alias("text")).select(F.struct("doc_id", F.xxhash64("text").alias("mark")).alias("doc"), "text")
+    rows = rows.select("doc", F.expr(f"posexplode(filter({trimmed}, x -> x.own <> ''))").alias("place", "x"))
     words = F.size(F.split("x.own", r"[ \t]+")).alias("words")
-    return rows.select("doc_id", F.expr(f"place div {unit_lines}").cast("int").alias("unit"), "place", F.col("x.line").alias("line"), F.xxhash64("x.own").alias("hash"), words)
+    return rows.select("doc", F.expr(f"place div {unit_lines}").cast("int").alias("unit"), "place", F.col("x.line").alias("line"), F.xxhash64("x.own").alias("hash"), words)
 
 
 def _align_rows(batches, block_words: int):
@@ -140,9 +146,9 @@ def _align_rows(batches, block_words: int):
             earlier = [(x["place"], x["hash"], x["words"]) for x in row["earlier_lines"]]
             gone = set(blocks_to_delete(later, earlier, block_words))
             if gone:
-                ids.append(row["doc_id"])
+                ids.append(row["doc"])
                 out.append([x["line"] for x in row["later_lines"] if x["place"] in gone])
-        yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field("doc_id").type), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "gone"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field("doc").type), pa.array(out, pa.list_(pa.int32()))], ["doc", "gone"])
 
 
 def _run_rows(batches, block_words: int):
@@ -163,38 +169,40 @@ def _run_rows(batches, block_words: int):
                 while words < block_words and end < len(lines) and lines[end]["place"] == lines[end - 1]["place"] + 1:
                     end, words = end + 1, words + lines[end]["words"]
                 if words >= block_words:
-                    ids.append(row["doc_id"])
+                    ids.append(row["doc"])
                     units.append(row["unit"])
                     keys.append(blake2b(pack(f"<{end - at}q", *(y["hash"] for y in lines[at:end])), digest_size=16).digest())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field("doc_id").type), pa.array(units, pa.int32()), pa.array(keys, pa.binary())], ["doc_id", "unit", "run"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field("doc").type), pa.array(units, pa.int32()), pa.array(keys, pa.binary())], ["doc", "unit", "run"])
 
 
 def deleted_lines(docs: DataFrame, rare: int = RARE, block_words: int = BLOCK_WORDS, unit_lines: int = UNIT_LINES) -> DataFrame:
-    """doc_id, gone (line numbers from 0): of each document that loses lines."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """doc (doc_id, hash of the text), gone (line numbers from 0): of each document that loses lines."""
+    kind = f"struct<doc_id:{docs.schema['doc_id'].dataType.simpleString()},mark:bigint>"
     lines = staged(lines_of(docs, unit_lines), "op2-lines")
-    first = F.min(F.struct("doc_id", "unit"))
-    in_two = lines.groupBy("hash").agg(first.alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("first.doc_id < last").drop("last")
+    first = F.min(F.struct("doc", "unit"))
+    in_two = lines.groupBy("hash").agg(first.alias("first"), F.max("doc").alias("last"), F.count("*").alias("n")).where("first.doc < last").drop("last")
     # a stored table, so that the join deals both sides by itself and Spark can split a line that very many have
     shared = staged(lines.join(staged(in_two, "op2-lines-of-two"), "hash"), "op2-shared")
-    to_first = shared.where("doc_id > first.doc_id").select("doc_id", "unit", F.col("first.doc_id").alias("earlier"), F.col("first.unit").alias("earlier_unit"))
+    linked = lambda rows: rows.where("doc > first.doc").select("doc", "unit", F.col("first.doc").alias("earlier"), F.col("first.unit").alias("earlier_unit"))
     # rare lines only, so that a window's group is bounded
-    w = Window.partitionBy("hash").orderBy("doc_id", "unit", "place")
-    before = shared.where(F.col("n") <= rare).withColumn("p", F.lag(F.struct("doc_id", "unit")).over(w)).where("p.doc_id < doc_id")
-    to_before = before.select("doc_id", "unit", F.col("p.doc_id").alias("earlier"), F.col("p.unit").alias("earlier_unit"))
-    units = staged(shared.groupBy("doc_id", "unit").agg(F.array_sort(F.collect_set(F.struct("place", "line", "hash", "words"))).alias("lines")), "op2-units")
-    runs = staged(map_arrow(units.select("doc_id", "unit", "lines"), lambda it: _run_rows(it, block_words), f"doc_id {kind}, unit int, run binary").distinct(), "op2-runs")
-    run_first = runs.groupBy("run").agg(first.alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last").drop("last")
-    in_run = runs.join(staged(run_first, "op2-runs-of-two"), "run").where("doc_id > first.doc_id")
-    to_run = in_run.select("doc_id", "unit", F.col("first.doc_id").alias("earlier"), F.col("first.unit").alias("earlier_unit"))
-    pairs = to_first.unionByName(to_before).unionByName(to_run).distinct()
-    later = pairs.join(units.withColumnRenamed("lines", "later_lines"), ["doc_id", "unit"])
-    both = later.join(units.select(F.col("doc_id").alias("earlier"), F.col("unit").alias("earlier_unit"), F.col("lines").alias("earlier_lines")), ["earlier", "earlier_unit"])
-    found = map_arrow(both.select("doc_id", "later_lines", "earlier_lines"), lambda it: _align_rows(it, block_words), f"doc_id {kind}, gone array<int>")
-    return found.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
-
-
-def _cut_rows(batches, schema, text_at: int, gone_at: int):
+    w = Window.partitionBy("hash").orderBy("doc", "unit", "place")
+    before = shared.where(F.col("n") <= rare).drop("first").withColumn("first", F.lag(F.struct("doc", "unit")).over(w))
+    # each line in its own unit and, near a cut, in the unit on the other side of it
+    places = F.expr(f"array_distinct(array(unit, cast(greatest(place - {block_words}, 0) div {unit_lines} as int), cast((place + {block_words}) div {unit_lines} as int)))")
+    spread = shared.select("doc", "place", "line", "hash", "words", F.explode(places).alias("unit"))
+    units = staged(spread.groupBy("doc", "unit").agg(F.array_sort(F.collect_set(F.struct("place", "line", "hash", "words"))).alias("lines")), "op2-units")
+    runs = staged(map_arrow(units.select("doc", "unit", "lines"), lambda it: _run_rows(it, block_words), f"doc {kind}, unit int, run binary").distinct(), "op2-runs")
+    run_first = runs.groupBy("run").agg(first.alias("first"), F.max("doc").alias("last")).where("first.doc < last").drop("last")
+    in_run = runs.join(staged(run_first, "op2-runs-of-two"), "run")
+    pairs = linked(shared).unionByName(linked(before)).unionByName(linked(in_run)).distinct()
+    later = pairs.join(units.withColumnRenamed("lines", "later_lines"), ["doc", "unit"])
+    both = later.join(units.select(F.col("doc").alias("earlier"), F.col("unit").alias("earlier_unit"), F.col("lines").alias("earlier_lines")), ["earlier", "earlier_unit"])
+    found = map_arrow(both.select("doc", "later_lines", "earlier_lines"), lambda it: _align_rows(it, block_words), f"doc {kind}, gone array<int>")
+    return found.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+
+
+def _cut_rows(batches, schema, text_at: int, gone_at: int, keep_emptied: bool):
+    """Texts without their deleted lines; n_lines and n_deleted follow, or else rows that lose all of their text go."""
     import pyarrow as pa
 
     for batch in batches:
@@ -211,18 +219,33 @@ def _cut_rows(batches, schema, text_at: int, gone_at: int):
             out.append(text)
         columns = [c for k, c in enumerate(batch.columns) if k != gone_at]
         columns[text_at] = pa.array(out, pa.string())
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int32()), pa.array(lost, pa.int32())], schema=schema)
+        if keep_emptied:
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int32()), pa.array(lost, pa.int32())], schema=schema)
+        else:
+            stays = pa.array([not n or bool(t) for n, t in zip(lost, out)], pa.bool_())
+            yield pa.RecordBatch.from_arrays(columns, schema=schema).filter(stays)
 
 
-def dedup_lines(docs: DataFrame, **how) -> DataFrame:
-    """The columns of ``docs`` with ``text`` cleaned, and n_lines, n_deleted, of every row."""
+def _cleaned(docs: DataFrame, keep_emptied: bool, **how) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     names = docs.columns
-    gone = deleted_lines(docs, **how)
-    joined = docs.join(gone.withColumnRenamed("gone", "_gone"), "doc_id", "left").select(*[docs[c] for c in names], "_gone")
-    schema = StructType([*docs.schema.fields, *StructType.fromDDL("n_lines int, n_deleted int").fields])
+    own, mark, gone = (free_name(x, names) for x in ("own_id", "mark", "gone"))
+    deleted = deleted_lines(docs, **how).select(F.col("doc.doc_id").alias(own), F.col("doc.mark").alias(mark), F.col("gone").alias(gone))
+    met = (docs["doc_id"] == deleted[own]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == deleted[mark])
+    joined = docs.join(deleted, met, "left").select(*[docs[c] for c in names], deleted[gone])
+    schema = StructType([*docs.schema.fields, *(StructType.fromDDL("n_lines int, n_deleted int").fields if keep_emptied else [])])
     arrow = to_arrow_schema(schema)
     text_at, gone_at = names.index("text"), len(names)
-    return map_arrow(joined, lambda it: _cut_rows(it, arrow, text_at, gone_at), schema)
+    return map_arrow(joined, lambda it: _cut_rows(it, arrow, text_at, gone_at, keep_emptied), schema)
+
+
+def dedup_lines(docs: DataFrame, **how) -> DataFrame:
+    """The columns of ``docs`` with ``text`` cleaned, and n_lines, n_deleted, of every row."""
+    return _cleaned(docs.drop("n_lines", "n_deleted"), True, **how)
+
+
+def clean_documents(docs: DataFrame, **how) -> DataFrame:
+    """The columns of ``docs`` with ``text`` cleaned; rows that lose all of their text go."""
+    return _cleaned(docs, False, **how)

@@ -60,7 +60,7 @@ def to_pieces(batches, name: str, capacity: int, schema):
     from .tokens import array_slices, encoder, gathered
 
     step = 4 * capacity
-    for batch in gathered(batches):
+    for batch in gathered(batches, 6_000_000):
         ids, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
         out: list[list] = [[] for _ in range(6)]
         for first, texts in array_slices(batch.column("text")):
@@ -119,7 +119,7 @@ def pieces_of(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPAC
     schema = StructType.fromDDL(f"row long, doc_id {kind}, piece int, start long, length long, ids_crc32 long")
     arrow = to_arrow_schema(schema)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_or_empty().alias("text"))
-    return map_arrow(rows, lambda it: to_pieces(it, tokenizer, capacity, arrow), schema)
+    return map_arrow(rows, lambda it: to_pieces(it, tokenizer, capacity, arrow), schema, encodes=True)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, leaf_pieces: int = LEAF_PIECES, fan_in: int = FAN_IN, carry: int = CARRY, nearly_full: int = NEARLY_FULL) -> DataFrame:

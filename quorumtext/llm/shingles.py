@@ -40,6 +40,10 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, counts
 
 
+def forget() -> None:
+    _MEMO.clear()
+
+
 def shingle_hashes(texts: list[str], size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``size`` words, in order, and how many each text has.
 

@@ -1,6 +1,6 @@
 """Operator 1: token counts by overlap resynchronisation.
 
-Documents up to ``huge_chars`` are encoded whole.  Longer ones are cut into
+Documents up to ``huge_chars`` code points are encoded whole.  Longer ones are cut into
 overlapping chunks that become rows of their own, so that one document is shared out
 over many tasks.  Every chunk is encoded with offsets; two neighbouring chunks are
 spliced at a position inside their overlap where both have a token start that
@@ -103,7 +103,7 @@ def _huge(rows: DataFrame, name: str, size: int, overlap: int) -> DataFrame:
     enc_schema = StructType.fromDDL(f"row long, doc_id {kind}, n_bytes long, chunk int, low long, core long, head array<long>, tail array<long>, head_stable array<long>, tail_stable array<long>")
     cut_arrow, enc_arrow = to_arrow_schema(cut_schema), to_arrow_schema(enc_schema)
     chunks = map_arrow(rows, lambda it: cut(it, cut_arrow, size, overlap), cut_schema).repartition("row", "chunk")
-    found = map_arrow(chunks, lambda it: encode_chunks(it, name, enc_arrow, overlap), enc_schema)
+    found = map_arrow(chunks, lambda it: encode_chunks(it, name, enc_arrow, overlap), enc_schema, encodes=True)
     w = Window.partitionBy("row").orderBy("chunk")
     seams = found.withColumn("next_stable", F.lead("head_stable").over(w)).withColumn("last", F.lead("chunk").over(w).isNull())
     seams = seams.withColumn("splice", F.array_min(F.array_intersect("tail_stable", "next_stable"))).withColumn("before", F.lag("splice").over(w))
@@ -111,12 +111,12 @@ def _huge(rows: DataFrame, name: str, size: int, overlap: int) -> DataFrame:
     return seams.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"), F.sum(counted).cast("long").alias("n_tokens"), F.count("*").cast("int").alias("n_chunks"), F.max(~F.col("last") & F.col("splice").isNull()).alias("failed"))
 
 
-def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, huge_chars: int = 65_536, chunk_chars: int = 32_768, overlap: int = 256, widen: int = 8) -> DataFrame:
+def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, huge_chars: int = 16_384, chunk_chars: int = 8_192, overlap: int = 256, widen: int = 8) -> DataFrame:
     """doc_id, n_bytes, n_tokens, n_chunks of every row of ``docs``."""
     kind = _id_type(docs)
     text = text_or_empty()
     base = docs.select("doc_id", text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
-    small = map_arrow(base.where(F.length("text") <= huge_chars), lambda it: count_small(it, tokenizer), f"doc_id {kind}, n_bytes long, n_tokens long, n_chunks int")
+    small = map_arrow(base.where(F.length("text") <= huge_chars), lambda it: count_small(it, tokenizer), f"doc_id {kind}, n_bytes long, n_tokens long, n_chunks int", encodes=True)
     # the few rows that are cut get a key of their own, which repeated ids do not disturb; their texts stay staged for wider tries
     rows = staged(base.where(F.length("text") > huge_chars).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "n_bytes"), "op1-huge")
     result, size = small, chunk_chars

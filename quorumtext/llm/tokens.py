@@ -20,7 +20,8 @@ from .common import single_thread
 
 _PUNCTUATION = string.punctuation
 _LATIN_END = "\u0250"
-MEMO_WORDS = 500_000
+#: Words, and pieces, of one generation: with keys of at most 40 characters and about 200 bytes an entry, 4 x 100,000 take 80 MB a worker at most.
+MEMO_WORDS = 100_000
 MEMO_WORD_CHARS = 40
 
 
@@ -79,7 +80,8 @@ class Encoder:
 
         ids = np.asarray(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, dtype="<u4")
         cuts = np.flatnonzero(self.ends[ids]) + 1
-        assert len(cuts) == len(pieces), "a piece was divided"
+        if len(cuts) != len(pieces):  # a piece was divided after all: each by itself
+            return self._library(pieces)
         data, at = ids.tobytes(), [0, *(cuts * 4).tolist()]
         return [data[a:b] for a, b in zip(at, at[1:])]
 
@@ -151,6 +153,11 @@ def encoder(name_or_path: str) -> Encoder:
     return _ENCODERS[name_or_path]
 
 
+def forget() -> None:
+    """Drops what this worker remembers; the next encoder begins anew."""
+    _ENCODERS.clear()
+
+
 def slices(items: list[str], most_chars: int = 4_000_000):
     """Consecutive (start, texts) of bounded total length; a longer text stands alone."""
     start, size = 0, 0

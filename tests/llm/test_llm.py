@@ -159,6 +159,43 @@ def test_a_run_of_short_lines_finds_its_first_holder(spark):
         assert got[len(made) - 1] == "start C\nend C"
 
 
+@pytest.mark.parametrize("at", [510, 511, 516])
+def test_blocks_across_the_cuts_of_long_documents(spark, at):
+    own = lambda name, n: [f"{name} {i}" for i in range(n)]
+    for there in (at, 511):
+        made = ["\n".join([*own("left", there), "shared one here", "shared two there", *own("left end", 600)]), "\n".join([*own("right", at), "shared one here", "shared two there", *own("right end", 600)])]
+        rows = line_dedup.dedup_lines(table(spark, made)).where("n_deleted > 0").collect()
+        assert [(r["doc_id"], r["n_deleted"]) for r in rows] == [(1, 2)]
+        assert "shared" not in rows[0]["text"]
+
+
+def test_units_of_any_size_find_the_same_blocks(spark, docs):
+    whole = sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs, unit_lines=10**6).select("doc_id", "text").collect())
+    for lines in (7,):
+        assert sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs, unit_lines=lines).select("doc_id", "text").collect()) == whole
+
+
+def test_rows_with_equal_ids_and_clashing_names(spark):
+    shared, own = "these are five shared words", "precious words that only this row has"
+    rows = [(1, shared, 7, 8, 9, 1), (2, shared, 7, 8, 9, 2), (2, own, 7, 8, 9, 3), (2, shared, 7, 8, 9, 4), (3, own, 7, 8, 9, 5), (3, None, 7, 8, 9, 6)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, _gone int, gone int, mark int, own_id int")
+    got = sorted(((r["own_id"], r["text"], r["_gone"], r["gone"], r["mark"]) for r in line_dedup.dedup_lines(made).collect()))
+    assert got == [(1, shared, 7, 8, 9), (2, "", 7, 8, 9), (3, own, 7, 8, 9), (4, "", 7, 8, 9), (5, "", 7, 8, 9), (6, None, 7, 8, 9)]
+    clash = made.withColumnRenamed("_gone", "n_lines").withColumnRenamed("gone", "n_deleted")
+    assert line_dedup.dedup_lines(clash).where("n_deleted = 1 AND n_lines = 1").count() == 3
+    kept = line_dedup.clean_documents(clash)
+    assert kept.columns == clash.columns and sorted(r["own_id"] for r in kept.collect()) == [1, 3, 6]
+
+
+def test_line_dedup_recall_with_all_partners(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = [r["text"] for r in docs.orderBy("doc_id").select("text").collect()]
+    want = brute_lines(texts, line_dedup.BLOCK_WORDS)
+    lost = lambda out: sum(len((a or "").split("\n")) - len((b or "").split("\n")) for a, b in zip(texts, out))
+    got = [r["text"] for r in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()]
+    assert lost(got) >= 0.98 * lost(want) > 500
+
+
 def test_line_dedup_keeps_own_repeats_and_clean_texts(spark):
     made = ["a b c d e f\na b c d e f\nx", None, "p q r s t u\nonly here", "a b c d e f\nnew words stand here"]
     got = {r["doc_id"]: (r["text"], r["n_deleted"]) for r in line_dedup.dedup_lines(table(spark, made)).collect()}
