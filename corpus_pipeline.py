@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quorumtext.llm.common import staged
 from quorumtext.llm.language_id import held_out, keep_identified, train
-from quorumtext.llm.line_dedup import dedup_lines
+from quorumtext.llm.line_dedup import clean_documents
 from quorumtext.llm.mixing import sample_mixture
 from quorumtext.llm.order_minhash import drop_near_copies
 from quorumtext.llm.packing import pack_documents
@@ -24,8 +24,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the blocks of lines that earlier documents have; documents that lose all of their text go."""
-    cleaned = dedup_lines(docs)
-    return cleaned.where("n_deleted = 0 OR text <> ''").drop("n_lines", "n_deleted")
+    return clean_documents(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
