@@ -2,8 +2,10 @@
 
 The fingerprint of a text is the vector of the least values of ``permutations``
 universal hash functions (multiply-add over 64 bits) over its five-word shingles, of
-each of which 16 bits are kept (b-bit MinHash), computed in numpy for many texts at once.  Signature bands are
-joined in Spark to find similar documents, and exact Jaccard over the shingles decides.
+each of which 16 bits are kept (b-bit MinHash), computed in numpy for many texts at once.  Signature bands
+(32 of 4 places: a pair at 0.8 meets in none once in 10^7 times) are joined in Spark to find similar
+documents, and exact Jaccard over the shingles decides.  Within a band's bucket texts are compared as in
+operator 3: with a head, and those unlike it anew by what the head lacks.
 
 Defined results: null counts as empty; texts of under five words have one shingle of
 all their words, so empty and blank texts are alike; equal texts have equal
@@ -19,13 +21,12 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from .common import map_arrow, may_have_key, staged, text_or_empty
+from .common import map_arrow, staged, text_or_empty
 
 PERMUTATIONS = 128
 SHINGLE = 5
 BLOCK = 16_384
-BANDS = 16
-MOST_RANGES = 20_000
+BANDS = 32
 
 
 @lru_cache(maxsize=4)
@@ -145,7 +146,7 @@ def fingerprints(docs: DataFrame, permutations: int = PERMUTATIONS, size: int =
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = StructType.fromDDL(f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
     arrow = to_arrow_schema(schema)
-    ranges = min(MOST_RANGES, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select("doc_id")
     bounds = np.unique(ids.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 20 * ranges).alias("b")).first()["b"] or [])
     # the first id of each range: a number a range
@@ -159,53 +160,32 @@ def fingerprints(docs: DataFrame, permutations: int = PERMUTATIONS, size: int =
 
 
 def _bands(batches, permutations: int, size: int, bands: int):
+    """(doc_id, print, n, keys): a hash of the fingerprint, the number of distinct shingles, a key a band."""
     import pyarrow as pa
+    import xxhash
 
+    from .shingles import shingle_hashes
     from .tokens import slices
 
     width = permutations // bands
     for batch in batches:
         ids = batch.column("doc_id")
-        for first, part in slices(batch.column("text").to_pylist()):
+        for first, part in slices(batch.column("text").to_pylist(), 1_000_000):
             rows = signatures(part, permutations, size)
-            keys = [[(k.to_bytes(2, "little") + r[k * width : (k + 1) * width].tobytes()) for k in range(bands)] for r in rows]
-            yield pa.RecordBatch.from_arrays([ids.slice(first, len(part)), pa.array(keys, pa.list_(pa.binary()))], ["doc_id", "bands"])
-
-
-def _jaccard(batches, size: int):
-    import pyarrow as pa
-
-    from .shingles import shingle_hashes
-
-    for batch in batches:
-        out = []
-        for a, b in zip(batch.column("text").to_pylist(), batch.column("head_text").to_pylist()):
-            (x, _), (y, _) = shingle_hashes([a], size), shingle_hashes([b], size)
-            x, y = np.unique(x), np.unique(y)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(both / (len(x) + len(y) - both))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("head"), pa.array(out, pa.float64())], ["doc_id", "head", "jaccard"])
+            keys = [[xxhash.xxh3_64_intdigest(r[k * width : (k + 1) * width].tobytes(), seed=k + 1) for k in range(bands)] for r in rows]
+            hashes, counts = shingle_hashes(part, size)
+            n = [len(np.unique(x)) for x in np.split(hashes, np.cumsum(counts)[:-1])]
+            exact = [xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for t in part]
+            yield pa.RecordBatch.from_arrays([ids.slice(first, len(part)), pa.array(exact, pa.binary()), pa.array(n, pa.int64()), pa.array(np.array(keys, dtype=np.uint64).view(np.int64).tolist(), pa.list_(pa.int64()))], ["doc_id", "same", "n", "keys"])
 
 
 def similar_documents(docs: DataFrame, threshold: float = 0.8, permutations: int = PERMUTATIONS, size: int = SHINGLE, bands: int = BANDS) -> DataFrame:
-    """doc_id, head, jaccard: verified links (>= threshold) of each document to the least document
-    of every band bucket it stands in.  Groups of any size cost a link a member, and equal texts one for
-    all: their least id stands for them and is their only link."""
+    """doc_id, class_id, n_links, kept of every row: the connected component of links of Jaccard ``threshold`` or more
+    between different texts (its least id) and the number of the text's verified links.  Rows of equal text are one class,
+    whose least id stands for them.  Blank texts have one shingle of no words, so they are alike."""
+    from .order_minhash import classes_of, jaccard
+
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    keys = map_arrow(rows, lambda it: _bands(it, permutations, size, bands), f"doc_id {kind}, bands array<binary>")
-    # the hash of all bands stands for the fingerprint: documents with equal ones are linked to the least of them first
-    whole = staged(keys.select("doc_id", "bands", F.xxhash64("bands").alias("print")), "op8-bands")
-    reps = staged(whole.groupBy("print").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")), "op8-prints")
-    copies = whole.select("doc_id", "print").join(reps.where("n > 1"), "print").where("doc_id <> head").select("doc_id", "head")
-    single = whole.join(reps.select(F.col("head").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    band = single.select("doc_id", F.explode("bands").alias("band"))
-    heads = staged(band.groupBy("band").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).where("head < last").drop("last"), "op8-heads")
-    near = band.join(heads, "band").where("doc_id <> head").select("doc_id", "head").distinct()
-    pairs = staged(copies.unionByName(near).distinct(), "op8-pairs")
-    head_ids = pairs.select(F.col("head").alias("doc_id")).distinct()
-    members = may_have_key(rows, pairs, "doc_id")
-    head_texts = may_have_key(rows, head_ids, "doc_id").select(F.col("doc_id").alias("head"), F.col("text").alias("head_text"))
-    texts = pairs.join(members, "doc_id").join(head_texts, "head")
-    found = map_arrow(texts, lambda it: _jaccard(it, size), f"doc_id {kind}, head {kind}, jaccard double")
-    return found.where(F.col("jaccard") >= threshold)
+    found = staged(map_arrow(rows, lambda it: _bands(it, permutations, size, bands), f"doc_id {kind}, same binary, n long, keys array<long>"), "op8-bands")
+    return classes_of(found, rows, jaccard, threshold, size)

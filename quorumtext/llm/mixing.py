@@ -8,12 +8,14 @@ the cells below 1 until the kept tokens come to ``keep_share`` of all), and a
 number from the document's id decides.
 
 Targets default to the present marginals tempered by a power, so that large sources,
-languages and topics give way to small ones.  A topic is read from the column ``topic``
-where there is one and from the form of the text otherwise.
+languages and topics give way to small ones.  A topic is read from the column that ``topic_column``
+names, and is the form of the text where none is named.  Tokens are runs between white space.
 
-The tables of cells and of factors (one a value of each dimension) are small beside the
-documents but not bounded, so they stay in Spark: a step of a sweep is one aggregation with
-map-side sums, whose factors are written as a table, which cuts their lineage.
+The table of cells is small beside the documents but not bounded, so it stays in Spark: a sweep is
+three aggregations with map-side sums, joined to the cells, and one written table, which cuts the lineage.
+Sweeps go on until every marginal is within ``tolerance`` of its target.  Targets that contradict each other
+(where sources decide languages, say) have no such end: when a sweep no longer brings the marginals nearer, it
+ends with a warning that names the distance left, and ``gaps`` lists every value's target and weight.
 
 Defined results: null source, language or topic is the value ``(none)``; a null or empty
 text has 0 tokens and probability 1 (it weighs nothing); values that a given target lacks get
@@ -23,14 +25,17 @@ are ignored.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import staged, text_or_empty
 
 DIMENSIONS = ("source", "lang", "topic")
 POWERS = {"source": 0.7, "lang": 0.6, "topic": 0.8}
-SWEEPS = 12
-SWEEPS_A_LOOK = 3
+SWEEPS = 500
+SQL_SWEEPS = 16
+TOLERANCE = 1e-10
 RAISES = 8
 KEEP_SHARE = 0.6
 NONE = "(none)"
@@ -47,12 +52,12 @@ def topic_of(text: Column, tokens: Column) -> Column:
     return (F.when(digits * 40 >= F.length(text), "figures").when(tokens < 120, "notes").when(tokens < lines * 30, "listings").when(tokens < 1000, "articles").otherwise("works"))
 
 
-def described(docs: DataFrame) -> DataFrame:
+def described(docs: DataFrame, topic_column: str | None = None) -> DataFrame:
     """doc_id, source, lang, topic, tokens of every row."""
-    named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c)
-    text = docs.select("doc_id", named("source"), named("lang"), *([named("topic")] if "topic" in docs.columns else []), text_or_empty().alias("_text"))
+    named = lambda c, name: F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(name)
+    text = docs.select("doc_id", named("source", "source"), named("lang", "lang"), *([named(topic_column, "topic")] if topic_column else []), text_or_empty().alias("_text"))
     counted = text.withColumn("tokens", tokens_of(F.col("_text")))
-    if "topic" not in docs.columns:
+    if not topic_column:
         counted = counted.withColumn("topic", topic_of(F.col("_text"), F.col("tokens")))
     return counted.select("doc_id", *DIMENSIONS, "tokens")
 
@@ -66,33 +71,43 @@ def _target(cells: DataFrame, dimension: str, given: dict | None) -> DataFrame:
         table = F.create_map(*[F.lit(x) for pair in given.items() for x in (pair[0], float(pair[1]))]) if given else F.lit(None).cast("map<string,double>")
         raw = present.select(dimension, F.coalesce(F.try_element_at(table, F.col(dimension)), F.lit(0.0)).alias("raw"))
     total = raw.agg(F.sum("raw").alias("all"))
-    return raw.crossJoin(F.broadcast(total)).select(dimension, (F.col("raw") / F.nullif("all", F.lit(0.0))).alias("share"))
+    return raw.crossJoin(F.broadcast(total)).select(dimension, (F.col("raw") / F.nullif("all", F.lit(0.0))).alias(f"{dimension}_share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, dict] | None = None, sweeps: int = SWEEPS, tolerance: float = 1e-9) -> DataFrame:
-    """Adds ``weight`` to (source, lang, topic, tokens): raked shares that sum to 1."""
-    targets = targets or {}
-    factors = {d: staged(_target(cells, d, targets.get(d)).withColumn("factor", F.lit(1.0)), "op6-factors") for d in DIMENSIONS}
+def _held(cells: DataFrame, dimension: str) -> DataFrame:
+    return cells.groupBy(dimension).agg(F.sum("weight").alias("held"))
+
 
-    def weighed(*dimensions):
-        """Cells with the product of the factors of these dimensions."""
-        out = cells.withColumn("weight", F.col("tokens").cast("double"))
-        for d in dimensions:
-            out = out.join(factors[d].select(d, "factor"), d).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        return out
+def gaps(raked: DataFrame) -> DataFrame:
+    """dimension, value, target, held: how the raked weights meet every target."""
+    each = [raked.groupBy(d).agg(F.max(f"{d}_share").alias("target"), F.sum("weight").alias("held")).select(F.lit(d).alias("dimension"), F.col(d).alias("value"), "target", "held") for d in DIMENSIONS]
+    return each[0].unionByName(each[1]).unionByName(each[2])
 
-    for sweep in range(sweeps):
+
+def rake(cells: DataFrame, targets: dict[str, dict] | None = None, sweeps: int = SWEEPS, tolerance: float = TOLERANCE) -> DataFrame:
+    """Adds ``weight`` to (source, lang, topic, tokens): raked shares that sum to 1; and the targets of each dimension's value."""
+    targets = targets or {}
+    out = cells.withColumn("weight", F.col("tokens").cast("double"))
+    for d in DIMENSIONS:
+        out = out.join(_target(cells, d, targets.get(d)), d)
+    out = staged(out, "op6-raked")
+    before = None
+    for _ in range(sweeps):
         for d in DIMENSIONS:
-            held = weighed(*[x for x in DIMENSIONS if x != d]).groupBy(d).agg(F.sum("weight").alias("held"))
-            fitted = F.when(F.col("held") > 0, F.col("share") / F.col("held")).otherwise(0.0)
-            factors[d] = staged(factors[d].drop("factor").join(held, d).select(d, "share", fitted.alias("factor")), "op6-factors")
-        if (sweep + 1) % SWEEPS_A_LOOK == 0 and sweep + 1 < sweeps:
-            # the last dimension holds exactly; how far the first is off again tells whether all do
-            first = DIMENSIONS[0]
-            off = weighed(*DIMENSIONS).groupBy(first).agg(F.sum("weight").alias("held")).join(factors[first], first).agg(F.max(F.abs(F.col("held") - F.col("share")))).first()[0]
-            if off is None or off <= tolerance:
-                break
-    return weighed(*DIMENSIONS).select(*DIMENSIONS, "tokens", "weight")
+            fitted = F.when(F.col("held") > 0, F.col("weight") * F.col(f"{d}_share") / F.col("held")).otherwise(0.0)
+            out = out.join(_held(out, d), d).withColumn("weight", fitted).drop("held")
+        out = staged(out, "op6-raked")
+        off = gaps(out).agg(F.max(F.abs(F.col("held") - F.col("target")))).first()[0]
+        if off is None or off <= tolerance:
+            break
+        if before is not None and off > before * 0.9999:
+            warnings.warn(f"the targets contradict each other: after raking a marginal is still {off:.3g} off its target", stacklevel=2)
+            break
+        before = off
+    else:
+        if sweeps:
+            warnings.warn(f"after {sweeps} sweeps a marginal is still {off:.3g} off its target", stacklevel=2)
+    return out
 
 
 def probabilities(raked: DataFrame, keep_share: float = KEEP_SHARE, raises: int = RAISES) -> DataFrame:
@@ -116,9 +131,9 @@ def lot(seed: int = 6) -> Column:
     return F.conv(hex8, 16, 10).cast("double") / F.lit(float(2**32))
 
 
-def mix(docs: DataFrame, targets: dict[str, dict] | None = None, keep_share: float = KEEP_SHARE, seed: int = 6, sweeps: int = SWEEPS) -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, dict] | None = None, keep_share: float = KEEP_SHARE, seed: int = 6, sweeps: int = SWEEPS, topic_column: str | None = None) -> DataFrame:
     """doc_id, source, lang, topic, tokens, probability, kept of every row."""
-    rows = staged(described(docs), "op6-rows")
+    rows = staged(described(docs, topic_column), "op6-rows")
     cells = staged(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "op6-cells")
     chances = probabilities(rake(cells, targets, sweeps), keep_share)
     joined = rows.join(chances, list(DIMENSIONS))
@@ -127,11 +142,12 @@ def mix(docs: DataFrame, targets: dict[str, dict] | None = None, keep_share: flo
 
 def sample_mixture(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` (unique ids) that the lot keeps, with all their columns."""
+    # repeated ids share one fate, so that the semi join keeps all of them or none
     return docs.join(mix(docs, **how).where("kept").select("doc_id"), "doc_id", "left_semi")
 
 
-def mixing_sql(sweeps: int = SWEEPS, raises: int = RAISES, keep_share: float = KEEP_SHARE, seed: int = 6, documents: str = "documents") -> str:
-    """The same in DuckDB's SQL, sweeps written out."""
+def mixing_sql(sweeps: int = SQL_SWEEPS, raises: int = RAISES, keep_share: float = KEEP_SHARE, seed: int = 6, documents: str = "documents") -> str:
+    """The same in DuckDB's SQL, with more sweeps written out than the tables of the check need."""
     steps = [rf"""
 t AS (SELECT doc_id, coalesce(source, '{NONE}') AS source, coalesce(lang, '{NONE}') AS lang, coalesce(text, '') AS text,
   len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\r\f]+')) AS tokens FROM {documents}),

@@ -15,8 +15,8 @@ components of verified pairs; texts with the same words are one class from the s
 Within a bucket every text is compared with one head (its least id), and with the least of
 its heads first: most members of a group of copies are then of one class, and only texts of
 another class than their head (and not unlike the same one) are compared further.  That is all for a group
-of any size whose members are like its head.  Members that are unlike their head
-get keys anew, which only those unlike the same head share: sketches of the k-mers that
+of any size whose members are like its head.  Where some are not, members
+get keys anew, which only those compared with the same head share: sketches of the k-mers that
 the head lacks (two texts that only share a common passage with the head do
 not meet again, two copies of one another do), and, for texts that the head nearly contains, sketches of
 all their k-mers.  That is repeated until no bucket has two members; every level leaves its heads
@@ -131,7 +131,7 @@ def _sketch_rows(batches, sketches: int, picks: int, size: int):
                     same.append(None)
                     keys.append([])
                 at, word_at = at + n, word_at + w
-            yield pa.RecordBatch.from_arrays([ids.slice(first, len(part)), pa.array(same, pa.binary()), pa.array([int(w) for w in n_words], pa.int64()), pa.array(keys, kind)], ["doc_id", "same", "n_words", "keys"])
+            yield pa.RecordBatch.from_arrays([ids.slice(first, len(part)), pa.array(same, pa.binary()), pa.array([int(w) for w in n_words], pa.int64()), pa.array(keys, kind)], ["doc_id", "same", "n", "keys"])
 
 
 def aligned_words(x: np.ndarray, y: np.ndarray, need: int) -> int:
@@ -204,7 +204,7 @@ class _Text:
         self.text, self.size = text, size
         self.words = word_hashes([text])[0]
         self.counts = np.unique(self.words, return_counts=True)
-        self._kmers = None
+        self._kmers = self._distinct = None
 
     @property
     def kmers(self) -> tuple[np.ndarray, np.ndarray]:
@@ -216,6 +216,11 @@ class _Text:
             self._kmers = hashes, label_occurrences(hashes, counts)
         return self._kmers
 
+    def distinct(self) -> np.ndarray:
+        if self._distinct is None:
+            self._distinct = np.unique(self.kmers[0])
+        return self._distinct
+
     def likeness(self, other: "_Text", threshold: float) -> float:
         """2 * aligned words / (words of both); 0 where that is under the threshold."""
         both = len(self.words) + len(other.words)
@@ -241,7 +246,21 @@ def similarity(a: str, b: str, threshold: float = THRESHOLD, size: int = KMER) -
     return _Text(a, size).likeness(_Text(b, size), threshold)
 
 
-def _verify_rows(batches, threshold: float, size: int, sketches: int, picks: int):
+def aligned(a: _Text, b: _Text, threshold: float) -> float:
+    return a.likeness(b, threshold)
+
+
+def jaccard(a: _Text, b: _Text, threshold: float) -> float:
+    """Of the sets of k-mers; 0 where it is under the threshold."""
+    x, y = a.distinct(), b.distinct()
+    if min(len(x), len(y)) < threshold * max(len(x), len(y)) - 1e-9:
+        return 0.0
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    found = both / (len(x) + len(y) - both)
+    return found if found >= threshold else 0.0
+
+
+def _verify_rows(batches, like, threshold: float, size: int, sketches: int, picks: int):
     import xxhash
 
     import pyarrow as pa
@@ -255,8 +274,8 @@ def _verify_rows(batches, threshold: float, size: int, sketches: int, picks: int
             if other != head_id:
                 head_id, head, salt = other, _Text(other_text, size), np.uint64(xxhash.xxh3_64_intdigest(str(other)))
             own = _Text(member, size)
-            found.append(own.likeness(head, threshold))
-            keys.append(mix(own.keys_beside(head, threshold, sketches, picks) ^ salt).view(np.int64) if again and not found[-1] else [])
+            found.append(like(own, head, threshold))
+            keys.append(mix(own.keys_beside(head, threshold, sketches, picks) ^ salt).view(np.int64) if again else [])
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("head"), batch.column("again"), pa.array(found, pa.float64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "head", "again", "similarity", "keys"])
 
 
@@ -280,7 +299,7 @@ def _possible(pairs: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame
     return pairs.join(own, "doc_id").join(other, "head").where(F.col("again") | like).select("doc_id", "head", "again")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, threshold: float, size: int, sketches: int, picks: int, name: str) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, like, threshold: float, size: int, sketches: int, picks: int, name: str) -> DataFrame:
     """pairs with their similarity (0 below the threshold) and, of those below, keys; staged.  Texts that are in no pair are not shuffled."""
     kind = pairs.schema["doc_id"].dataType.simpleString()
     heads = pairs.select(F.col("head").alias("doc_id")).distinct()
@@ -289,7 +308,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, threshold: float, size: int, sk
     # the member's text goes to its pairs first: the head of a large group is split by Spark's skewed join
     texts = pairs.join(members, "doc_id").join(head_texts, "head")
     schema = f"doc_id {kind}, head {kind}, again boolean, similarity double, keys array<long>"
-    return staged(map_arrow(texts.select("doc_id", "head", "again", "text", "head_text"), lambda it: _verify_rows(it, threshold, size, sketches, picks), schema), name)
+    return staged(map_arrow(texts.select("doc_id", "head", "again", "text", "head_text"), lambda it: _verify_rows(it, like, threshold, size, sketches, picks), schema), name)
 
 
 def _salted(df: DataFrame) -> DataFrame:
@@ -317,11 +336,11 @@ def components(links: DataFrame, name: str) -> DataFrame:
         labels = after.select("doc_id", "class_id")
 
 
-def _links(keys: DataFrame, rows: DataFrame, sizes: DataFrame, threshold: float, size: int, picks: int) -> DataFrame | None:
+def _links(keys: DataFrame, rows: DataFrame, sizes: DataFrame, like, threshold: float, size: int, picks: int) -> DataFrame | None:
     """(doc_id, head) of all verified pairs, level after level; None if there are no pairs."""
 
     def verified(pairs):
-        return _verified(_possible(pairs, sizes, threshold), rows, threshold, size, REST_SKETCHES, picks, "op3-checked")
+        return _verified(_possible(pairs, sizes, threshold), rows, like, threshold, size, REST_SKETCHES, picks, "op3-checked")
 
     pairs = _pairs(keys, "op3", by_hash=False)
     if pairs.isEmpty():
@@ -329,26 +348,24 @@ def _links(keys: DataFrame, rows: DataFrame, sizes: DataFrame, threshold: float,
     # of each text the pair with its least head first
     first = pairs.join(pairs.groupBy("doc_id").agg(F.min("head").alias("head")), ["doc_id", "head"], "left_semi")
     done = verified(first)
-    # texts of one class need no other pair, and two that are unlike one head meet again by what it lacks, if they are alike
-    classes = components(done.where("similarity > 0").select("doc_id", "head"), "op3")
+    links = done.where("similarity > 0").select("doc_id", "head")
     unlike = done.where("similarity = 0 AND again").select("doc_id", F.col("head").alias("unlike"))
-    known = staged(classes.join(unlike, "doc_id", "full"), "op3-known")
-    others = pairs.join(first.select("doc_id", "head"), ["doc_id", "head"], "left_anti").join(known, "doc_id", "left")
-    others = _salted(others.select("doc_id", "head", "again", F.coalesce("class_id", "doc_id").alias("own_class"), F.col("unlike").alias("own_unlike")))
-    of_head = _each_salt(known.select(F.col("doc_id").alias("head"), F.col("class_id").alias("head_class"), F.col("unlike").alias("head_unlike")))
-    others = others.join(of_head, ["head", "_salt"], "left").where(F.col("own_class") != F.coalesce("head_class", "head"))
-    others = others.where("coalesce(own_unlike <> head_unlike, true)").select("doc_id", "head", "again")
+    others = _of_two_classes(pairs.join(first.select("doc_id", "head"), ["doc_id", "head"], "left_anti"), components(links, "op3"), unlike)
     done = level = done.unionByName(verified(staged(others, "op3-others")))
     links = done.where("similarity > 0").select("doc_id", "head")
     while True:
-        keys = staged(level.where("size(keys) > 0").select("doc_id", F.explode("keys").alias("key")).distinct(), "op3-beside")
+        # a head that all are like needs no further look at its texts
+        mixed = level.where("similarity = 0 AND again").select("head").distinct()
+        kept = level.join(staged(mixed, "op3-mixed"), "head", "left_semi").where("size(keys) > 0")
+        keys = staged(kept.select("doc_id", F.explode("keys").alias("key")).distinct(), "op3-beside")
         pairs = _pairs(keys, "op3", by_hash=True)
+        if pairs.isEmpty():
+            return links
+        pairs = _of_two_classes(pairs, components(staged(links.distinct(), "op3-links"), "op3"))
         # a pair that was compared at an earlier level only gives its keys again
         had = done.groupBy("doc_id", "head").agg(F.max("again").alias("had"))
         pairs = staged(pairs.join(had, ["doc_id", "head"], "left"), "op3-level")
         fresh = pairs.where("had IS NULL OR (again AND NOT had)").drop("had")
-        if pairs.isEmpty():
-            return links
         level = done.join(pairs.where("again AND had").select("doc_id", "head"), ["doc_id", "head"], "left_semi").where("again")
         if not fresh.isEmpty():
             found = verified(fresh)
@@ -357,19 +374,37 @@ def _links(keys: DataFrame, rows: DataFrame, sizes: DataFrame, threshold: float,
         level = staged(level, "op3-met")
 
 
+def _of_two_classes(pairs: DataFrame, classes: DataFrame, unlike: DataFrame | None = None) -> DataFrame:
+    """``pairs`` of different ``classes`` (doc_id, class_id), without those of texts that are ``unlike`` the same head (doc_id, unlike)."""
+    known = classes if unlike is None else classes.join(unlike, "doc_id", "full")
+    known = staged(known if unlike is not None else known.withColumn("unlike", F.lit(None).cast(pairs.schema["head"].dataType)), "op3-known")
+    own = pairs.join(known, "doc_id", "left").select("doc_id", "head", "again", F.coalesce("class_id", "doc_id").alias("own_class"), F.col("unlike").alias("own_unlike"))
+    of_head = _each_salt(known.select(F.col("doc_id").alias("head"), F.col("class_id").alias("head_class"), F.col("unlike").alias("head_unlike")))
+    both = _salted(own).join(of_head, ["head", "_salt"], "left").where(F.col("own_class") != F.coalesce("head_class", "head"))
+    return both.where("coalesce(own_unlike <> head_unlike, true)").select("doc_id", "head", "again")
+
+
 def near_groups(docs: DataFrame, threshold: float = THRESHOLD, sketches: int = SKETCHES, picks: int = PICKS, size: int = KMER) -> DataFrame:
     """doc_id, class_id (least id of the group), n_links (verified links of its words' class), kept, of every row."""
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = staged(map_arrow(rows, lambda it: _sketch_rows(it, sketches, picks, size), f"doc_id {kind}, same binary, n_words long, keys array<long>"), "op3-sketches")
+    found = staged(map_arrow(rows, lambda it: _sketch_rows(it, sketches, picks, size), f"doc_id {kind}, same binary, n long, keys array<long>"), "op3-sketches")
+    return classes_of(found, rows, aligned, threshold, size, picks)
+
+
+def classes_of(found: DataFrame, rows: DataFrame, like, threshold: float, size: int, picks: int = PICKS) -> DataFrame:
+    """doc_id, class_id, n_links, kept of ``found`` (doc_id, same, n, keys), a stored table.
+
+    Rows of equal ``same`` are one class from the start (null: alone); texts that share a key are compared by ``like``.
+    """
     same = found.where("same IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
     same = staged(same, "op3-same")
     # only words that several rows have need a look at their first row; frequent ones are spread
     several = _each_salt(same.where("n > 1").drop("n"))
     copies = _salted(found.select("doc_id", "same")).join(several, ["same", "_salt"], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
     reps = found.where("same IS NOT NULL").join(same.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    reps = reps.select("doc_id", F.col("n_words").alias("n"), "keys")
-    links = _links(reps.select("doc_id", F.explode("keys").alias("key")), rows, reps.select("doc_id", "n"), threshold, size, picks)
+    reps = reps.select("doc_id", "n", "keys")
+    links = _links(reps.select("doc_id", F.explode("keys").alias("key")), rows, reps.select("doc_id", "n"), like, threshold, size, picks)
     if links is None:
         return copies.select("doc_id", F.col("rep").alias("class_id"), F.lit(0).cast("long").alias("n_links"), (F.col("doc_id") == F.col("rep")).alias("kept"))
     links = staged(links.distinct(), "op3-links")

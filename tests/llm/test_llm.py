@@ -457,6 +457,59 @@ def test_raked_weights_meet_targets(spark):
     assert abs((got.probability * got.tokens).sum() / got.tokens.sum() - 0.4) < 0.02
 
 
+def test_contradictory_targets_are_reported(spark):
+    docs = table(spark, ["a b c", "d e f g h i"], lang=["en", "fr"], source=["a", "b"])
+    with pytest.warns(UserWarning, match="contradict"):
+        got = mixing.mix(docs)
+    assert got.count() == 2
+    cells = mixing.described(docs).groupBy(*mixing.DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
+    with pytest.warns(UserWarning, match="contradict"):
+        left = mixing.gaps(mixing.rake(cells)).collect()
+    assert max(abs(r["target"] - r["held"]) for r in left) > 0.001
+
+
+def test_topics_come_from_the_column_that_is_named(spark):
+    docs = table(spark, ["a b c", "d e f g h i"]).withColumn("topic", F.lit("given"))
+    assert {r["topic"] for r in mixing.mix(docs).collect()} == {"notes"}
+    assert {r["topic"] for r in mixing.mix(docs, topic_column="topic").collect()} == {"given"}
+
+
+def brute_mixture(rows, keep_share=mixing.KEEP_SHARE, seed=6):
+    """(doc_id, text, source, lang) of every row: the ids that stay, by plain loops."""
+    import re
+
+    described, cells = {}, collections.Counter()
+    for i, text, source, lang in rows:
+        text = text or ""
+        tokens = len(re.findall(r"[^ \t\n\r\f]+", text))
+        digits, lines = sum(c in "0123456789" for c in text), text.count("\n") + 1
+        topic = "figures" if digits * 40 >= len(text) else "notes" if tokens < 120 else "listings" if tokens < lines * 30 else "articles" if tokens < 1000 else "works"
+        described[i] = (source or "(none)", lang or "(none)", topic)
+        cells[described[i]] += tokens
+    weight = {c: float(t) for c, t in cells.items()}
+    shares = []
+    for k, power in enumerate((0.7, 0.6, 0.8)):
+        raw = collections.Counter()
+        for c, t in cells.items():
+            raw[c[k]] += t
+        raw = {v: t**power for v, t in raw.items()}
+        shares.append({v: t / sum(raw.values()) for v, t in raw.items()})
+    for _ in range(60):
+        for k in range(3):
+            held = collections.Counter()
+            for c, w in weight.items():
+                held[c[k]] += w
+            weight = {c: w * shares[k][c[k]] / held[c[k]] if held[c[k]] else 0.0 for c, w in weight.items()}
+    total, constant = sum(cells.values()), keep_share * sum(cells.values())
+    ratio = {c: weight[c] / t if t else 0.0 for c, t in cells.items()}
+    for _ in range(mixing.RAISES):
+        full = {c for c in cells if ratio[c] * constant >= 1}
+        rest = sum(w for c, w in weight.items() if c not in full)
+        constant = max(constant, (keep_share * total - sum(cells[c] for c in full)) / rest) if rest else constant
+    chance = {c: min(1.0, ratio[c] * constant) if t else 1.0 for c, t in cells.items()}
+    return {i for i, c in described.items() if int(hashlib.sha256(f"{seed}:{i}".encode()).hexdigest()[:8], 16) / 2**32 < chance[c]}
+
+
 def test_mixing_has_no_python(docs):
     plan = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
@@ -523,10 +576,46 @@ def test_fingerprints(docs, texts):
     assert all(len(x) == 1 for x in by_text.values())
 
 
-def test_similar_documents(spark, docs, texts):
-    links = {(r["head"], r["doc_id"]) for r in fingerprint.similar_documents(docs).collect()}
-    assert {(0, 64), (0, 65), (1, 66), (1, 67), (69, 70)} <= links
-    assert all(a < b for a, b in links)
+def test_similar_documents(spark, texts, empty):
+    rng = random.Random(21)
+    made = list(texts)
+    for base in ([f"w{rng.randrange(400)}" for _ in range(200)], [f"v{rng.randrange(90)}" for _ in range(120)]):
+        for _ in range(12):
+            words = list(base)
+            for _ in range(rng.randrange(4)):
+                words[rng.randrange(len(words))] = f"n{rng.randrange(10**6)}"
+            made.append(" ".join(words))
+    passage = [f"p{i}" for i in range(60)]
+    for k in range(40):  # a passage in all, and a few copies of the rest
+        own = [f"o{rng.randrange(10**7)}" for _ in range(140)]
+        made.append(" ".join(own[:70] + passage + own[70:]))
+        if k % 8 == 0:
+            own[5] = "edited"
+            made.append(" ".join(own[:70] + passage + own[70:]))
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in ((t or "").split() for t in made)]
+    parent = list(range(len(made)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(made)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                x, y = sorted((find(i), find(j)))
+                parent[y] = x
+    got = {r["doc_id"]: r for r in fingerprint.similar_documents(table(spark, made)).collect()}
+    assert {i: r["class_id"] for i, r in got.items()} == {i: find(i) for i in range(len(made))}
+    assert fingerprint.similar_documents(empty).count() == 0
+
+
+def test_fingerprints_in_blocks(monkeypatch, texts):
+    some = [t or "" for t in texts]
+    whole = fingerprint.signatures(some)
+    for block in (3, 50):
+        monkeypatch.setattr(fingerprint, "BLOCK", block)
+        assert (fingerprint.signatures(some) == whole).all()
 
 
 # 9
@@ -703,7 +792,8 @@ def test_pipeline(spark, sf_dir, library):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns, held = docs.columns, docs
     for name, stage in corpus_pipeline.STAGES:
-        before = {r["doc_id"]: r["text"] for r in held.select("doc_id", "text").collect()}
+        rows = held.select("doc_id", "text", "source", "lang").collect()
+        before = {r["doc_id"]: r["text"] for r in rows}
         out = stage(spark, held, sf_dir)
         if name == "best-fit packing":
             check_packing(out.collect(), {i: [*ids_of(library, t), 0] for i, t in before.items()}, packing.CAPACITY)
@@ -721,5 +811,7 @@ def test_pipeline(spark, sf_dir, library):
         elif name == "MinHash near-dedup":
             want = brute_near(before)
             assert set(after) == set(want.values())
+        else:
+            assert set(after) == brute_mixture([tuple(r) for r in rows])
     rows = corpus_pipeline.run(spark, sf_dir)
     assert rows.count() == out.count()
