@@ -345,43 +345,35 @@ def _links(keys: DataFrame, rows: DataFrame, sizes: DataFrame, like, threshold:
     pairs = _pairs(keys, "op3", by_hash=False)
     if pairs.isEmpty():
         return None
-    # of each text the pair with its least head first
+    # of each text the pair with its least head first; texts like, or unlike, one least head need no other pair
     first = pairs.join(pairs.groupBy("doc_id").agg(F.min("head").alias("head")), ["doc_id", "head"], "left_semi")
-    done = verified(first)
-    links = done.where("similarity > 0").select("doc_id", "head")
-    unlike = done.where("similarity = 0 AND again").select("doc_id", F.col("head").alias("unlike"))
-    others = _of_two_classes(pairs.join(first.select("doc_id", "head"), ["doc_id", "head"], "left_anti"), components(links, "op3"), unlike)
-    done = level = done.unionByName(verified(staged(others, "op3-others")))
-    links = done.where("similarity > 0").select("doc_id", "head")
+    level = verified(first)
+    known = level.select("doc_id", F.when(F.col("similarity") > 0, F.col("head")).alias("like"), F.when((F.col("similarity") == 0) & F.col("again"), F.col("head")).alias("unlike"))
+    more = verified(staged(_apart(pairs.join(level.select("doc_id", "head"), ["doc_id", "head"], "left_anti"), known), "op3-others"))
+    level = level.unionByName(more)
+    done, links = level.select("doc_id", "head", "again"), level.where("similarity > 0").select("doc_id", "head")
+    known = components(links, "op3").withColumn("like", F.col("class_id")).withColumn("unlike", F.lit(None).cast(level.schema["head"].dataType)).drop("class_id")
     while True:
         # a head that all are like needs no further look at its texts
         mixed = level.where("similarity = 0 AND again").select("head").distinct()
-        kept = level.join(staged(mixed, "op3-mixed"), "head", "left_semi").where("size(keys) > 0")
-        keys = staged(kept.select("doc_id", F.explode("keys").alias("key")).distinct(), "op3-beside")
-        pairs = _pairs(keys, "op3", by_hash=True)
-        if pairs.isEmpty():
-            return links
-        pairs = _of_two_classes(pairs, components(staged(links.distinct(), "op3-links"), "op3"))
-        # a pair that was compared at an earlier level only gives its keys again
+        kept = level.where("size(keys) > 0").join(mixed, "head", "left_semi")
+        pairs = _pairs(staged(kept.select("doc_id", F.explode("keys").alias("key")).distinct(), "op3-beside"), "op3", by_hash=True)
         had = done.groupBy("doc_id", "head").agg(F.max("again").alias("had"))
-        pairs = staged(pairs.join(had, ["doc_id", "head"], "left"), "op3-level")
-        fresh = pairs.where("had IS NULL OR (again AND NOT had)").drop("had")
-        level = done.join(pairs.where("again AND had").select("doc_id", "head"), ["doc_id", "head"], "left_semi").where("again")
-        if not fresh.isEmpty():
-            found = verified(fresh)
-            links = links.unionByName(found.where("similarity > 0").select("doc_id", "head"))
-            level, done = level.unionByName(found), done.unionByName(found)
-        level = staged(level, "op3-met")
-
-
-def _of_two_classes(pairs: DataFrame, classes: DataFrame, unlike: DataFrame | None = None) -> DataFrame:
-    """``pairs`` of different ``classes`` (doc_id, class_id), without those of texts that are ``unlike`` the same head (doc_id, unlike)."""
-    known = classes if unlike is None else classes.join(unlike, "doc_id", "full")
-    known = staged(known if unlike is not None else known.withColumn("unlike", F.lit(None).cast(pairs.schema["head"].dataType)), "op3-known")
-    own = pairs.join(known, "doc_id", "left").select("doc_id", "head", "again", F.coalesce("class_id", "doc_id").alias("own_class"), F.col("unlike").alias("own_unlike"))
-    of_head = _each_salt(known.select(F.col("doc_id").alias("head"), F.col("class_id").alias("head_class"), F.col("unlike").alias("head_unlike")))
-    both = _salted(own).join(of_head, ["head", "_salt"], "left").where(F.col("own_class") != F.coalesce("head_class", "head"))
-    return both.where("coalesce(own_unlike <> head_unlike, true)").select("doc_id", "head", "again")
+        fresh = _apart(pairs, known).join(had, ["doc_id", "head"], "left").where("had IS NULL OR (again AND NOT had)").drop("had")
+        fresh = staged(fresh, "op3-fresh")
+        if fresh.isEmpty():
+            return links
+        level = verified(fresh)
+        done = done.unionByName(level.select("doc_id", "head", "again"))
+        links = links.unionByName(level.where("similarity > 0").select("doc_id", "head"))
+
+
+def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """``pairs`` without those of which is known (doc_id, like, unlike) that both are like one text, or unlike one."""
+    own = _salted(pairs.join(known, "doc_id", "left").select("doc_id", "head", "again", F.coalesce("like", "doc_id").alias("own"), F.col("unlike").alias("own_unlike")))
+    of_head = _each_salt(known.select(F.col("doc_id").alias("head"), F.col("like").alias("other"), F.col("unlike").alias("other_unlike")))
+    both = own.join(of_head, ["head", "_salt"], "left").where(F.col("own") != F.coalesce("other", "head"))
+    return both.where("coalesce(own_unlike <> other_unlike, true)").select("doc_id", "head", "again")
 
 
 def near_groups(docs: DataFrame, threshold: float = THRESHOLD, sketches: int = SKETCHES, picks: int = PICKS, size: int = KMER) -> DataFrame:
