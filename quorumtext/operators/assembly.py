@@ -6,6 +6,8 @@ is the group of a grouped function.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
 from ..functions import text as T
@@ -57,12 +59,22 @@ def page_text(lines: list[list[str]]) -> str:
     return out
 
 
+#: A numeral alone (figures, Roman letters, marks), and how a word goes on.
+_NUMERAL = re.compile(r"^[0-9IVXLCivxlc\W_]{1,6}$")
+_GOES_ON = re.compile(r"^[a-zà-öø-ÿ]")
+
+
 def unwedge(rows: list[dict]) -> list[dict]:
-    """WN-22: a numeral between two lines that belong together moves before them; later rows see the move."""
+    """WN-22: a numeral inside a word that a break hyphen divides moves behind the line that ends the word.
+
+    Blank lines do not count as neighbours; a later row sees the move of an earlier one.
+    """
     rows = list(rows)
-    for i in range(1, len(rows) - 1):
-        if rows[i]["text"].strip(".").isdigit() and not rows[i - 1]["text"].endswith((".", ":")) and rows[i + 1]["text"][:1].islower():
-            rows[i - 1], rows[i] = rows[i], rows[i - 1]
+    full = [i for i, r in enumerate(rows) if r["text"].strip()]
+    for before, here, after in zip(full, full[1:], full[2:]):
+        divided = rows[before]["text"].strip().endswith(BREAK) and _GOES_ON.match(rows[after]["text"].strip())
+        if divided and _NUMERAL.match(rows[here]["text"].strip()):
+            rows[here], rows[after] = rows[after], rows[here]
     return rows
 
 

@@ -45,7 +45,7 @@ def roman_candidates(readings: Column) -> Column:
 def glued_entry(words: Column) -> Column:
     """EV-07: a year that opens a line, then a quotation mark or any word that some reading takes for a month.  ``words``: array of arrays of readings."""
     opens = F.exists(F.get(words, F.lit(0)), lambda r: r.rlike(r"^1[2-8]\d\d"))
-    later = F.slice(words, 2, 1_000)
+    later = F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(0)))
     return opens & (F.exists(F.get(words, F.lit(1)), lambda r: r.rlike("^[\"“«]")) | F.exists(later, lambda some: F.exists(some, lambda r: T.month_of(r).isNotNull())))
 
 

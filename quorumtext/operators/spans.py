@@ -23,8 +23,10 @@ def span_revote(voted: DataFrame, panel: int, by: list[str], order: str) -> Data
     ordered = lambda c: F.transform(F.array_sort(F.collect_list(F.struct(order, F.col(c).alias("v")))), lambda x: x["v"])
     spoken = rows.groupBy(*by, "run", "k").agg(F.array_join(F.filter(ordered("reading"), lambda x: x != ""), " ").alias("raw"), F.filter(ordered("winner"), lambda x: x != "").alias("standing"))
     spoken = spoken.withColumn("fold", T.fold_span(F.col("raw")))
-    folds = spoken.groupBy(*by, "run", "fold").agg(F.count("*").alias("n"), F.min_by("raw", "k").alias("text"), F.first("standing").alias("standing"))
-    full = folds.groupBy(*by, "run").agg(F.sum(F.when(F.col("fold") == "", F.col("n")).otherwise(0)).alias("blank"), F.max(F.when(F.col("fold") != "", F.struct("n", F.length("fold").alias("len"), "fold", "text", "standing"))).alias("b"))
+    # the commonest spelling of a fold; equals go by panel order, of spellings as of folds
+    spelt = spoken.groupBy(*by, "run", "fold", "raw").agg(F.count("*").alias("m"), F.min("k").alias("k"), F.first("standing").alias("standing"))
+    folds = spelt.groupBy(*by, "run", "fold").agg(F.sum("m").alias("n"), F.max_by("raw", F.struct("m", -F.col("k"))).alias("text"), (-F.min("k")).alias("early"), F.first("standing").alias("standing"))
+    full = folds.groupBy(*by, "run").agg(F.sum(F.when(F.col("fold") == "", F.col("n")).otherwise(0)).alias("blank"), F.max(F.when(F.col("fold") != "", F.struct("n", F.length("fold").alias("len"), "early", "fold", "text", "standing"))).alias("b"))
     standing = T.fold_span(F.array_join("b.standing", ""))
     good = (F.col("b.n") >= 2) & (F.col("b.n") > F.col("blank")) & (F.col("b.len") > F.length(standing)) & F.forall(F.col("b.standing"), lambda w: F.col("b.fold").contains(T.fold_span(w)))
     grade = F.when(F.col("b.n") >= panel - 1, "one-dissent").when(F.col("b.n") == panel - 2, "two-dissent").otherwise("contested")

@@ -149,6 +149,16 @@ def lexicon_choice(readings: list[str | None], lexicon: dict[str, int], least: i
     return Counter(pool).most_common(1)[0][0] if pool else None
 
 
+def lexicon_vote(places: DataFrame, lexicon: DataFrame, by: list[str], least: int = 3) -> DataFrame:
+    """``lexicon_choice`` as joins: (by, winner) of places (by, readings), with a ``lexicon`` (word, n) of any size."""
+    votes = places.select(*by, F.posexplode("readings").alias("k", "reading")).where("reading IS NOT NULL").groupBy(*by, "reading").agg(F.count("*").alias("n"), F.min("k").alias("k"))
+    attested = lexicon.where(F.col("n") >= least).select("word", F.lit(True).alias("known"))
+    looked = votes.withColumn("word", F.lower("reading")).join(attested, "word", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    vote = F.struct("n", (-F.col("k")).alias("early"), "reading")
+    per = looked.groupBy(*by).agg(F.max(vote).alias("of_all"), F.max(F.when(F.col("known"), vote)).alias("of_known"), F.min("known").alias("every"))
+    return per.select(*by, F.when(F.col("of_known").isNotNull() & ~F.col("every"), F.col("of_known.reading")).otherwise(F.col("of_all.reading")).alias("winner"))
+
+
 RULES = {"medoid": medoid, "char_vote": character_vote}
 
 

@@ -126,25 +126,24 @@ def paired_health(spark, sf_dir):
     return per.select("doc_id", F.round("d", 6).alias("delta"), F.when(F.col("d") > 0, "first").otherwise("second").alias("prefer"))
 
 
-@query("""SELECT lower(w) AS word, count(*) AS n FROM (SELECT unnest(string_split_regex(text, '[^A-Za-z]+')) AS w FROM documents) WHERE length(w) > 2 GROUP BY 1 HAVING count(*) >= 3""")
+_LEXICON = """SELECT lower(w) AS word, count(*) AS n FROM (SELECT unnest(string_split_regex(text, '[^A-Za-z]+')) AS w FROM documents) WHERE length(w) > 2 GROUP BY 1 HAVING count(*) >= 3"""
+
+
+@query(_LEXICON)
 def lexicon_counts(spark, sf_dir):
     """AG-11: words attested three times or more."""
     words = X.table(spark, sf_dir, "documents").select(F.explode(F.split("text", "[^A-Za-z]+")).alias("w")).where(F.length("w") > 2)
     return words.groupBy(F.lower("w").alias("word")).agg(F.count("*").alias("n")).where("n >= 3")
 
 
-@query("""SELECT substr(sha256(string_agg(o_orderkey || chr(9) || o_orderstatus, chr(10) ORDER BY o_orderkey)), 1, 16) AS digest FROM orders WHERE o_orderkey % 100 = 0""")
-def fingerprint(spark, sf_dir):
-    """AG-28 on the sample of orders with round keys."""
-    sample = X.table(spark, sf_dir, "orders").where("o_orderkey % 100 = 0")
-    return score.digest(sample, "o_orderkey", F.concat(F.col("o_orderkey").cast("string"), F.lit("\t"), F.col("o_orderstatus")))
+_LOT = "md5('7:' || doc_id || ':' || pos)"
 
 
-_LOT = "md5('7:' || doc_id || ':' || pos)"
+_STRAT = f"""SELECT doc_id, pos, tier FROM (SELECT doc_id, pos, tier, row_number() OVER (PARTITION BY tier ORDER BY {_LOT}, doc_id, pos) AS r
+ FROM voted WHERE NOT (doc_id % 10 = 0 AND pos % 10 = 0)) WHERE r <= CASE tier WHEN 'unanimous' THEN 40 WHEN 'one-dissent' THEN 30 ELSE 25 END"""
 
 
-@query(with_(X.VOTE, f"""SELECT doc_id, pos, tier FROM (SELECT doc_id, pos, tier, row_number() OVER (PARTITION BY tier ORDER BY {_LOT}, doc_id, pos) AS r
- FROM voted WHERE NOT (doc_id % 10 = 0 AND pos % 10 = 0)) WHERE r <= CASE tier WHEN 'unanimous' THEN 40 WHEN 'one-dissent' THEN 30 ELSE 25 END"""))
+@query(with_(X.VOTE, _STRAT))
 def strat_sample(spark, sf_dir):
     """SMP-01, SMP-02: a fixed number a stratum in the order of a seeded hash, disjoint from an earlier round.
 
@@ -158,6 +157,14 @@ def strat_sample(spark, sf_dir):
     return least_by_lot(open_places, "tier", size, 40, ["doc_id", "pos"], seed=7).select("doc_id", "pos", "tier")
 
 
+@query(with_(X.VOTE, f"""SELECT substr(sha256(string_agg(doc_id || chr(9) || pos || chr(9) || tier, chr(10) ORDER BY doc_id, pos)), 1, 16) AS digest FROM ({_STRAT})"""))
+def fingerprint(spark, sf_dir):
+    """AG-28 of the drawn sample, whose size its strata bound."""
+    tab = F.lit("\t")
+    sample = strat_sample(spark, sf_dir).withColumn("at", F.struct("doc_id", "pos"))
+    return score.digest(sample, "at", F.concat(F.col("doc_id").cast("string"), tab, F.col("pos").cast("string"), tab, F.col("tier")))
+
+
 @query("""SELECT doc_id, source, CASE WHEN ('0x' || substr(md5('split:' || source), 1, 4))::INTEGER % 10 = 0 THEN 'val' ELSE 'train' END AS split FROM documents""")
 def group_split(spark, sf_dir):
     """SMP-03: whole groups go to one side."""
@@ -183,10 +190,10 @@ def review_queue(spark, sf_dir):
     return v.join(decided, ["doc_id", "pos"], "left_anti").select(V.priority(F.col("winner"), F.col("readings")).alias("priority"), "doc_id", "pos")
 
 
-@query(with_(X.F1, "SELECT doc_id, pos, reading AS text, string_agg(k::VARCHAR, ',' ORDER BY k) AS engines, count(*) AS n FROM f1 WHERE reading IS NOT NULL AND doc_id % 20 = 0 GROUP BY doc_id, pos, reading"))
+@query(with_(X.F1, "SELECT doc_id, pos, reading AS text, string_agg(k::VARCHAR, ',' ORDER BY k) AS engines, count(*) AS n FROM f1 WHERE reading IS NOT NULL GROUP BY doc_id, pos, reading"))
 def choices(spark, sf_dir):
-    """AG-23 for the documents of round numbers."""
-    rows = X.f1(spark, sf_dir).where("doc_id % 20 = 0").select("doc_id", "pos", F.posexplode("readings").alias("k", "reading"))
+    """AG-23"""
+    rows = X.f1(spark, sf_dir).select("doc_id", "pos", F.posexplode("readings").alias("k", "reading"))
     return V.choices(rows, ["doc_id", "pos"], "k", "reading")
 
 
@@ -210,12 +217,12 @@ def symmetric_diff(spark, sf_dir):
 
 
 def _subset(spark, sf_dir):
-    return voted(spark, sf_dir).where("tier = 'contested' AND doc_id % 50 = 0").select("doc_id", "pos", "truth", "readings")
+    return voted(spark, sf_dir).where("tier = 'contested'").select("doc_id", "pos", "truth", "readings")
 
 
 @query()
 def medoid(spark, sf_dir):
-    """D9 on the contested places of the documents of round numbers (fixture)."""
+    """D9 on all contested places."""
     return V.arbitrate(_subset(spark, sf_dir), "medoid").select("doc_id", "pos", "winner", "invented")
 
 
@@ -224,19 +231,18 @@ def char_vote(spark, sf_dir):
     return V.arbitrate(_subset(spark, sf_dir), "char_vote").select("doc_id", "pos", "winner", "invented")
 
 
-@query()
+@query(with_(X.VOTE + f""", lex AS ({_LEXICON}),
+r AS (SELECT doc_id, pos, reading, count(*) AS n, min(k) AS o FROM f1 SEMI JOIN (SELECT doc_id, pos FROM voted WHERE tier = 'contested') USING (doc_id, pos) WHERE reading IS NOT NULL GROUP BY doc_id, pos, reading),
+j AS (SELECT r.*, lex.word IS NOT NULL AS known FROM r LEFT JOIN lex ON lower(r.reading) = lex.word)""", """SELECT doc_id, pos, CASE WHEN bool_or(known) AND NOT bool_and(known) THEN arg_max(reading, n * 10 - o) FILTER (WHERE known) ELSE arg_max(reading, n * 10 - o) END AS winner FROM j GROUP BY doc_id, pos"""))
 def lexicon_rule(spark, sf_dir):
-    """D9 with the words of the contested places' own candidates looked up in the lexicon (bounded: only those words are collected)."""
-    places = _subset(spark, sf_dir)
-    candidates = places.select(F.explode(V.present(F.col("readings"))).alias("r")).select(F.lower("r").alias("word")).distinct()
-    lexicon = {r["word"]: r["n"] for r in lexicon_counts(spark, sf_dir).join(candidates, "word", "left_semi").toLocalIterator()}
-    return V.arbitrate(places, "lexicon", lexicon).select("doc_id", "pos", "winner", "invented")
+    """D9, J-14: the majority of the readings that the corpus attests, where they are some but not all."""
+    return V.lexicon_vote(_subset(spark, sf_dir), lexicon_counts(spark, sf_dir), ["doc_id", "pos"]).select("doc_id", "pos", "winner")
 
 
 @query()
 def assembled_pages(spark, sf_dir):
-    """D7 over the documents of numbers that end in 1 (fixture): published words, joined to lines and pages."""
+    """D7: published words, joined to lines and pages."""
     from ..operators import assembly
 
-    places = voted(spark, sf_dir).where("doc_id % 10 = 1").select("doc_id", "line", "pos", "winner", "tier", "readings", F.lit(None).cast("string").alias("decision"))
+    places = voted(spark, sf_dir).select("doc_id", "line", "pos", "winner", "tier", "readings", F.lit(None).cast("string").alias("decision"))
     return assembly.assemble(places, "doc_id")

@@ -69,7 +69,7 @@ F1_HOLES = F1.replace(
 
 def f1_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     blank, tok = F.lit(""), F.col("truth")
-    first, second = F.substring(tok, 1, 3), F.substring(tok, 3, 1_000_000)
+    first, second = F.substring(tok, 1, 3), F.expr("substr(truth, 3)")
     readings = F.when(F.col("pos") % 19 == 0, F.array(blank, blank, blank, first, first, first)).when(F.col("pos") % 19 == 1, F.array(blank, blank, tok, second, second, second)).otherwise(F.col("readings"))
     return f1(spark, sf_dir).withColumn("readings", readings)
 
@@ -90,17 +90,17 @@ VOTE_HOLES = F1_HOLES + _VOTED
 
 
 def f3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """page, id, engine, x0, y0, x1, y1: lines of text with boxes, from orders."""
+    """page, id, engine, x0, y0, x1, y1: lines of text with boxes, from orders; a page has as many lines in a table of any size."""
     o = table(spark, sf_dir, "orders")
     column = F.substring("o_orderpriority", 1, 1).cast("int") % 3
     return o.select(
-        (F.col("o_orderkey") % 50).cast("int").alias("page"), F.col("o_orderkey").alias("id"), (F.expr("o_orderkey div 50") % 5).cast("int").alias("engine"),
+        F.expr("o_orderkey div 1200").cast("int").alias("page"), F.col("o_orderkey").alias("id"), (F.expr("o_orderkey div 50") % 5).cast("int").alias("engine"),
         ((column * 330 + 20 + F.col("o_orderkey") % 7) / 1000.0).alias("x0"), (F.expr("(o_orderkey div 11 * 37 + o_orderkey div 50 % 5 * 3) % 1000") / 1000.0).alias("y0"),
         ((column * 330 + 20 + F.col("o_orderkey") % 7 + 280) / 1000.0).alias("x1"), ((F.expr("(o_orderkey div 11 * 37 + o_orderkey div 50 % 5 * 3) % 1000") + 12) / 1000.0).alias("y1"), column.alias("col"),
     )
 
 
-F3 = """f3 AS (SELECT (o_orderkey % 50)::INTEGER AS page, o_orderkey AS id, (o_orderkey // 50 % 5)::INTEGER AS engine,
+F3 = """f3 AS (SELECT (o_orderkey // 1200)::INTEGER AS page, o_orderkey AS id, (o_orderkey // 50 % 5)::INTEGER AS engine,
   (c * 330 + 20 + o_orderkey % 7) / 1000.0::DOUBLE AS x0, ((o_orderkey // 11 * 37 + o_orderkey // 50 % 5 * 3) % 1000) / 1000.0::DOUBLE AS y0,
   (c * 330 + 20 + o_orderkey % 7 + 280) / 1000.0::DOUBLE AS x1, ((o_orderkey // 11 * 37 + o_orderkey // 50 % 5 * 3) % 1000 + 12) / 1000.0::DOUBLE AS y1, c AS col
   FROM (SELECT *, substr(o_orderpriority, 1, 1)::INTEGER % 3 AS c FROM orders))"""

@@ -32,11 +32,11 @@ def layout_dispute(spark, sf_dir):
     return kinds.groupBy("page").agg(F.count("*").alias("kinds"), F.max("m").alias("support"), F.sum("m").alias("all")).where("all >= 4").drop("all")
 
 
-@query(with_(X.F3 + """, o AS (SELECT id, page, (id % 50 + CASE WHEN id % 11 = 0 THEN 2 ELSE 0 END - page)::INTEGER AS "offset" FROM f3 WHERE id % 3 <> 0), m AS (SELECT "offset" FROM o GROUP BY "offset" ORDER BY count(*) DESC, "offset" LIMIT 1)""", """SELECT m."offset", count(*) FILTER (WHERE o."offset" = m."offset") AS confirm, count(*) FILTER (WHERE o."offset" <> m."offset") AS contradict, (SELECT count(*) FROM f3) - count(*) AS silent FROM o, m GROUP BY 1"""))
+@query(with_(X.F3 + """, o AS (SELECT id, page, (id // 1200 + CASE WHEN id % 11 = 0 THEN 2 ELSE 0 END - page)::INTEGER AS "offset" FROM f3 WHERE id % 3 <> 0), m AS (SELECT "offset" FROM o GROUP BY "offset" ORDER BY count(*) DESC, "offset" LIMIT 1)""", """SELECT m."offset", count(*) FILTER (WHERE o."offset" = m."offset") AS confirm, count(*) FILTER (WHERE o."offset" <> m."offset") AS contradict, (SELECT count(*) FROM f3) - count(*) AS silent FROM o, m GROUP BY 1"""))
 def modal_offset(spark, sf_dir):
     """AG-19: the commonest difference of two numberings, what confirms it, what speaks against it and what is silent."""
     f = X.f3(spark, sf_dir)
-    o = f.select(F.when(F.col("id") % 3 != 0, F.col("id") % 50 + F.when(F.col("id") % 11 == 0, 2).otherwise(0) - F.col("page")).cast("int").alias("offset"))
+    o = f.select(F.when(F.col("id") % 3 != 0, F.expr("id div 1200") + F.when(F.col("id") % 11 == 0, 2).otherwise(0) - F.col("page")).cast("int").alias("offset"))
     counts = o.groupBy("offset").agg(F.count("*").alias("n"))
     top = counts.where("offset IS NOT NULL").orderBy(F.desc("n"), "offset").limit(1).select(F.col("offset").alias("mode"))
     both = counts.crossJoin(F.broadcast(top))
@@ -54,18 +54,18 @@ def table_split(spark, sf_dir):
 @query()
 def table_runs(spark, sf_dir):
     """WN-07 on lines of orders: figures at edges that drift (tested on literal rows)."""
-    o = X.table(spark, sf_dir, "orders").where("o_orderkey % 5 = 0")
+    o = X.table(spark, sf_dir, "orders")
     figure = F.when(F.col("o_orderkey") % 35 != 0, (F.col("o_custkey") % 50).cast("string")).otherwise("")
-    rows = o.select((F.col("o_orderkey") % 50).cast("int").alias("page"), F.col("o_orderkey").alias("id"), (F.floor(F.col("o_orderkey") / 300) % 4 / 50.0).alias("edge"), figure.alias("figure"))
+    rows = o.select(F.expr("o_orderkey div 1200").cast("int").alias("page"), F.col("o_orderkey").alias("id"), (F.floor(F.col("o_orderkey") / 300) % 4 / 50.0).alias("edge"), figure.alias("figure"))
     return L.find_tables(rows, "page")
 
 
 @query()
 def align_project(spark, sf_dir):
-    """D2: engines' words on the first engine's slots (known answers are tested)."""
-    f = X.f1(spark, sf_dir).where("doc_id % 50 = 0").select("doc_id", F.posexplode("readings").alias("engine", "reading"), "pos")
+    """D2: engines' words on the first engine's slots, in pages of 300 words (known answers are tested)."""
+    f = X.f1(spark, sf_dir).select(F.concat_ws(":", "doc_id", F.expr("pos div 300")).alias("page"), F.posexplode("readings").alias("engine", "reading"), "pos")
     words = f.where("reading IS NOT NULL AND reading <> '' AND NOT (engine = 3 AND pos % 23 = 0)")
-    return A.align_engines(words, "doc_id", "engine", "pos", "reading", 0)
+    return A.align_engines(words, "page", "engine", "pos", "reading", 0)
 
 
 @query()
@@ -81,7 +81,7 @@ def line_align(spark, sf_dir):
         out = A.align_lines([x for x in lines if x["engine"] == 0], [x for x in lines if x["engine"] == 1])
         return pd.DataFrame([(int(pdf["page"].iloc[0]), i, r) for i, r in out], columns=["page", "pos", "reading"])
 
-    return X.f3(spark, sf_dir).where("engine < 2 AND id < 3000").groupBy("page").applyInPandas(work, "page int, pos int, reading string")
+    return X.f3(spark, sf_dir).where("engine < 2").groupBy("page").applyInPandas(work, "page int, pos int, reading string")
 
 
 @query()
@@ -96,13 +96,13 @@ def printed_rows(spark, sf_dir):
     return L.quantised_rows(X.f3(spark, sf_dir), ["page"]).select("page", "id", "row")
 
 
-@query(with_(X.F1 + """, pg AS (SELECT doc_id, to_json(list({'text': w, 'tier': t, 'bbox': [x, x + 0.01]} ORDER BY pos)) AS j FROM (SELECT doc_id, pos, truth AS w, CASE WHEN pos % 9 = 0 THEN 'contested' ELSE 'unanimous' END AS t, ((doc_id * 7 + pos * 11) % 1000) / 1000.0::DOUBLE AS x FROM f1 WHERE k = 0 AND doc_id % 10 = 0) GROUP BY doc_id)""", """SELECT doc_id AS page, (i - 1)::INTEGER AS idx, (j->(i - 1)::INTEGER)->>'text' AS text, (j->(i - 1)::INTEGER)->>'tier' AS tier, round((((j->(i - 1)::INTEGER)->'bbox')->0)::DOUBLE, 5) AS x0 FROM (SELECT doc_id, j, unnest(range(1, json_array_length(j)::BIGINT + 1)) AS i FROM pg)"""))
+@query(with_(X.F1 + """, pg AS (SELECT doc_id, to_json(list({'text': w, 'tier': t, 'bbox': [x, x + 0.01]} ORDER BY pos)) AS j FROM (SELECT doc_id, pos, truth AS w, CASE WHEN pos % 9 = 0 THEN 'contested' ELSE 'unanimous' END AS t, ((doc_id * 7 + pos * 11) % 1000) / 1000.0::DOUBLE AS x FROM f1 WHERE k = 0) GROUP BY doc_id)""", """SELECT doc_id AS page, i::INTEGER AS idx, w->>'text' AS text, w->>'tier' AS tier, round((w->'bbox'->0)::DOUBLE, 5) AS x0 FROM (SELECT doc_id, unnest(range(len(l))) AS i, unnest(l) AS w FROM (SELECT doc_id, json_extract(j, '$[*]') AS l FROM pg))"""))
 def nested_json_load(spark, sf_dir):
     """SRC-01: pages of nested JSON under a declared schema, one row a word."""
     from ..sources import readers
 
     x = (F.col("doc_id") * 7 + F.col("pos") * 11) % 1000 / 1000.0
-    words = X.words(spark, sf_dir).where("doc_id % 10 = 0").select("doc_id", "pos", F.struct(F.col("tok").alias("text"), F.when(F.col("pos") % 9 == 0, "contested").otherwise("unanimous").alias("tier"), F.array(x, x + 0.01).alias("bbox")).alias("w"))
+    words = X.words(spark, sf_dir).select("doc_id", "pos", F.struct(F.col("tok").alias("text"), F.when(F.col("pos") % 9 == 0, "contested").otherwise("unanimous").alias("tier"), F.array(x, x + 0.01).alias("bbox")).alias("w"))
     pages = words.groupBy("doc_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))), lambda p: p["w"])).alias("j"))
     parsed = pages.select(F.col("doc_id").alias("page"), F.from_json("j", f"array<{readers.WORD_JSON}>").alias("words"))
     return readers.unnest_words(parsed, "page", "words").select("page", "idx", "text", "tier", F.round(F.get("bbox", F.lit(0)), 5).alias("x0"))

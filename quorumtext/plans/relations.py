@@ -19,14 +19,14 @@ def note_attach(spark, sf_dir):
     return J.first_match(calls, notes, ["page", "col", "number"], ["nth"], "entry", ["okey", "seq"]).select("entry", "nth", "number", "note")
 
 
-_BOUNDS = "SELECT l_orderkey % 200 AS grp, l_partkey * 10 + l_linenumber AS start, l_suppkey AS leaf, l_orderkey AS col FROM lineitem WHERE l_orderkey % 3 = 0"
+_BOUNDS = "SELECT l_orderkey % 200 AS grp, l_partkey * 10 + l_linenumber AS start, l_suppkey AS leaf, l_orderkey AS col FROM lineitem"
 
 
 @query(f"""WITH b AS (SELECT grp, start, max(leaf * 1000000 + col) AS lc FROM ({_BOUNDS}) GROUP BY ALL), a AS (SELECT o_orderkey AS id, o_orderkey % 200 AS grp, o_custkey * 13 AS at FROM orders)
 SELECT id, lc // 1000000 AS leaf, lc % 1000000 AS col FROM a ASOF LEFT JOIN b ON a.grp = b.grp AND a.at >= b.start""")
 def asof_leaf(spark, sf_dir):
     """J-10"""
-    item = X.table(spark, sf_dir, "lineitem").where("l_orderkey % 3 = 0")
+    item = X.table(spark, sf_dir, "lineitem")
     bounds = item.select((F.col("l_orderkey") % 200).alias("grp"), (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("start"), F.col("l_suppkey").alias("leaf"), F.col("l_orderkey").alias("col"))
     bounds = bounds.groupBy("grp", "start").agg(F.max(F.struct("leaf", "col")).alias("m")).select("grp", "start", "m.leaf", "m.col")
     asks = X.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 200).alias("grp"), (F.col("o_custkey") * 13).alias("at"))
@@ -136,11 +136,11 @@ def stacked_share(spark, sf_dir):
     return pooled.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("decade")), 6))
 
 
-@query("""WITH c AS (SELECT year(o_orderdate)::INTEGER AS year, count(*) AS n FROM orders WHERE o_orderkey % 400 = 0 GROUP BY 1), ax AS (SELECT unnest(range(min(year), max(year) + 1))::INTEGER AS year FROM c)
+@query("""WITH c AS (SELECT year(o_orderdate)::INTEGER AS year, count(*) AS n FROM orders GROUP BY 1), ax AS (SELECT unnest(range(min(year), max(year) + 1))::INTEGER AS year FROM c)
 SELECT year, coalesce(n, 0) AS n, CASE WHEN coalesce(n, 0) > 0 THEN round(sqrt(n::DOUBLE / max(n) OVER ()) * 100, 2) ELSE 2.0 END AS height FROM ax LEFT JOIN c USING (year)""")
 def density(spark, sf_dir):
     """AG-02, FN-25, SO-03: counts on an axis without holes and the heights of their bars."""
-    c = X.table(spark, sf_dir, "orders").where("o_orderkey % 400 = 0").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n"))
+    c = X.table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n"))
     peak = c.agg(F.max("n").alias("peak"))
     return J.dense_axis(c, "year").join(c, "year", "left").withColumn("n", F.coalesce("n", F.lit(0))).crossJoin(F.broadcast(peak)).select("year", "n", T.density_height(F.col("n"), F.col("peak")).alias("height"))
 

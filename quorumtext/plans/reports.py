@@ -60,34 +60,34 @@ def training_lines(spark, sf_dir):
     return R.training_lines(boxed, ["doc_id", "line"]).select("doc_id", "line", "n")
 
 
-@query(with_(X.F1 + """, l AS (SELECT doc_id, line, k, string_agg(reading, ' ' ORDER BY pos) AS text FROM f1 WHERE reading IS NOT NULL AND doc_id % 5 = 0 GROUP BY ALL)""", """SELECT doc_id, line, CASE WHEN count(DISTINCT text) > 1 THEN 'contested' ELSE 'agreed' END AS state FROM l WHERE trim(text) <> '' GROUP BY doc_id, line"""))
+@query(with_(X.F1 + """, l AS (SELECT doc_id, line, k, string_agg(reading, ' ' ORDER BY pos) AS text FROM f1 WHERE reading IS NOT NULL GROUP BY ALL)""", """SELECT doc_id, line, CASE WHEN count(DISTINCT text) > 1 THEN 'contested' ELSE 'agreed' END AS state FROM l WHERE trim(text) <> '' GROUP BY doc_id, line"""))
 def line_manifest(spark, sf_dir):
     """PR-27"""
-    rows = X.f1(spark, sf_dir).where("doc_id % 5 = 0").select("doc_id", "line", "pos", F.posexplode("readings").alias("k", "r")).where("r IS NOT NULL")
+    rows = X.f1(spark, sf_dir).select("doc_id", "line", "pos", F.posexplode("readings").alias("k", "r")).where("r IS NOT NULL")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "r"))), lambda x: x["r"]), " ")
     return R.disputed_lines(rows.groupBy("doc_id", "line", "k").agg(text.alias("text")), ["doc_id", "line"])
 
 
-@query("SELECT grp, page, lead(page) OVER (PARTITION BY grp ORDER BY page) AS until FROM (SELECT DISTINCT o_custkey % 30 AS grp, o_orderkey // 300 AS page FROM orders WHERE o_orderkey % 11 = 0)")
+@query("SELECT grp, page, lead(page) OVER (PARTITION BY grp ORDER BY page) AS until FROM (SELECT DISTINCT o_custkey % 30 AS grp, o_orderkey // 300 AS page FROM orders)")
 def section_ends(spark, sf_dir):
     """J-18, WN-23: a section ends where the next one starts."""
-    starts = X.table(spark, sf_dir, "orders").where("o_orderkey % 11 = 0").select((F.col("o_custkey") % 30).alias("grp"), F.expr("o_orderkey div 300").alias("page")).distinct()
+    starts = X.table(spark, sf_dir, "orders").select((F.col("o_custkey") % 30).alias("grp"), F.expr("o_orderkey div 300").alias("page")).distinct()
     return starts.select("grp", "page", Q.next_start(F.col("page"), ["grp"], ["page"]).alias("until"))
 
 
-@query("""WITH c AS (SELECT year(o_orderdate)::INTEGER AS year, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1), ax AS (SELECT unnest(range(min(year), max(year) + 1))::INTEGER AS year FROM c)
+@query("""WITH c AS (SELECT year(o_orderdate)::INTEGER AS year, count(*) AS n FROM orders GROUP BY 1), ax AS (SELECT unnest(range(min(year), max(year) + 1))::INTEGER AS year FROM c)
 SELECT '[' || string_agg('[' || year || ',' || coalesce(n, 0) || ']', ',' ORDER BY year) || ']' AS years FROM ax LEFT JOIN c USING (year)""")
 def index_payload(spark, sf_dir):
     """SNK-07, SNK-08: years with zeros filled in, as positional JSON; a row a year is gathered."""
-    c = X.table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n"))
+    c = X.table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n"))
     pair = F.array(F.col("year").cast("long"), F.coalesce("n", F.lit(0)))
     return J.dense_axis(c, "year").join(c, "year", "left").agg(F.to_json(F.array_sort(F.collect_list(pair))).alias("years"))
 
 
-@query("""WITH h AS (SELECT DISTINCT year(o_orderdate)::INTEGER AS year FROM orders WHERE year(o_orderdate) % 3 <> 1) SELECT unnest(range(a + 1, b))::INTEGER AS year FROM (SELECT year AS a, lead(year) OVER (ORDER BY year) AS b FROM h) WHERE b > a + 1""")
+@query("""WITH h AS (SELECT DISTINCT (year(o_orderdate) * 3)::INTEGER AS year FROM orders) SELECT unnest(range(a + 1, b))::INTEGER AS year FROM (SELECT year AS a, lead(year) OVER (ORDER BY year) AS b FROM h) WHERE b > a + 1""")
 def missing_years(spark, sf_dir):
     """PR-22"""
-    h = X.table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), F.expr("o_orderkey div 40").alias("pdf_page")).where("year % 3 <> 1")
+    h = X.table(spark, sf_dir, "orders").select((F.year("o_orderdate") * 3).alias("year"), F.expr("o_orderkey div 40").alias("pdf_page"))
     return R.missing_years(h).select("year")
 
 

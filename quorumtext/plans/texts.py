@@ -93,12 +93,11 @@ def audit_scores(spark, sf_dir):
     return C.scores(C.findings(X.table(spark, sf_dir, "documents"), ["doc_id"], C.text_checks("text")), ["doc_id"], _WEIGHTS)
 
 
-@query(r"""SELECT doc_id, lower(regexp_replace(regexp_replace(substr(text, 1, 80), '[ \t\n\r\f]+', '', 'g'), '[‐‑‒–—―-]', '—', 'g')) AS fold, regexp_replace(regexp_replace(lower(source), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug,
- regexp_extract(text, '([A-Z][a-z]+)', 1) AS genre, replace(replace(replace(replace(substr(text, 1, 40), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS html, substr(sha256(text), 1, 8) AS sha FROM documents""")
+@query(r"""SELECT doc_id, lower(regexp_replace(regexp_replace(text, '[ \t\n\r\f]+', '', 'g'), '[‐‑‒–—―-]', '—', 'g')) AS fold, regexp_replace(regexp_replace(lower(source), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug,
+ regexp_extract(text, '([A-Z][a-z]+)', 1) AS genre, replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS html, substr(sha256(text), 1, 8) AS sha FROM documents""")
 def text_functions(spark, sf_dir):
     """FN-05, FN-20, FN-22, FN-24"""
-    head = F.substring("text", 1, 80)
-    return X.table(spark, sf_dir, "documents").select("doc_id", T.fold_span(head).alias("fold"), T.slug(F.col("source")).alias("slug"), T.genre(F.col("text")).alias("genre"), T.escape_html(F.substring("text", 1, 40)).alias("html"), F.substring(F.sha2("text", 256), 1, 8).alias("sha"))
+    return X.table(spark, sf_dir, "documents").select("doc_id", T.fold_span(F.col("text")).alias("fold"), T.slug(F.col("source")).alias("slug"), T.genre(F.col("text")).alias("genre"), T.escape_html(F.col("text")).alias("html"), F.substring(F.sha2("text", 256), 1, 8).alias("sha"))
 
 
 @query("SELECT o_orderkey AS id, ((year(o_orderdate) - 1) // 100 + 1)::INTEGER AS century, (year(o_orderdate) // 10 * 10)::INTEGER AS decade, printf('%d:%.5f,%.5f', o_orderkey, o_totalprice / 7, o_totalprice / 11) AS key FROM orders")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quorumtext.functions import text as T
-from quorumtext.operators import align, assembly, audit, edits, entries, evidence, joins, layout, parsing, search, sequence, sets, vote
+from quorumtext.operators import align, assembly, audit, edits, entries, evidence, joins, layout, parsing, search, sequence, sets, spans, vote
 
 
 def one(spark, expression):
@@ -193,7 +193,10 @@ def test_assembly(spark):
     assert assembly.published(word) == {"text": "cafa", "tier": "contested", "variants": ["casa"]}
     assert assembly.page_text([["uno", "dos-"], [""], ["tres"], ["cuatro"]]) == "uno dostres\ncuatro"
     assert [w["text"] for w in assembly.dedupe([{"text": "casa", "readings": ["casa"]}, {"text": "Casá,", "readings": ["", "Casá,"]}])] == ["casa"]
-    assert [r["text"] for r in assembly.unwedge([{"text": "the one"}, {"text": "12."}, {"text": "and more"}])] == ["12.", "the one", "and more"]
+    wedged = lambda *texts: [r["text"] for r in assembly.unwedge([{"text": t} for t in texts])]
+    assert wedged("the ma-", "XII.", "", "yor and more", "end") == ["the ma-", "yor and more", "", "XII.", "end"]
+    assert wedged("the one", "12.", "and more") == ["the one", "12.", "and more"]  # no break hyphen
+    assert wedged("the ma-", "12", "Agosto") == ["the ma-", "12", "Agosto"]  # nothing goes on
     rows = spark.createDataFrame([(1, 0, 0, "uno", "unanimous", ["uno"], None), (1, 0, 1, "", "contested", ["", "x"], None), (1, 1, 2, "x", "contested", ["x", "y"], "dos")], "p int, line int, pos int, winner string, tier string, readings array<string>, decision string")
     assert tuple(assembly.assemble(rows, "p").first()) == (1, "uno\ndos", 2, 0)
 
@@ -246,3 +249,18 @@ def test_line_parsers(spark):
     assert sorted(map(tuple, gaps.collect())) == [(1301, 3, 9), (1302, 3, 9)]
     left = parsing.furniture(spark.createDataFrame([("12", 0.2, 0.5, 0.52), ("12", 0.8, 0.5, 0.52), ("text", 0.2, 0.01, 0.02), ("text", 0.2, 0.5, 0.52)], "text string, x0 double, y0 double, y1 double"))
     assert [r["furniture"] for r in left.collect()] == [True, False, True, False]
+
+
+def test_span_takes_the_commonest_spelling(spark):
+    places = spark.createDataFrame([(1, 0, 0, "", "contested", ["", "", "", "AB", "ABRIL", "ABRIL"]), (1, 0, 1, "3.", "one-dissent", ["3.", "3.", "3.", "RIL3.", "3.", "3."])], "doc_id int, line int, pos int, winner string, tier string, readings array<string>")
+    assert [(r["text"], r["grade"]) for r in spans.span_revote(places, 6, ["doc_id", "line"], "pos").collect()] == [("ABRIL 3.", "contested")]
+
+
+def test_lexicon_vote_is_the_rule(spark):
+    import random
+
+    rng = random.Random(2)
+    lexicon = {"casa": 5, "caso": 3, "cosa": 2, "x": 9}
+    places = [(i, [rng.choice([None, "casa", "Caso", "cosa", "X", "y", ""]) for _ in range(6)]) for i in range(200)]
+    got = {r["i"]: r["winner"] for r in vote.lexicon_vote(spark.createDataFrame(places, "i int, readings array<string>"), spark.createDataFrame(list(lexicon.items()), "word string, n long"), ["i"]).collect()}
+    assert got == {i: vote.lexicon_choice(r, lexicon) for i, r in places if any(x is not None for x in r)}
