@@ -396,7 +396,7 @@ def classes_of(found: DataFrame, rows: DataFrame, like, threshold: float, size:
     copies = _salted(found.select("doc_id", "same")).join(several, ["same", "_salt"], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
     reps = found.where("same IS NOT NULL").join(same.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     reps = reps.select("doc_id", "n", "keys")
-    links = _links(reps.select("doc_id", F.explode("keys").alias("key")), rows, reps.select("doc_id", "n"), like, threshold, size, picks)
+    links = _links(reps.select("doc_id", F.explode("keys").alias("key")), rows, staged(reps.select("doc_id", "n"), "op3-sizes"), like, threshold, size, picks)
     if links is None:
         return copies.select("doc_id", F.col("rep").alias("class_id"), F.lit(0).cast("long").alias("n_links"), (F.col("doc_id") == F.col("rep")).alias("kept"))
     links = staged(links.distinct(), "op3-links")
