@@ -34,7 +34,7 @@ from .common import staged, text_or_empty
 DIMENSIONS = ("source", "lang", "topic")
 POWERS = {"source": 0.7, "lang": 0.6, "topic": 0.8}
 SWEEPS = 500
-SQL_SWEEPS = 16
+SQL_SWEEPS = 400
 TOLERANCE = 1e-10
 RAISES = 8
 KEEP_SHARE = 0.6
@@ -147,7 +147,7 @@ def sample_mixture(docs: DataFrame, **how) -> DataFrame:
 
 
 def mixing_sql(sweeps: int = SQL_SWEEPS, raises: int = RAISES, keep_share: float = KEEP_SHARE, seed: int = 6, documents: str = "documents") -> str:
-    """The same in DuckDB's SQL, with more sweeps written out than the tables of the check need."""
+    """The same in DuckDB's SQL: a recursive query of so many sweeps that the marginals stand still."""
     steps = [rf"""
 t AS (SELECT doc_id, coalesce(source, '{NONE}') AS source, coalesce(lang, '{NONE}') AS lang, coalesce(text, '') AS text,
   len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\r\f]+')) AS tokens FROM {documents}),
@@ -157,18 +157,19 @@ r AS MATERIALIZED (SELECT doc_id, source, lang, tokens, CASE
 c AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens FROM r GROUP BY ALL)"""]
     for d in DIMENSIONS:
         steps.append(f"raw_{d} AS (SELECT {d}, pow(sum(tokens)::DOUBLE, {POWERS[d]}) AS raw FROM c GROUP BY {d}), share_{d} AS MATERIALIZED (SELECT {d}, raw / sum(raw) OVER () AS {d}_share FROM raw_{d})")
-    steps.append("w0 AS MATERIALIZED (SELECT *, tokens::DOUBLE AS weight FROM c JOIN share_source USING (source) JOIN share_lang USING (lang) JOIN share_topic USING (topic))")
-    k = 0
-    for _ in range(sweeps):
-        for d in DIMENSIONS:
-            steps.append(f"w{k + 1} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN sum(weight) OVER (PARTITION BY {d}) > 0 THEN weight * {d}_share / sum(weight) OVER (PARTITION BY {d}) ELSE 0 END AS weight) FROM w{k})")
-            k += 1
-    steps.append(f"q AS MATERIALIZED (SELECT source, lang, topic, tokens, weight, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS ratio FROM w{k})")
+    fit = "rk"
+    for k, d in enumerate(DIMENSIONS):
+        held = f"(SELECT *, sum({f'w{k}' if k else 'weight'}) OVER (PARTITION BY {d}) AS h{k} FROM {fit}{'' if k else f' WHERE step < {sweeps}'})"
+        fit = f"(SELECT *, CASE WHEN h{k} > 0 THEN {f'w{k}' if k else 'weight'} * {d}_share / h{k} ELSE 0 END AS w{k + 1} FROM {held})"
+    steps.append(f"""rk(step, source, lang, topic, tokens, source_share, lang_share, topic_share, weight) AS (
+  SELECT 0, source, lang, topic, tokens, source_share, lang_share, topic_share, tokens::DOUBLE FROM c JOIN share_source USING (source) JOIN share_lang USING (lang) JOIN share_topic USING (topic)
+  UNION ALL SELECT step + 1, source, lang, topic, tokens, source_share, lang_share, topic_share, w{len(DIMENSIONS)} FROM {fit})""")
+    steps.append(f"q AS MATERIALIZED (SELECT source, lang, topic, tokens, weight, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS ratio FROM rk WHERE step = {sweeps})")
     steps.append(f"k0 AS MATERIALIZED (SELECT {keep_share}::DOUBLE * sum(tokens) AS c, {keep_share}::DOUBLE * sum(tokens) AS want FROM q)")
     for n in range(raises):
         steps.append(f"k{n + 1} AS MATERIALIZED (SELECT greatest(c, coalesce((want - (SELECT sum(CASE WHEN ratio * c >= 1 THEN tokens ELSE 0 END) FROM q)) / nullif((SELECT sum(CASE WHEN ratio * c >= 1 THEN 0.0 ELSE weight END) FROM q), 0), c)) AS c, want FROM k{n})")
     steps.append(f"p AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN least(1.0::DOUBLE, ratio * c) ELSE 1.0 END AS probability FROM q, k{raises})")
-    return "WITH " + ",\n".join(steps) + f"""
+    return "WITH RECURSIVE " + ",\n".join(steps) + f"""
 SELECT doc_id, source, lang, topic, tokens, round(probability, 6) AS probability,
   ('0x' || substr(sha256('{seed}:' || doc_id), 1, 8))::BIGINT / 4294967296.0::DOUBLE < probability AS kept
 FROM r JOIN p USING (source, lang, topic)"""
