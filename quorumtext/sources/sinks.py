@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one (a local one only where none is named)."""
+    """A new folder below the cluster's shared one (a local one only where none is named and the master is local)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='quorumtext-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/quorumtext-export-{uuid.uuid4().hex}"
