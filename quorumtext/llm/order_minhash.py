@@ -47,7 +47,7 @@ PICKS = 2
 KMER = 5
 THRESHOLD = 0.8
 BLOCK = 4_096
-SALTS = 16
+HOT = 1_024
 
 
 @lru_cache(maxsize=4)
@@ -311,26 +311,48 @@ def _verified(pairs: DataFrame, rows: DataFrame, like, threshold: float, size: i
     return staged(map_arrow(texts.select("doc_id", "head", "again", "text", "head_text"), lambda it: _verify_rows(it, like, threshold, size, sketches, picks), schema), name)
 
 
-def _salted(df: DataFrame) -> DataFrame:
-    """``df`` with a column ``_salt`` from the id, which spreads the rows that share another key."""
-    return df.withColumn("_salt", F.pmod(F.xxhash64("doc_id", F.lit(19)), F.lit(SALTS)).cast("int"))
+def _hot(stored: DataFrame, on: str) -> DataFrame:
+    """(on, _salts) of the keys that one in ``HOT`` rows of a stored table or more have, so ``HOT`` keys at most.
+
+    ``_salts`` is the number of parts in which such a key is as large as the least hot one: 2 * ``HOT`` in all.
+    """
+    n = stored.count()
+    many = stored.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n"))
+    return staged(_hot_of(many, on, "_n", n), "op3-hot")
+
+
+def _hot_of(counts: DataFrame, on: str, n: str, rows: int) -> DataFrame:
+    """The same of keys with their counts ``n`` of ``rows`` rows."""
+    share = F.col(n) * F.lit(HOT)
+    return counts.where(share >= F.lit(rows)).select(on, F.ceil(share / F.lit(max(rows, 1))).cast("int").alias("_salts"))
+
+
+def _salted(df: DataFrame, hot: DataFrame, on: str) -> DataFrame:
+    """``df`` with a column ``_salt`` from the id, which spreads the rows that share a hot key, and those without a key."""
+    parts = F.when(F.col(on).isNull(), F.lit(1 << 20)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salt = F.pmod(F.xxhash64("doc_id", F.lit(19)), parts).cast("int")
+    return df.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_salts")
 
 
-def _each_salt(df: DataFrame) -> DataFrame:
-    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+def _each_salt(df: DataFrame, hot: DataFrame, on: str) -> DataFrame:
+    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    return df.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(salts)).drop("_salts")
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
     """(doc_id, class_id): the least id of the connected component, of each id in ``links``
     (doc_id, head).  Rounds of hooking to the least neighbour and halving the way to
     the root: as many as the logarithm of the longest way, each a staged table."""
-    edges = staged(_salted(links.select("doc_id", "head").union(links.select("head", "doc_id")).toDF("doc_id", "other").distinct()), f"{name}-edges")
+    edges = staged(links.select("doc_id", "head").union(links.select("head", "doc_id")).toDF("doc_id", "other").distinct(), f"{name}-edges")
     labels = staged(edges.groupBy("doc_id").agg(F.least(F.min("other"), F.first("doc_id")).alias("class_id")), f"{name}-labels")
+    hot = _hot(edges, "other")
+    edges = _salted(edges, hot, "other")
     while True:
-        near = edges.join(_each_salt(labels.select(F.col("doc_id").alias("other"), "class_id")), ["other", "_salt"]).groupBy("doc_id").agg(F.min("class_id").alias("near"))
-        hooked = _salted(labels.join(near, "doc_id").select("doc_id", F.least("class_id", "near").alias("class_id"), F.col("class_id").alias("was")))
-        jump = _each_salt(labels.select(F.col("doc_id").alias("class_id"), F.col("class_id").alias("beyond")))
-        after = staged(hooked.join(jump, ["class_id", "_salt"], "left").select("doc_id", F.least("class_id", "beyond").alias("class_id"), "was"), f"{name}-labels")
+        near = edges.join(_each_salt(labels.select(F.col("doc_id").alias("other"), "class_id"), hot, "other"), ["other", "_salt"]).groupBy("doc_id").agg(F.min("class_id").alias("near"))
+        hooked = staged(labels.join(near, "doc_id").select("doc_id", F.least("class_id", "near").alias("class_id"), F.col("class_id").alias("was")), f"{name}-hooked")
+        hot_class = _hot(hooked, "class_id")
+        jump = _each_salt(labels.select(F.col("doc_id").alias("class_id"), F.col("class_id").alias("beyond")), hot_class, "class_id")
+        after = staged(_salted(hooked, hot_class, "class_id").join(jump, ["class_id", "_salt"], "left").select("doc_id", F.least("class_id", "beyond").alias("class_id"), "was"), f"{name}-labels")
         if after.where("class_id <> was").isEmpty():
             return after.select("doc_id", "class_id")
         labels = after.select("doc_id", "class_id")
@@ -349,7 +371,8 @@ def _links(keys: DataFrame, rows: DataFrame, sizes: DataFrame, like, threshold:
     first = pairs.join(pairs.groupBy("doc_id").agg(F.min("head").alias("head")), ["doc_id", "head"], "left_semi")
     level = verified(first)
     known = level.select("doc_id", F.when(F.col("similarity") > 0, F.col("head")).alias("like"), F.when((F.col("similarity") == 0) & F.col("again"), F.col("head")).alias("unlike"))
-    more = verified(staged(_apart(pairs.join(level.select("doc_id", "head"), ["doc_id", "head"], "left_anti"), known), "op3-others"))
+    others = pairs.join(level.select("doc_id", "head"), ["doc_id", "head"], "left_anti")
+    more = verified(staged(_apart(others, known, _hot(pairs, "head")), "op3-others"))
     level = level.unionByName(more)
     done, links = level.select("doc_id", "head", "again"), level.where("similarity > 0").select("doc_id", "head")
     known = components(links, "op3").withColumn("like", F.col("class_id")).withColumn("unlike", F.lit(None).cast(level.schema["head"].dataType)).drop("class_id")
@@ -359,7 +382,7 @@ def _links(keys: DataFrame, rows: DataFrame, sizes: DataFrame, like, threshold:
         kept = level.where("size(keys) > 0").join(mixed, "head", "left_semi")
         pairs = _pairs(staged(kept.select("doc_id", F.explode("keys").alias("key")).distinct(), "op3-beside"), "op3", by_hash=True)
         had = done.groupBy("doc_id", "head").agg(F.max("again").alias("had"))
-        fresh = _apart(pairs, known).join(had, ["doc_id", "head"], "left").where("had IS NULL OR (again AND NOT had)").drop("had")
+        fresh = _apart(pairs, known, _hot(pairs, "head")).join(had, ["doc_id", "head"], "left").where("had IS NULL OR (again AND NOT had)").drop("had")
         fresh = staged(fresh, "op3-fresh")
         if fresh.isEmpty():
             return links
@@ -368,10 +391,11 @@ def _links(keys: DataFrame, rows: DataFrame, sizes: DataFrame, like, threshold:
         links = links.unionByName(level.where("similarity > 0").select("doc_id", "head"))
 
 
-def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """``pairs`` without those of which is known (doc_id, like, unlike) that both are like one text, or unlike one."""
-    own = _salted(pairs.join(known, "doc_id", "left").select("doc_id", "head", "again", F.coalesce("like", "doc_id").alias("own"), F.col("unlike").alias("own_unlike")))
-    of_head = _each_salt(known.select(F.col("doc_id").alias("head"), F.col("like").alias("other"), F.col("unlike").alias("other_unlike")))
+def _apart(pairs: DataFrame, known: DataFrame, hot: DataFrame) -> DataFrame:
+    """``pairs`` (with these ``hot`` heads) without those of which is known (doc_id, like, unlike) that both are like one text, or unlike one."""
+    own = pairs.join(known, "doc_id", "left").select("doc_id", "head", "again", F.coalesce("like", "doc_id").alias("own"), F.col("unlike").alias("own_unlike"))
+    of_head = known.select(F.col("doc_id").alias("head"), F.col("like").alias("other"), F.col("unlike").alias("other_unlike"))
+    own, of_head = _salted(own, hot, "head"), _each_salt(of_head, hot, "head")
     both = own.join(of_head, ["head", "_salt"], "left").where(F.col("own") != F.coalesce("other", "head"))
     return both.where("coalesce(own_unlike <> other_unlike, true)").select("doc_id", "head", "again")
 
@@ -392,8 +416,9 @@ def classes_of(found: DataFrame, rows: DataFrame, like, threshold: float, size:
     same = found.where("same IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
     same = staged(same, "op3-same")
     # only words that several rows have need a look at their first row; frequent ones are spread
-    several = _each_salt(same.where("n > 1").drop("n"))
-    copies = _salted(found.select("doc_id", "same")).join(several, ["same", "_salt"], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
+    hot = _hot_of(same.where("n > 1"), "same", "n", found.count())
+    several = _each_salt(same.where("n > 1").drop("n"), hot, "same")
+    copies = _salted(found.select("doc_id", "same"), hot, "same").join(several, ["same", "_salt"], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
     reps = found.where("same IS NOT NULL").join(same.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     reps = reps.select("doc_id", "n", "keys")
     links = _links(reps.select("doc_id", F.explode("keys").alias("key")), rows, staged(reps.select("doc_id", "n"), "op3-sizes"), like, threshold, size, picks)
@@ -403,7 +428,8 @@ def classes_of(found: DataFrame, rows: DataFrame, like, threshold: float, size:
     classes = components(links, "op3")
     degree = links.select("doc_id").union(links.select("head")).groupBy("doc_id").agg(F.count("*").alias("n_links"))
     of_rep = classes.join(degree, "doc_id", "left").select(F.col("doc_id").alias("rep"), "class_id", "n_links")
-    joined = _salted(copies).join(_each_salt(of_rep), ["rep", "_salt"], "left")
+    hot = hot.join(same.select("same", "rep"), "same").select("rep", "_salts")
+    joined = _salted(copies, hot, "rep").join(_each_salt(of_rep, hot, "rep"), ["rep", "_salt"], "left")
     return joined.select("doc_id", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), (F.col("doc_id") == F.coalesce("class_id", "rep")).alias("kept"))
 
 

@@ -815,3 +815,19 @@ def test_pipeline(spark, sf_dir, library):
             assert set(after) == brute_mixture([tuple(r) for r in rows])
     rows = corpus_pipeline.run(spark, sf_dir)
     assert rows.count() == out.count()
+
+
+def test_components_of_a_hot_head_and_of_a_chain(spark):
+    from quorumtext.llm.order_minhash import HOT, components, _hot
+
+    star = [(k, 0) for k in range(1, 4_000)]
+    chain = [(k + 1, k) for k in range(10_000, 10_040)]
+    both = [(9_000, 4), (9_000, 8_000), (8_001, 8_000)]
+    links = spark.createDataFrame(star + chain + both, "doc_id long, head long")
+    got = {r.doc_id: r.class_id for r in components(links, "test").collect()}
+    want = {k: 0 for k in [*range(4_000), 8_000, 8_001, 9_000]} | {k: 10_000 for k in range(10_000, 10_041)}
+    assert got == want
+    # the head's rows are dealt to so many parts that none is larger than the least hot key's
+    hot = _hot(links, "head").collect()
+    assert [(r.head, r._salts) for r in hot if r._salts > 1] == [(0, -(-len(star) * HOT // links.count()))]
+    assert len(hot) <= HOT and sum(r._salts for r in hot) <= 2 * HOT
