@@ -37,7 +37,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import map_arrow, may_have_key, staged, text_or_empty
 
@@ -269,60 +269,68 @@ def _verify_rows(batches, like, threshold: float, size: int, sketches: int, pick
 
     head_id = head = salt = None
     for batch in batches:
-        found, keys = [], []
+        found, keys, n = [], [], []
         for member, other, other_text, again in zip(*(batch.column(c).to_pylist() for c in ("text", "head", "head_text", "again"))):
             if other != head_id:
                 head_id, head, salt = other, _Text(other_text, size), np.uint64(xxhash.xxh3_64_intdigest(str(other)))
             own = _Text(member, size)
             found.append(like(own, head, threshold))
             keys.append(mix(own.keys_beside(head, threshold, sketches, picks) ^ salt).view(np.int64) if again else [])
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("head"), batch.column("again"), pa.array(found, pa.float64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "head", "again", "similarity", "keys"])
+            n.append(len(own.words))
+        columns = [batch.column("doc_id"), batch.column("head"), batch.column("again"), pa.array(n, pa.int64()), pa.array(found, pa.float64()), pa.array(keys, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "head", "again", "n", "similarity", "keys"])
 
 
-def _pairs(keys: DataFrame, name: str, by_hash: bool) -> DataFrame:
-    """(doc_id, head, again) of the keys (doc_id, key) that several texts have: each with the bucket's head, its least id or the id of least hash.
+def _heads(keys: DataFrame, name: str, by_hash: bool, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(key, head, again) of the keys (doc_id, key) that several texts have; the head is the bucket's least id or the id of least hash,
+    and what it has in the columns ``carried`` comes with it as head_<column>.
 
     ``again``: the bucket has others that may be unlike the head.  The heads are a stored table,
     so that the join deals both sides by itself and Spark can split a key that very many have.
     """
-    least = F.min(F.struct(F.xxhash64("doc_id", F.lit(17)).alias("o"), "doc_id"))["doc_id"] if by_hash else F.min("doc_id")
+    least = F.min(F.struct(F.xxhash64("doc_id", F.lit(17)).alias("o"), "doc_id", *carried) if by_hash else "doc_id")
     heads = keys.groupBy("key").agg(least.alias("head"), F.count("*").alias("many")).where("many > 1")
-    heads = staged(heads.select("key", "head", (F.col("many") > 2).alias("again")), f"{name}-heads")
-    met = keys.join(heads, "key").select("doc_id", "head", "again").where("doc_id <> head")
-    return staged(met.groupBy("doc_id", "head").agg(F.max("again").alias("again")), f"{name}-pairs")
+    own = [F.col("head.doc_id").alias("head"), *(F.col(f"head.{c}").alias(f"head_{c}") for c in carried)] if by_hash else ["head"]
+    return staged(heads.select("key", *own, (F.col("many") > 2).alias("again")), f"{name}-heads")
 
 
-def _possible(pairs: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
-    """``pairs`` without those whose lengths rule them out and that need no keys."""
-    own, other = sizes.withColumnRenamed("n", "own_n"), sizes.select(F.col("doc_id").alias("head"), F.col("n").alias("head_n"))
-    like = 2 * F.least("own_n", "head_n") >= (F.col("own_n") + F.col("head_n")) * F.lit(threshold) - F.lit(1e-9)
-    return pairs.join(own, "doc_id").join(other, "head").where(F.col("again") | like).select("doc_id", "head", "again")
+def _possible(threshold: float):
+    """Not of pairs whose numbers of words ``n`` and ``head_n`` rule them out and that need no keys."""
+    return F.col("again") | (2 * F.least("n", "head_n") >= (F.col("n") + F.col("head_n")) * F.lit(threshold) - F.lit(1e-9))
+
+
+def _first_pairs(keys: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, head, again, first) of the possible pairs of a text and a bucket's least id; ``first``: it is the least head of that text."""
+    met = keys.join(_heads(keys, "op3", by_hash=False), "key").select("doc_id", "head", "again").where("doc_id <> head")
+    pairs = met.repartition("doc_id").groupBy("doc_id", "head").agg(F.max("again").alias("again"))
+    pairs = pairs.join(sizes, "doc_id").join(sizes.toDF("head", "head_n"), "head").where(_possible(threshold)).select("doc_id", "head", "again")
+    least = F.min("head").over(Window.partitionBy("doc_id"))
+    return staged(pairs.withColumn("first", F.col("head") == least), "op3-pairs")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, like, threshold: float, size: int, sketches: int, picks: int, name: str) -> DataFrame:
-    """pairs with their similarity (0 below the threshold) and, of those below, keys; staged.  Texts that are in no pair are not shuffled."""
+    """pairs with the text's number of words, their similarity (0 below the threshold) and, of those below, keys; staged.  Texts that are in no pair are not shuffled."""
     kind = pairs.schema["doc_id"].dataType.simpleString()
     heads = pairs.select(F.col("head").alias("doc_id")).distinct()
     members = may_have_key(rows, pairs, "doc_id")
     head_texts = may_have_key(rows, heads, "doc_id").select(F.col("doc_id").alias("head"), F.col("text").alias("head_text"))
     # the member's text goes to its pairs first: the head of a large group is split by Spark's skewed join
     texts = pairs.join(members, "doc_id").join(head_texts, "head")
-    schema = f"doc_id {kind}, head {kind}, again boolean, similarity double, keys array<long>"
+    schema = f"doc_id {kind}, head {kind}, again boolean, n long, similarity double, keys array<long>"
     return staged(map_arrow(texts.select("doc_id", "head", "again", "text", "head_text"), lambda it: _verify_rows(it, like, threshold, size, sketches, picks), schema), name)
 
 
 def _hot(stored: DataFrame, on: str) -> DataFrame:
-    """(on, _salts) of the keys that one in ``HOT`` rows of a stored table or more have, so ``HOT`` keys at most.
-
-    ``_salts`` is the number of parts in which such a key is as large as the least hot one: 2 * ``HOT`` in all.
-    """
-    n = stored.count()
-    many = stored.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n"))
-    return staged(_hot_of(many, on, "_n", n), "op3-hot")
+    """``_hot_of`` the rows of a stored table."""
+    counts = stored.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n"))
+    return _hot_of(counts, on, "_n", stored.count())
 
 
 def _hot_of(counts: DataFrame, on: str, n: str, rows: int) -> DataFrame:
-    """The same of keys with their counts ``n`` of ``rows`` rows."""
+    """(on, _salts) of the keys that one in ``HOT`` of ``rows`` rows or more have, so ``HOT`` keys at most; ``n`` is the count of a key.
+
+    ``_salts`` is the number of parts in which such a key is as large as the least hot one: 2 * ``HOT`` in all.
+    """
     share = F.col(n) * F.lit(HOT)
     return counts.where(share >= F.lit(rows)).select(on, F.ceil(share / F.lit(max(rows, 1))).cast("int").alias("_salts"))
 
@@ -344,45 +352,48 @@ def components(links: DataFrame, name: str) -> DataFrame:
     (doc_id, head).  Rounds of hooking to the least neighbour and halving the way to
     the root: as many as the logarithm of the longest way, each a staged table."""
     edges = staged(links.select("doc_id", "head").union(links.select("head", "doc_id")).toDF("doc_id", "other").distinct(), f"{name}-edges")
-    labels = staged(edges.groupBy("doc_id").agg(F.least(F.min("other"), F.first("doc_id")).alias("class_id")), f"{name}-labels")
-    hot = _hot(edges, "other")
-    edges = _salted(edges, hot, "other")
+    # edges go both ways: an id stands as often on this side as on the other
+    salts = F.ceil(F.count("*") * F.lit(HOT) / F.lit(max(edges.count(), 1))).cast("int")
+    labels = staged(edges.groupBy("doc_id").agg(F.least(F.min("other"), F.first("doc_id")).alias("class_id"), salts.alias("_salts")), f"{name}-labels")
+    ids = labels.count()
+    hot = labels.where("_salts > 1").select(F.col("doc_id").alias("other"), "_salts")
+    edges = staged(_salted(edges, hot, "other"), f"{name}-salted")
     while True:
-        near = edges.join(_each_salt(labels.select(F.col("doc_id").alias("other"), "class_id"), hot, "other"), ["other", "_salt"]).groupBy("doc_id").agg(F.min("class_id").alias("near"))
-        hooked = staged(labels.join(near, "doc_id").select("doc_id", F.least("class_id", "near").alias("class_id"), F.col("class_id").alias("was")), f"{name}-hooked")
-        hot_class = _hot(hooked, "class_id")
-        jump = _each_salt(labels.select(F.col("doc_id").alias("class_id"), F.col("class_id").alias("beyond")), hot_class, "class_id")
-        after = staged(_salted(hooked, hot_class, "class_id").join(jump, ["class_id", "_salt"], "left").select("doc_id", F.least("class_id", "beyond").alias("class_id"), "was"), f"{name}-labels")
-        if after.where("class_id <> was").isEmpty():
-            return after.select("doc_id", "class_id")
-        labels = after.select("doc_id", "class_id")
+        ends = labels.select(F.col("doc_id").alias("other"), "class_id", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))
+        near = edges.join(ends, ["other", "_salt"]).groupBy("doc_id").agg(F.min("class_id").alias("near"))
+        hooked = labels.join(near, "doc_id").select("doc_id", F.least("class_id", "near").alias("class_id"), "_salts", (F.col("near") < F.col("class_id")).alias("moved"))
+        hooked = staged(hooked, f"{name}-hooked")
+        if hooked.where("moved").isEmpty():
+            return hooked.select("doc_id", "class_id")
+        hot_class = _hot_of(hooked.groupBy("class_id").agg(F.count("*").alias("_n")), "class_id", "_n", ids)
+        jump = _each_salt(hooked.select(F.col("doc_id").alias("class_id"), F.col("class_id").alias("beyond")), hot_class, "class_id")
+        after = _salted(hooked.withColumnRenamed("_salts", "_own"), hot_class, "class_id").join(jump, ["class_id", "_salt"], "left")
+        labels = staged(after.select("doc_id", F.least("class_id", "beyond").alias("class_id"), F.col("_own").alias("_salts")), f"{name}-labels")
 
 
 def _links(keys: DataFrame, rows: DataFrame, sizes: DataFrame, like, threshold: float, size: int, picks: int) -> DataFrame | None:
     """(doc_id, head) of all verified pairs, level after level; None if there are no pairs."""
 
     def verified(pairs):
-        return _verified(_possible(pairs, sizes, threshold), rows, like, threshold, size, REST_SKETCHES, picks, "op3-checked")
+        return _verified(pairs.select("doc_id", "head", "again"), rows, like, threshold, size, REST_SKETCHES, picks, "op3-checked")
 
-    pairs = _pairs(keys, "op3", by_hash=False)
+    pairs = _first_pairs(keys, sizes, threshold)
     if pairs.isEmpty():
         return None
     # of each text the pair with its least head first; texts like, or unlike, one least head need no other pair
-    first = pairs.join(pairs.groupBy("doc_id").agg(F.min("head").alias("head")), ["doc_id", "head"], "left_semi")
-    level = verified(first)
+    level = verified(pairs.where("first"))
     known = level.select("doc_id", F.when(F.col("similarity") > 0, F.col("head")).alias("like"), F.when((F.col("similarity") == 0) & F.col("again"), F.col("head")).alias("unlike"))
-    others = pairs.join(level.select("doc_id", "head"), ["doc_id", "head"], "left_anti")
-    more = verified(staged(_apart(others, known, _hot(pairs, "head")), "op3-others"))
-    level = level.unionByName(more)
+    level = level.unionByName(verified(staged(_apart(pairs.where("NOT first"), known), "op3-others")))
     done, links = level.select("doc_id", "head", "again"), level.where("similarity > 0").select("doc_id", "head")
-    known = components(links, "op3").withColumn("like", F.col("class_id")).withColumn("unlike", F.lit(None).cast(level.schema["head"].dataType)).drop("class_id")
     while True:
         # a head that all are like needs no further look at its texts
         mixed = level.where("similarity = 0 AND again").select("head").distinct()
-        kept = level.where("size(keys) > 0").join(mixed, "head", "left_semi")
-        pairs = _pairs(staged(kept.select("doc_id", F.explode("keys").alias("key")).distinct(), "op3-beside"), "op3", by_hash=True)
+        own = links.groupBy("doc_id").agg(F.min("head").alias("own"))
+        kept = level.where("size(keys) > 0").join(mixed, "head", "left_semi").join(own, "doc_id", "left")
+        beside = staged(kept.select("doc_id", "n", F.coalesce("own", "doc_id").alias("own"), F.explode("keys").alias("key")).distinct(), "op3-beside")
+        met = beside.join(_heads(beside, "op3", by_hash=True, carried=("n", "own")), "key").where("doc_id <> head AND own <> head_own").where(_possible(threshold))
         had = done.groupBy("doc_id", "head").agg(F.max("again").alias("had"))
-        fresh = _apart(pairs, known, _hot(pairs, "head")).join(had, ["doc_id", "head"], "left").where("had IS NULL OR (again AND NOT had)").drop("had")
+        fresh = met.groupBy("doc_id", "head").agg(F.max("again").alias("again")).join(had, ["doc_id", "head"], "left").where("had IS NULL OR (again AND NOT had)").drop("had")
         fresh = staged(fresh, "op3-fresh")
         if fresh.isEmpty():
             return links
@@ -391,8 +402,9 @@ def _links(keys: DataFrame, rows: DataFrame, sizes: DataFrame, like, threshold:
         links = links.unionByName(level.where("similarity > 0").select("doc_id", "head"))
 
 
-def _apart(pairs: DataFrame, known: DataFrame, hot: DataFrame) -> DataFrame:
-    """``pairs`` (with these ``hot`` heads) without those of which is known (doc_id, like, unlike) that both are like one text, or unlike one."""
+def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """``pairs`` (a stored table) without those of which is known (doc_id, like, unlike) that both are like one text, or unlike one."""
+    hot = _hot(pairs, "head")
     own = pairs.join(known, "doc_id", "left").select("doc_id", "head", "again", F.coalesce("like", "doc_id").alias("own"), F.col("unlike").alias("own_unlike"))
     of_head = known.select(F.col("doc_id").alias("head"), F.col("like").alias("other"), F.col("unlike").alias("other_unlike"))
     own, of_head = _salted(own, hot, "head"), _each_salt(of_head, hot, "head")
