@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from quorumtext.operators import parsing, vote
+from quorumtext.operators import align, parsing, vote
 from quorumtext.plans import catalog
 
 
@@ -46,6 +46,24 @@ def test_choices_of_a_place_are_its_own_rows(spark, sf_dir):
     assert pairs_of(vote.choices_of(p, ["doc_id", "pos"], 6).collect()) == pairs_of(vote.choices(rows, ["doc_id", "pos"], "k", "r").collect())
 
 
+def test_alignment_of_all_pairs_is_difflibs(spark, sf_dir):
+    import numpy as np
+
+    draw, pairs = random.Random(5), []
+    for _ in range(400):
+        a = [draw.randrange(draw.choice([1, 3, 20])) for _ in range(draw.randrange(1, 40))]
+        b = [x for x in a for _ in range(draw.choice([0, 1, 1, 1, 2]))] or [7]
+        pairs.append((a, [draw.choice([x, x, x, 99]) for x in b]))
+    begin, end, base = align.project_all([(np.array(a), np.array(b)) for a, b in pairs])
+    for p, (a, b) in enumerate(pairs):
+        assert [" ".join(map(str, b[begin[s] : end[s]])) for s in range(base[p], base[p + 1])] == align.project([*map(str, a)], [*map(str, b)])
+    assert "hashpartitioning" not in plan(catalog.queries()["align_project"](spark, sf_dir))
+    p = places(spark).select("doc_id", "pos", F.transform("readings", lambda r: F.nullif(r, F.lit(""))).alias("readings"))
+    rows = p.select("doc_id", "pos", F.posexplode("readings").alias("engine", "r")).where("r IS NOT NULL")
+    want = align.align_engines(rows, "doc_id", "engine", "pos", "r", 0).collect()
+    assert pairs_of(align.align_in_order(p, ["doc_id"], 6, 0).collect()) == pairs_of(want)
+
+
 def test_groups_go_on_in_the_next_batch():
     import pyarrow as pa
 
