@@ -27,10 +27,10 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(T.tokens(F.col("text"))).alias("pos", "tok"))
 
 
-def _reading(k: int) -> Column:
+def reading(k: int, tok: Column) -> Column:
+    """What an engine reads where the truth is ``tok``."""
     h = (F.col("doc_id") * 31 + F.col("pos") * 17 + k * 7919) % 397
     g = (F.col("doc_id") * 13 + F.col("pos") * 29) % 101
-    tok = F.col("tok")
     absent = F.when(F.col("doc_id") % 13 == 0, F.lit(None).cast("string")) if k == 5 else None
     shared = F.concat(F.lit("x"), tok)
     steps = absent
@@ -43,7 +43,7 @@ def _reading(k: int) -> Column:
 def f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, pos, line, truth, readings: what six engines read at each place (array in panel order; null: absent)."""
     w = words(spark, sf_dir)
-    return w.select("doc_id", "pos", F.expr("pos div 10").cast("int").alias("line"), F.col("tok").alias("truth"), F.array(*[_reading(k) for k in range(ENGINES)]).alias("readings"))
+    return w.select("doc_id", "pos", F.expr("pos div 10").cast("int").alias("line"), F.col("tok").alias("truth"), F.array(*[reading(k, F.col("tok")) for k in range(ENGINES)]).alias("readings"))
 
 
 WORDS = r"""words AS (SELECT doc_id, unnest(range(len(t)))::INTEGER AS pos, unnest(t) AS tok FROM (

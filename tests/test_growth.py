@@ -80,3 +80,9 @@ def test_groups_go_on_in_the_next_batch():
         batches = [pa.RecordBatch.from_arrays([pa.array(keys[k : k + size], pa.int64())], ["k"]) for k in range(0, len(keys), size)]
         made = [b.column("k").to_pylist() for b in whole_groups(batches, ["k"])]
         assert sum(made, []) == keys and all(a[-1] != b[0] for a, b in zip(made, made[1:]))
+
+
+def test_editions_are_joined_on_their_pages(spark, sf_dir):
+    """One row a page goes through the exchange, not one a place."""
+    shown = plan(catalog.queries()["box_join_guarded"](spark, sf_dir))
+    assert all("doc_id" in line and "pos" not in line.split("]")[0] for line in shown.splitlines() if "Join [" in line)
