@@ -98,3 +98,19 @@ def test_asof_reads_columns_over_a_million(spark, tmp_path):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
     want = con.sql(catalog.oracle_sql()["asof_leaf"]).fetchall()
     assert sorted(map(tuple, catalog.queries()["asof_leaf"](spark, str(tmp_path)).collect()), key=str) == sorted(want, key=str)
+
+
+def test_sample_ranks_few_rows(spark):
+    """A stratum is not sorted whole: ranks are given behind a join with the ranges that the sample reaches."""
+    from pyspark.sql import Window
+
+    from quorumtext.operators import sampling
+
+    rows = spark.range(30_000).select("id", F.when(F.col("id") < 7, "rare").when(F.col("id") % 3 == 0, "third").otherwise("rest").alias("s"))
+    got = sampling.least_by_lot(rows, "s", F.when(F.col("s") == "third", 5).otherwise(9), 9, ["id"], 7)
+    rank = F.row_number().over(Window.partitionBy("s").orderBy(sampling.lot(7, ["id"]), "id"))
+    want = rows.withColumn("r", rank).where("r <= CASE s WHEN 'third' THEN 5 ELSE 9 END").drop("r")
+    assert pairs_of(got.collect()) == pairs_of(want.collect())
+    near = sampling.within(rows, sampling.reach(rows.where("s <> 'rare'"), "s", 9, ["id"], 7), ["id"], 7)
+    assert 18 <= near.count() < 1_000
+    assert "BroadcastHashJoin" in plan(got)
