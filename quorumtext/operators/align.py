@@ -196,9 +196,16 @@ def best_shift(reference: list[tuple], other: list[tuple], reach: float = 0.030,
     """The vertical shift under which most reference lines (x0, y0, x1, y1) have their centre in an overlapping line of the other; the first of equals."""
     steps = int(reach / step)
     best = (0.0, -1)
+    a, b = (np.array(x, float).reshape(-1, 4) for x in (reference, other))
+    mid = (a[:, 1] + a[:, 3]) / 2
+    # only lines that meet across and can meet in height under some shift
+    across = (a[:, None, 0] < b[None, :, 2]) & (a[:, None, 2] > b[None, :, 0])
+    near = (b[None, :, 1] - reach - step <= mid[:, None]) & (mid[:, None] <= b[None, :, 3] + reach + step)
+    i, j = np.nonzero(across & near)
     for k in range(-steps, steps + 1):
         s = k * step
-        n = sum(any(b[1] + s <= (a[1] + a[3]) / 2 <= b[3] + s and a[0] < b[2] and a[2] > b[0] for b in other) for a in reference)
+        fits = (b[j, 1] + s <= mid[i]) & (mid[i] <= b[j, 3] + s)
+        n = len(np.unique(i[fits]))
         if n > best[1]:
             best = (s, n)
     return best
@@ -217,9 +224,11 @@ def align_lines(reference: list[dict], other: list[dict]) -> list[tuple[int, str
         return list(enumerate(project(spine, [w for line in other for w in line["words"]])))
     used: set[int] = set()
     out, at = [], 0
+    low, high, x0, x1 = (np.array([x[c] for x in other], float) + d for c, d in (("y0", shift), ("y1", shift), ("x0", 0), ("x1", 0)))
     for line in reference:
         mid = (line["y0"] + line["y1"]) / 2
-        fits = sorted((x["x0"], i) for i, x in enumerate(other) if i not in used and x["y0"] + shift <= mid <= x["y1"] + shift and line["x0"] < x["x1"] and line["x1"] > x["x0"])
+        at_hand = np.flatnonzero((low <= mid) & (mid <= high) & (line["x0"] < x1) & (line["x1"] > x0)).tolist()
+        fits = sorted((other[i]["x0"], i) for i in at_hand if i not in used)
         used.update(i for _, i in fits)
         words = [w for _, i in fits for w in other[i]["words"]]
         out += [(at + k, r) for k, r in enumerate(project(line["words"], words))]

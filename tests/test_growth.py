@@ -130,3 +130,16 @@ def test_panels_are_one_scan(spark, sf_dir):
     for name, ks in panels.items():
         v = vote.vote(vote.sub_panel(full.select("readings"), list(ks)), len(ks)).collect()
         assert got[name] == (len(v), sum(r["tie"] for r in v), sum(r["tier"] == "unanimous" for r in v))
+
+
+def test_line_shift_is_the_plain_search():
+    draw = random.Random(4)
+    for _ in range(20):
+        box = lambda: (x := draw.random() * 0.7, y := draw.randrange(0, 300) / 1000, x + 0.28, y + 0.012)
+        a, b = [box() for _ in range(draw.randrange(1, 15))], [box() for _ in range(draw.randrange(0, 15))]
+        best = (0.0, -1)
+        for k in range(-30, 31):
+            s = k * 0.001
+            n = sum(any(y[1] + s <= (x[1] + x[3]) / 2 <= y[3] + s and x[0] < y[2] and x[2] > y[0] for y in b) for x in a)
+            best = (s, n) if n > best[1] else best
+        assert align.best_shift(a, b) == best
