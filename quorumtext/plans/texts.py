@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import audit as C, entries as E, search as H, spans  # noqa: F401
+from ..operators import audit as C, entries as E, search as H, spans, vote as V  # noqa: F401
 from . import fixtures as X
 from .registry import query, with_
 
@@ -111,7 +111,9 @@ def key_functions(spark, sf_dir):
  (SELECT DISTINCT doc_id, line, pos, k, 1300 + (doc_id + line * 7 + CASE WHEN k IN (1, 3) THEN 1 ELSE 0 END) % 400 AS year FROM f1 WHERE reading IS NOT NULL AND pos % 10 = 0) GROUP BY ALL)) WHERE r = 1 AND n >= 3"""))
 def heading_votes(spark, sf_dir):
     """EV-01: years stated by the readings of a line's first place; three at least must agree."""
-    rows = X.f1(spark, sf_dir).where("pos % 10 = 0").select("doc_id", "line", F.posexplode("readings").alias("k", "r")).where("r IS NOT NULL")
-    year = 1300 + (F.col("doc_id") + F.col("line") * 7 + F.when(F.col("k").isin(1, 3), 1).otherwise(0)) % 400
-    stated = rows.select(F.struct("doc_id", "line").alias("at"), F.concat(F.lit("Any "), year, F.lit(".")).alias("reading"))
-    return E.evidence_year(stated, "at", "reading").select("at.doc_id", "at.line", "year", "votes")
+    rows = X.f1(spark, sf_dir).where("pos % 10 = 0").select("doc_id", "line", "readings")
+    year = 1300 + (F.col("doc_id") + F.col("line") * 7) % 400
+    after = 1300 + (F.col("doc_id") + F.col("line") * 7 + 1) % 400
+    said = lambda k: F.concat(F.lit("Any "), F.when(k.isin(1, 3), after).otherwise(year), F.lit("."))
+    told = F.filter(F.transform("readings", lambda r, k: F.when(r.isNotNull(), said(k))), lambda t: t.isNotNull())
+    return E.evidence_year_in_place(V.bind(rows, told=told), ["doc_id", "line"], "told")

@@ -161,3 +161,13 @@ def test_islands_where_places_are_made(spark, sf_dir):
 def test_accuracy_is_one_scan_of_one_row_a_place(spark, sf_dir):
     shown = plan(catalog.queries()["weighted_accuracy"](spark, sf_dir))
     assert shown.count("FileScan") == 1 and "posexplode(readings" not in shown
+
+
+def test_years_of_a_line_need_no_exchange(spark, sf_dir):
+    from quorumtext.operators import entries
+
+    assert "hashpartitioning" not in plan(catalog.queries()["heading_votes"](spark, sf_dir))
+    told = [(1, ["Any 1300.", "1300, 1301", "Any 1300. 1300", "none"]), (2, ["1400", "1401"]), (3, ["1500 1600", "1600 1500", "1500 1600"]), (4, [])]
+    lines = spark.createDataFrame(told, "at int, told array<string>")
+    want = entries.evidence_year(lines.select("at", F.explode("told").alias("r")), "at", "r")
+    assert pairs_of(entries.evidence_year_in_place(lines, ["at"], "told").collect()) == pairs_of(want.select("at", "year", "votes").collect())
