@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text as T
 from .sequence import islands
+from .vote import bind
 
 
 def span_revote(voted: DataFrame, panel: int, by: list[str], order: str) -> DataFrame:
@@ -31,3 +32,52 @@ def span_revote(voted: DataFrame, panel: int, by: list[str], order: str) -> Data
     good = (F.col("b.n") >= 2) & (F.col("b.n") > F.col("blank")) & (F.col("b.len") > F.length(standing)) & F.forall(F.col("b.standing"), lambda w: F.col("b.fold").contains(T.fold_span(w)))
     grade = F.when(F.col("b.n") >= panel - 1, "one-dissent").when(F.col("b.n") == panel - 2, "two-dissent").otherwise("contested")
     return full.where(F.col("b").isNotNull() & good).select(*by, "run", F.col("b.text").alias("text"), grade.alias("grade"))
+
+
+def _spoken(voted: DataFrame, panel: int, by: list[str], order: str) -> DataFrame:
+    """(by, run, raws, standing) of runs with a hole: what each engine reads over the run, and the words that stand."""
+    kinds = {c: voted.schema[c].dataType.simpleString() for c in by}
+    own = [F.coalesce(F.get("readings", F.lit(k)), F.lit("")).alias(f"_r{k}") for k in range(panel)]
+    rows = voted.where(F.col("tier") != "unanimous").select(*by, order, "winner", *own)
+
+    def work(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        from .neighbours import joined, starts, whole_groups
+
+        full = lambda c: pc.not_equal(c, "").to_numpy(zero_copy_only=False)
+        for batch in whole_groups(batches, by):
+            first, at = starts(batch, by), batch.column(order).to_numpy(zero_copy_only=False)
+            new = np.append(True, np.diff(at) != 1)
+            new[first] = True
+            begin = np.flatnonzero(new)
+            run = np.arange(len(begin)) - np.searchsorted(begin, first[np.searchsorted(first, begin, side="right") - 1])
+            holes = np.flatnonzero(np.logical_or.reduceat(~full(batch.column("winner")), begin))
+            if not len(holes):
+                continue
+            raws = [joined(c, begin, full(c)).take(pa.array(holes)) for c in (batch.column(f"_r{k}") for k in range(panel))]
+            keep = full(batch.column("winner"))
+            ends = np.append(0, np.cumsum(keep))[np.append(begin, len(at))].astype(np.int32)
+            standing = pa.ListArray.from_arrays(pa.array(ends), batch.column("winner").filter(pa.array(keep))).take(pa.array(holes))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(pa.array(begin[holes])) for c in by], pa.array(run[holes], pa.int64()), *raws, standing], [*by, "run", *[f"_s{k}" for k in range(panel)], "standing"])
+
+    shape = ", ".join(f"{c} {k}" for c, k in kinds.items())
+    made = rows.mapInArrow(work, f"{shape}, run long, " + ", ".join(f"_s{k} string" for k in range(panel)) + ", standing array<string>")
+    return made.select(*by, "run", F.array(*[f"_s{k}" for k in range(panel)]).alias("raws"), "standing")
+
+
+def span_revote_in_order(voted: DataFrame, panel: int, by: list[str], order: str) -> DataFrame:
+    """``span_revote`` of places that stand in order, group by group: a run is a row, and its engines' strings are counted in it."""
+    runs = _spoken(voted, panel, by, order)
+    runs = bind(runs, said=F.transform("raws", lambda r, k: F.struct(k.alias("k"), r.alias("raw"), T.fold_span(r).alias("fold"))))
+    count = lambda name, value: F.size(F.filter("said", lambda y: y[name] == value)).cast("long")
+    early = lambda fold: F.array_max(F.transform(F.filter("said", lambda y: y["fold"] == fold), lambda y: -y["k"]))
+    folds = F.transform(F.filter("said", lambda x: x["fold"] != ""), lambda x: F.struct(count("fold", x["fold"]).alias("n"), F.length(x["fold"]).alias("len"), early(x["fold"]).alias("early"), x["fold"].alias("fold")))
+    best = bind(runs, b=F.array_max(folds), blank=count("fold", F.lit("")), own=T.fold_span(F.array_join("standing", "")))
+    good = (F.col("b.n") >= 2) & (F.col("b.n") > F.col("blank")) & (F.col("b.len") > F.length("own")) & F.forall("standing", lambda w: F.col("b.fold").contains(T.fold_span(w)))
+    # the commonest spelling of the fold; equals go by panel order
+    spelt = F.transform(F.filter("said", lambda x: x["fold"] == F.col("b.fold")), lambda x: F.struct(count("raw", x["raw"]).alias("m"), (-x["k"]).alias("early"), x["raw"].alias("raw")))
+    grade = F.when(F.col("b.n") >= panel - 1, "one-dissent").when(F.col("b.n") == panel - 2, "two-dissent").otherwise("contested")
+    return best.where(F.col("b").isNotNull() & good).select(*by, "run", F.array_max(spelt)["raw"].alias("text"), grade.alias("grade"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import text as T
+from ..operators.vote import bind
 
 ENGINES = 6
 
@@ -71,7 +72,7 @@ def f1_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     blank, tok = F.lit(""), F.col("truth")
     first, second = F.substring(tok, 1, 3), F.expr("substr(truth, 3)")
     readings = F.when(F.col("pos") % 19 == 0, F.array(blank, blank, blank, first, first, first)).when(F.col("pos") % 19 == 1, F.array(blank, blank, tok, second, second, second)).otherwise(F.col("readings"))
-    return f1(spark, sf_dir).withColumn("readings", readings)
+    return bind(bind(f1(spark, sf_dir), _held=F.col("readings")).drop("readings").withColumnRenamed("_held", "readings"), _new=readings).drop("readings").withColumnRenamed("_new", "readings")
 
 
 #: Every place's vote: winner, highest count, how many readings have it.

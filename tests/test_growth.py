@@ -179,3 +179,17 @@ def test_medoid_compares_a_pair_once(monkeypatch):
     for _ in range(3):
         vote.medoid(["one more", "one mere", "one more", "one more", "one mere", "one mure"])
     assert len(calls) <= 6
+
+
+def test_spans_are_revoted_in_their_own_row(spark, sf_dir):
+    from quorumtext.operators import spans
+
+    assert "hashpartitioning" not in plan(catalog.queries()["span_revote"](spark, sf_dir))
+    draw, rows = random.Random(8), []
+    for line in range(150):
+        for pos in range(8):
+            readings = [draw.choice(["", "", None, "ab", "Ab", "a-b", "c"]) for _ in range(6)]
+            rows.append((line // 10, line, pos, draw.choice(["", "", "ab", "c"]), draw.choice(["unanimous", "contested", "contested"]), readings))
+    p = spark.createDataFrame(rows, "doc_id long, line int, pos int, winner string, tier string, readings array<string>").coalesce(1)
+    want = spans.span_revote(p, 6, ["doc_id", "line"], "pos").collect()
+    assert want and pairs_of(spans.span_revote_in_order(p, 6, ["doc_id", "line"], "pos").collect()) == pairs_of(want)
